@@ -1,3 +1,4 @@
 """Imports every module that registers queries."""
 
 from . import aggregates  # noqa: F401
+from . import comparisons  # noqa: F401

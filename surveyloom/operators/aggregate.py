@@ -218,9 +218,13 @@ def flagged_cells(df: DataFrame, groups, value: str, weight: str = "weight") ->
 
 def code_list(df: DataFrame, name: str, labels: dict[int, str], label_name: str) -> DataFrame:
     """A fixed code list as a small table (`df` only supplies the session)."""
-    return df.sparkSession.createDataFrame(
-        [(int(c), str(t)) for c, t in labels.items()], f"{name} int, {label_name} string"
-    )
+    return literal_rows(df, [(int(c), str(t)) for c, t in labels.items()], [name, label_name])
+
+
+def literal_rows(df: DataFrame, rows, names: Sequence[str]) -> DataFrame:
+    """A few constant rows as a plan literal: no Python worker, no upload."""
+    entries = [F.struct(*[F.lit(value).alias(n) for n, value in zip(names, row)]) for row in rows]
+    return df.sparkSession.range(1).select(F.inline(F.array(*entries)))
 
 
 def group_sample_sizes(
