@@ -390,8 +390,9 @@ def k10(spark, sf):
 
 
 @check("M8_reach_split", sql(f"""
-  SELECT state, list(indicator ORDER BY indicator) FILTER (WHERE pct >= 25) AS wide_channels,
-    list(indicator ORDER BY indicator) FILTER (WHERE pct < 25) AS narrow_channels
+  SELECT state, coalesce(string_agg(indicator, '; ' ORDER BY indicator) FILTER (WHERE pct >= 25), '') AS wide_channels,
+    coalesce(string_agg(indicator, '; ' ORDER BY indicator) FILTER (WHERE pct < 25), '') AS narrow_channels
   FROM ({PROFILES}) WHERE kind = 'reach' AND pct IS NOT NULL GROUP BY state"""))
 def m8(spark, sf):
-    return G.reach_split(profiles(spark, sf), "state")
+    split = G.reach_split(profiles(spark, sf), "state")
+    return split.withColumns({c: F.array_join(c, "; ") for c in ("wide_channels", "narrow_channels")})

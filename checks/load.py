@@ -2,3 +2,4 @@
 
 from . import aggregates  # noqa: F401
 from . import comparisons  # noqa: F401
+from . import audit  # noqa: F401
