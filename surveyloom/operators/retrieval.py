@@ -123,6 +123,8 @@ def _grid(queries: DataFrame, corpus: DataFrame, query: str, doc: str, fn, schem
     shards = max(math.ceil(n_docs / DOCS_PER_SHARD), min(cores, max(1, n_docs // 500)))
     blocks = max(1, math.ceil(n_queries / QUERIES_PER_BLOCK))
     everywhere = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    # fresh column identities: the two sides may come from the same table
+    queries, corpus = (d.select(*[F.col(x).alias(x) for x in d.columns]) for d in (queries, corpus))
     q = queries.withColumn("_block", F.pmod(F.xxhash64(query), F.lit(blocks)).cast("int")).withColumn("_shard", everywhere(shards))
     c = corpus.withColumn("_shard", F.pmod(F.xxhash64(doc), F.lit(shards)).cast("int")).withColumn("_block", everywhere(blocks))
     return q.groupBy("_block", "_shard").cogroup(c.groupBy("_block", "_shard")).applyInPandas(fn, schema)
@@ -206,24 +208,26 @@ def _candidates(queries, index, query, doc, n):
         import numpy as np
         import pandas as pd
 
-        names = [query, doc, "dense_score", "sparse_score"]
+        names = [query, doc, "dense_score", "sparse_score", "list", "score"]
         if len(q) == 0 or len(c) == 0:
             return pd.DataFrame({x: [] for x in names})
         dense, sparse, ids = _dense(q, c, SCORE_DIGITS), _sparse(q, c, SCORE_DIGITS), c[doc].to_numpy()
         allowed = np.flatnonzero(c["eligible"].to_numpy())
         parts = []
         for i, key in enumerate(q[query].to_numpy()):
-            picked = np.union1d(
-                allowed[_top(dense[i][allowed], ids[allowed], n)], allowed[_top(sparse[i][allowed], ids[allowed], n)]
-            )
-            parts.append(pd.DataFrame({query: key, doc: ids[picked], "dense_score": dense[i][picked], "sparse_score": sparse[i][picked]}))
+            for kind, scores in ((0, dense[i]), (1, sparse[i])):
+                t = allowed[_top(scores[allowed], ids[allowed], n)]
+                parts.append(pd.DataFrame({
+                    query: key, doc: ids[t], "dense_score": dense[i][t], "sparse_score": sparse[i][t], "list": kind, "score": scores[t],
+                }))
         return pd.concat(parts)
 
     qt, dt = dict(queries.dtypes)[query], dict(index.dtypes)[doc]
-    near = _grid(queries, index, query, doc, cell, f"{query} {qt}, {doc} {dt}, dense_score double, sparse_score double")
-    by_dense = best(near, query, doc, n, "dense_score").drop("rank")
-    by_sparse = best(near, query, doc, n, "sparse_score").drop("rank")
-    return by_dense.unionByName(by_sparse).distinct()
+    types = f"{query} {qt}, {doc} {dt}, dense_score double, sparse_score double, list int, score double"
+    near = _grid(queries, index, query, doc, cell, types)
+    w = Window.partitionBy(query, "list").orderBy(F.desc("score"), doc)
+    kept = near.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+    return kept.groupBy(query, doc).agg(F.max("dense_score").alias("dense_score"), F.max("sparse_score").alias("sparse_score"))
 
 
 def _exact_ranks(queries, index, candidates, query, doc):
@@ -368,43 +372,53 @@ class LsaModel:
         self.vocab, self.v, self.stop = vocab, v, list(stop)
 
     @staticmethod
-    def _rows(postings: DataFrame, vocab: DataFrame, key: str, size: int):
-        """Sparse rows for MLlib. The vectors are built in Python because no SQL function makes a sparse vector."""
-        from pyspark.mllib.linalg import Vectors
-        from pyspark.mllib.linalg.distributed import IndexedRow, IndexedRowMatrix
-
-        packed = (
+    def _packed(postings: DataFrame, vocab: DataFrame, key: str) -> DataFrame:
+        """(key, positions, weights): each document's postings as vocabulary positions."""
+        return (
             postings.join(F.broadcast(vocab.select("term", "position")), "term")
-            .groupBy(F.col(key).cast("long").alias("i"))
+            .groupBy(key)
             .agg(F.array_sort(F.collect_list(F.struct("position", "weight"))).alias("p"))
+            .select(key, F.col("p.position").alias("positions"), F.col("p.weight").alias("weights"))
         )
-        rows = packed.rdd.map(lambda r: IndexedRow(r.i, Vectors.sparse(size, [x[0] for x in r.p], [x[1] for x in r.p])))
-        return IndexedRowMatrix(rows, numCols=size)
 
     @classmethod
     def fit(cls, docs: DataFrame, key: str, text: str, dimensions: int = 256, stop: Sequence[str] = (),
             max_features: int = MAX_FEATURES) -> LsaModel:
         """Starts jobs: the solver multiplies the distributed rows once per iteration."""
+        from pyspark.mllib.linalg import Vectors, VectorUDT
+        from pyspark.mllib.linalg.distributed import RowMatrix
+
         vocab = fit_vocabulary(docs, key, text, stop, max_features)
         # positions run over at most max_features rows
         vocab = vocab.withColumn("position", F.row_number().over(Window.orderBy("term")) - 1).persist()
         size, n = vocab.count(), docs.count()
         k = max(1, min(dimensions, n - 1, size - 1))
-        postings = tfidf(term_counts(docs, key, text, stop), vocab, key)
-        matrix = cls._rows(postings, vocab, key, size)
-        matrix.rows.persist()
+        packed = cls._packed(tfidf(term_counts(docs, key, text, stop), vocab, key), vocab, key)
+
+        # no SQL function makes a sparse vector; built once per row, then kept on the JVM side
+        @F.udf(VectorUDT())
+        def sparse_vector(positions, weights):
+            return Vectors.sparse(size, positions, weights)
+
+        rows = packed.select(sparse_vector("positions", "weights").alias("row")).persist()
         try:
-            v = matrix.computeSVD(k, computeU=False).V
+            v = RowMatrix(rows, numCols=size).computeSVD(k, computeU=False).V
         finally:
-            matrix.rows.unpersist()
-        return cls(vocab, v, stop)
+            rows.unpersist()
+        return cls(vocab, v.toArray(), stop)
 
     def embed(self, docs: DataFrame, key: str, text: str) -> DataFrame:
         """(key, vec): unit vectors of the documents in the model's space."""
-        spark = docs.sparkSession
-        postings = tfidf(term_counts(docs, key, text, self.stop), self.vocab, key)
-        projected = self._rows(postings, self.vocab, key, self.v.numRows).multiply(self.v)
-        raw = projected.rows.map(lambda r: (r.index, [float(x) for x in r.vector.toArray()]))
-        df = spark.createDataFrame(raw, f"{key} long, v array<double>")
-        length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
-        return df.select(key, F.transform("v", lambda x: F.try_divide(x, length).cast("float")).alias("vec"))
+        packed = self._packed(tfidf(term_counts(docs, key, text, self.stop), self.vocab, key), self.vocab, key)
+        components = docs.sparkSession.sparkContext.broadcast(self.v)
+
+        def project(batches):
+            import numpy as np
+
+            for pdf in batches:
+                rows = [np.asarray(w) @ components.value[np.asarray(p)] for p, w in zip(pdf["positions"], pdf["weights"])]
+                lengths = [np.linalg.norm(r) for r in rows]
+                pdf["vec"] = [(r / n if n > 0 else r).astype("float32") for r, n in zip(rows, lengths)]
+                yield pdf[[key, "vec"]]
+
+        return packed.mapInPandas(project, f"{key} {dict(docs.dtypes)[key]}, vec array<float>")
