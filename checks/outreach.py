@@ -372,7 +372,7 @@ NARRATED = METRIC + """,
   SELECT state, wealth, coalesce(problems, '') AS problems FROM (SELECT DISTINCT state, wealth FROM na) LEFT JOIN (
     SELECT state, wealth, string_agg(token, ',' ORDER BY token) AS problems FROM cn WHERE NOT (v <= 10 AND dec = 0) AND NOT EXISTS (
       SELECT 1 FROM en WHERE en.state = cn.state AND en.wealth = cn.wealth
-        AND CASE cn.dec WHEN 0 THEN round(en.v, 0) WHEN 1 THEN round(en.v, 1) WHEN 2 THEN round(en.v, 2) ELSE round(en.v, 3) END = cn.v)
+        AND CASE cn.dec WHEN 0 THEN CAST(round(en.v, 0) AS DECIMAL(38,10)) WHEN 1 THEN CAST(round(en.v, 1) AS DECIMAL(38,10)) ELSE CAST(round(en.v, 2) AS DECIMAL(38,10)) END = cn.v)
     GROUP BY state, wealth) USING (state, wealth)""", NARRATED + r""",
   cn AS (SELECT DISTINCT state, wealth, token, CAST(replace(token, ',', '') AS DECIMAL(38,10)) AS v, CASE WHEN contains(token, '.') THEN length(token) - instr(token, '.') ELSE 0 END AS dec
     FROM (SELECT state, wealth, unnest(regexp_extract_all(text, '(?:^|[^\p{L}\p{N}_.])([0-9][0-9,]*(?:\.[0-9]+)?)', 1)) AS token FROM na)),

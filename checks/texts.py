@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from surveyloom.functions.text import SUFFIXES, stop_list
 from surveyloom.operators import chunk as H
 from surveyloom.operators import retrieval as R
+from surveyloom.plans.index import build_index, load_index, question_side
 from surveyloom.sources import codebook as B
+from surveyloom.sources.tables import scratch_path
 
 from .audit import CODEBOOK, codebook
 from .registry import check
@@ -265,10 +267,10 @@ def fused_inputs(spark, sf):
                       (F.col("item_id") * 3).cast("string"), F.lit(". "))
     items = table(spark, sf, "benchmark").join(emb, F.col("item_id") == F.col("vec_id")).select(
         "item_id", F.concat(prefix, "text").alias("text"), "vec")
-    counts = R.term_counts(docs, "doc_id", "text", STOP)
-    vocab = R.vocabulary(counts, docs.agg(F.count(F.lit(1))).scalar(), FEATURES)
-    index = R.with_postings(docs.select("doc_id", "source", "vec"), R.tfidf(counts, vocab, "doc_id"), "doc_id")
-    queries = R.with_postings(items, R.tfidf(R.term_counts(items, "item_id", "text", STOP), vocab, "item_id"), "item_id")
+    paths = build_index(docs.drop("vec"), scratch_path(spark, "index"), vectors=docs.select("doc_id", "vec"), stop=STOP,
+                        max_features=FEATURES, keep=["source"])
+    vocab, index = load_index(spark, paths)
+    queries = question_side(items, vocab, "item_id", stop=STOP)
     names = docs.select(F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("name"), "doc_id")
     return queries, index, names
 

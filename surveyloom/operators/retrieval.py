@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import content_tokens, terms
+from ..sources.tables import cut
 
 MAX_FEATURES = 50_000
 RRF_K = 60
@@ -289,13 +290,17 @@ def fused_top_k(
     corpus = searched.select(doc, "vec", "terms", "weights", "eligible")
     n = RRF_K + 2 * k
     while True:
-        ranked = _exact_ranks(queries.select(*cols), corpus, _candidates(queries.select(*cols), corpus, query, doc, n), query, doc)
-        fused = ranked.withColumn(
+        # used twice below, and worth one small table: at most 2n rows per query
+        candidates = cut(_candidates(queries.select(*cols), corpus, query, doc, n), "candidates")
+        fused = _exact_ranks(queries.select(*cols), corpus, candidates, query, doc).withColumn(
             "score", F.lit(1.0) / (F.lit(RRF_K) + F.col("dense_rank")) + F.lit(1.0) / (F.lit(RRF_K) + F.col("sparse_rank"))
         )
         top = best(fused, query, doc, k)
-        if eligible is None or _settled(fused, query, doc, k, n):
+        if eligible is None:
             return top
+        fused = cut(fused, "fused")
+        if _settled(fused, query, doc, k, n):
+            return best(fused, query, doc, k)
         n *= 4
 
 

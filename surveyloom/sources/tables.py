@@ -23,6 +23,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{(shared or tempfile.mkdtemp(prefix='surveyloom-')).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def cut(df: DataFrame, name: str) -> DataFrame:
+    """Writes `df` to the shared folder and reads it back: lineage ends there and survives lost executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def write_report(df: DataFrame, path: str, digits: int | None = 2) -> str:
     """A small result table as one CSV with header; doubles are rounded here and nowhere earlier."""
     if digits is not None:
