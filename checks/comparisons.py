@@ -66,7 +66,7 @@ def t2(spark, sf):
     {std_flag('smallest_age_cell_n')} AS standardized_reliability FROM {std_sql('state, wealth, education')}""", ANALYTIC))
 def t2m(spark, sf):
     a = analytic(spark, sf, "state", "wealth")
-    rates = T.standardized_rates(a, ["state", "wealth", "education"], "working", T.standard_age_shares(a))
+    rates = T.standardized_rates(a, ["state", "wealth", "education"], "working")
     return six(rates, "standardized_pct")
 
 
@@ -77,7 +77,7 @@ def t2m(spark, sf):
   FROM {std_sql('education')}""", ANALYTIC))
 def t4(spark, sf):
     a = analytic(spark, sf)
-    return six(T.crude_vs_standardized(a, "education", "working", T.standard_age_shares(a)), "standardized_pct")
+    return six(T.crude_vs_standardized(a, "education", "working"), "standardized_pct")
 
 
 def _metric_std_sql(groups: str, y: str, where: str) -> str:
@@ -128,7 +128,7 @@ SMALL_N = 1000  # so that both sides of the threshold occur in the shared tables
   FROM {std_sql('state')}""", ANALYTIC))
 def t6(spark, sf):
     a = analytic(spark, sf, "state")
-    out = T.standardized_ranking(a, "state", "working", T.standard_age_shares(a), small_n=SMALL_N)
+    out = T.standardized_ranking(a, "state", "working", small_n=SMALL_N)
     return six(out, "standardized_pct")
 
 
@@ -239,7 +239,7 @@ GAP = f"""
 
 def gap_table(spark, sf):
     a = analytic(spark, sf, "state")
-    return K.level_gap_by_group(a, "state", "education", "working", T.standard_age_shares(a))
+    return K.level_gap_by_group(a, "state", "education", "working")
 
 
 @check("K2_K3_education_gap_by_state", sql("SELECT * FROM gap_rows", ANALYTIC + "," + GAP))
@@ -254,7 +254,7 @@ def correlation_table(spark, sf):
     df = respondents(spark, sf, "state", "education", "working", "age_group")
     higher = A.education_by_group(df.withColumn("years", F.col("education")), "state", "education", EDUCATION, "years")
     a = C.analytic_sample(df, NEED)
-    rates = T.standardized_rates(a, "state", "working", T.standard_age_shares(a))
+    rates = T.standardized_rates(a, "state", "working")
     return higher.select("state", "pct_higher").join(rates, "state")
 
 

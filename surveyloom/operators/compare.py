@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.flags import suppress
 from ..functions.numeric import Columnish, _c, percent, rounded
 from ..functions.ranks import with_rank
+from ..sources.tables import cut
 from .aggregate import keys
 from .standardize import _by_age, _share_struct, _smallest, _standardized
 
@@ -23,8 +24,10 @@ def top_and_bottom(df: DataFrame, column: str, key: str, n: int = 5) -> DataFram
     """The n highest and n lowest rows with their place in the full order (ties by key, NULLs last).
 
     Each end is an ordered limit, so only n rows per task travel; the place of
-    the lowest rows comes from the row count.
+    the lowest rows comes from the row count. The table is written once because
+    all three read it. Starts a job.
     """
+    df = cut(df, "extremes")
     rows = df.agg(F.count(F.lit(1))).scalar()
     down = [F.col(column).desc_nulls_last(), F.col(key).asc()]
     up = [F.col(column).asc_nulls_first(), F.col(key).desc()]
@@ -52,7 +55,7 @@ def classify_gap(gap: Columnish, national: Columnish, smallest: Columnish, min_c
 
 
 def level_gap_by_group(
-    df: DataFrame, group: str, level: str, value: str, shares: DataFrame, low: int = 0, high: int = 2,
+    df: DataFrame, group: str, level: str, value: str, shares: DataFrame | None = None, low: int = 0, high: int = 2,
     age: str = "age_group", weight: str = "weight", national_label: int = 0,
 ) -> DataFrame:
     """The high-minus-low gap of each group against the gap of everybody.
@@ -63,7 +66,6 @@ def level_gap_by_group(
     """
     cells = (
         df.dropna(subset=[group, level, age, value])
-        .filter(F.col(level).isin(low, high))
         .groupBy(group, level, age)
         .agg(
             F.count(F.lit(1)).alias("n"),
@@ -81,7 +83,7 @@ def level_gap_by_group(
         here = F.col(level) == code
         sides += [F.sum(F.when(here, F.col(c))).alias(f"{name}_{c}") for c in ("n", "wy", "w")]
         sides += _by_age(f"{name}_", here, age)
-    wide = rolled.groupBy(group, "_national").agg(*sides).withColumn("_s", _share_struct(shares, age))
+    wide = rolled.groupBy(group, "_national").agg(*sides).withColumn("_s", _share_struct(shares, cells, age))
 
     n_low, n_high = (F.coalesce(F.col(f"{x}_n"), F.lit(0)) for x in ("low", "high"))
     crude = {
@@ -132,7 +134,11 @@ def spearman(df: DataFrame, a: str, b: str, by=None, digits: int = 2) -> DataFra
 def rank_correlations(
     table: DataFrame, base: str, measures: list[str], n_column: str, small_n: int = 500, digits: int = 2
 ) -> DataFrame:
-    """Two subsets (all groups, without small groups) x several measures, each ranked within its own subset."""
+    """Two subsets (all groups, without small groups) x several measures, each ranked within its own subset.
+
+    Every part reads the table again, so it is written once. Starts a job.
+    """
+    table = cut(table.select(base, n_column, *measures), "correlated")
     rows = None
     for subset, name in ((table, "all groups"), (table.filter(F.col(n_column) >= small_n),
                                                  f"excluding small samples (n<{small_n})")):

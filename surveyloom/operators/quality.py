@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import percent, rounded, total_over
+from ..sources.tables import cut
 from ..spec import Variable
 from .aggregate import code_list, joint_cells, keys, literal_rows
 from .clean import AGE_CODES, AGE_LABELS, age_band
@@ -44,7 +45,7 @@ def code_audit(raw: DataFrame, variables: Iterable[Variable]) -> DataFrame:
     """Values outside the rules with counts, special codes the range rules exclude, and clean variables.
 
     Only offending values are exploded and counted; the rest is joins of those
-    few counts with the rules.
+    few counts, written once, with the rules. Starts a job.
     """
     vs = list(variables)
     hits = F.array_compact(F.array(*[
@@ -52,7 +53,7 @@ def code_audit(raw: DataFrame, variables: Iterable[Variable]) -> DataFrame:
         for v in vs
     ]))
     found = raw.select(F.explode(hits).alias("h")).groupBy("h.variable", "h.code").agg(F.count(F.lit(1)).alias("n"))
-    found = found.select("variable", "code", "n")
+    found = cut(found.select("variable", "code", "n"), "invalid-codes")
 
     meaning = F.when(F.lit(False), F.lit(None).cast("string"))
     for v in vs:
@@ -208,11 +209,14 @@ def without_small_groups(
     df: DataFrame, group: str, group_labels: dict[int, str], level: str, value: str, small_n: int = 500,
     weight: str = "weight",
 ) -> DataFrame:
-    """The rate at each level with and without respondents of small groups; the note names those groups."""
+    """The rate at each level with and without respondents of small groups; the note names those groups.
+
+    The (group, level) cells are written once because the note reads them too. Starts a job.
+    """
     cells = df.dropna(subset=[value, level, group]).groupBy(group, level).agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col(weight) * F.col(value)).alias("wy"), F.sum(weight).alias("w")
     )
-    sized = cells.withColumn("_small", total_over("n", [group]) < small_n)
+    sized = cut(cells, "cells").withColumn("_small", total_over("n", [group]) < small_n)
     kept = lambda c: F.sum(F.when(~F.col("_small"), F.col(c)))
     names = F.array_sort(F.collect_set(F.when(F.col("_small"), F.col(group))))
     sums = sized.groupBy(level).agg(

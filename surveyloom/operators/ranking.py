@@ -16,6 +16,7 @@ from ..functions.expressions import filter_column
 from ..functions.flags import sample_flag, suppress
 from ..functions.numeric import percent, rounded
 from ..functions.ranks import with_rank
+from ..sources.tables import cut
 from ..spec import Survey
 from .aggregate import keys
 
@@ -69,13 +70,7 @@ def deprivation_scores(
     )
 
 
-def rank_underserved(
-    df: DataFrame, survey: Survey, group_by, indicators=None, filters=None, min_n: int = MIN_GROUP_N,
-    top_k: int | None = 10,
-) -> DataFrame:
-    """The ranked groups, highest score first, ties in group order; `top_k=None` ranks every group."""
-    groups = survey.columns(group_by)
-    scored = deprivation_scores(df, survey, groups, indicators, filters, min_n).filter("ranked").drop("ranked")
+def _ranked(scored: DataFrame, groups: Sequence[str], top_k: int | None) -> DataFrame:
     order = [F.desc("deprivation_score"), *groups]
     if top_k is not None:
         best = scored.orderBy(*order).limit(top_k)
@@ -85,6 +80,16 @@ def rank_underserved(
     return above.withColumn("rank", (F.col("_above") + within).cast("int")).drop("_above")
 
 
+def rank_underserved(
+    df: DataFrame, survey: Survey, group_by, indicators=None, filters=None, min_n: int = MIN_GROUP_N,
+    top_k: int | None = 10,
+) -> DataFrame:
+    """The ranked groups, highest score first, ties in group order; `top_k=None` ranks every group."""
+    groups = survey.columns(group_by)
+    scored = deprivation_scores(df, survey, groups, indicators, filters, min_n).filter("ranked").drop("ranked")
+    return _ranked(scored, groups, top_k)
+
+
 def ranking_summary(
     df: DataFrame, survey: Survey, group_by, indicators=None, filters=None, min_n: int = MIN_GROUP_N
 ) -> DataFrame:
@@ -107,12 +112,28 @@ def ranking_summary(
 def ranking_sensitivity(
     df: DataFrame, survey: Survey, group_by, alternative, indicators=None, filters=None, min_n: int = MIN_GROUP_N
 ) -> DataFrame:
-    """Where the top-ranked group stands when the alternative indicators are used instead."""
+    """Where the top-ranked group stands when the alternative indicators are used instead.
+
+    Both rankings come from one table of group percentages, written once. Starts a job.
+    """
     groups = survey.columns(group_by)
-    best = rank_underserved(df, survey, groups, indicators, filters, min_n, top_k=1).select(
+    first, second = survey.deprivations(indicators), survey.deprivations(alternative)
+    every = list(dict.fromkeys([*first, *second]))
+    pcts = cut(
+        indicator_cells(df, survey, groups, every, filters)
+        .filter(F.col("n_in_population") >= min_n)
+        .select(*groups, *[reported_pct(i).alias(f"pct_{i}") for i in every]),
+        "percentages",
+    )
+
+    def scored(names):
+        score = mean_of([F.col(f"pct_{i}") for i in names])
+        return pcts.select(*groups, score.alias("deprivation_score")).dropna(subset=["deprivation_score"])
+
+    best = _ranked(scored(first), groups, 1).select(
         *[F.col(g).alias(f"_b_{g}") for g in groups], F.col("deprivation_score").alias("score")
     )
-    other = rank_underserved(df, survey, groups, alternative, filters, min_n, top_k=None)
+    other = _ranked(scored(second), groups, None)
     same = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_b_{g}")) for g in groups])
     return other.join(F.broadcast(best), same).select(
         *groups, "score", F.col("deprivation_score").alias("alternative_score"), F.col("rank").alias("alternative_rank")

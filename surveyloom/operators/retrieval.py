@@ -41,14 +41,16 @@ def send_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
 
 
 # ---- sparse ----------------------------------------------------------------
-def term_counts(docs: DataFrame, key: str, text: str, stop: Sequence[str] = ()) -> DataFrame:
-    """(key, term, n). The only shuffle is of the raw text by key; the grouping then needs none."""
+def term_counts(docs: DataFrame, key: str, text: str, stop: Sequence[str] = (), vocab: DataFrame | None = None) -> DataFrame:
+    """(key, term, n). The only shuffle is of the raw text by key; the grouping then needs none.
+
+    With a vocabulary (at most MAX_FEATURES terms) other terms are dropped before they are counted.
+    """
     placed = docs.select(key, text).repartition(key)
-    return (
-        placed.select(key, F.explode(terms(content_tokens(text, list(stop)))).alias("term"))
-        .groupBy(key, "term")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    rows = placed.select(key, F.explode(terms(content_tokens(text, list(stop)))).alias("term"))
+    if vocab is not None:
+        rows = rows.join(F.broadcast(vocab.select("term")), "term", "left_semi")
+    return rows.groupBy(key, "term").agg(F.count(F.lit(1)).alias("n"))
 
 
 def vocabulary(counts: DataFrame, n_docs: Column, max_features: int = MAX_FEATURES) -> DataFrame:
@@ -90,11 +92,13 @@ def search(
     docs: DataFrame, queries: DataFrame, doc: str, query: str, text: str = "text", query_text: str = "text",
     k: int = 10, stop: Sequence[str] = (), max_features: int = MAX_FEATURES,
 ) -> DataFrame:
-    """Fit on the documents and answer a batch of text queries, sparse only."""
-    counts = term_counts(docs, doc, text, stop)
-    vocab = vocabulary(counts, docs.agg(F.count(F.lit(1))).scalar(), max_features)
-    q = tfidf(term_counts(queries, query, query_text, stop), vocab, query)
-    return sparse_top_k(q, tfidf(counts, vocab, doc), query, doc, k)
+    """Fit on the documents and answer a batch of text queries, sparse only.
+
+    The vocabulary is written once: three plans below read it. Starts jobs.
+    """
+    vocab = cut(fit_vocabulary(docs, doc, text, stop, max_features), "vocabulary")
+    q = tfidf(term_counts(queries, query, query_text, stop, vocab), vocab, query)
+    return sparse_top_k(q, tfidf(term_counts(docs, doc, text, stop, vocab), vocab, doc), query, doc, k)
 
 
 def posting_arrays(postings: DataFrame, key: str) -> DataFrame:
@@ -398,7 +402,7 @@ class LsaModel:
         vocab = vocab.withColumn("position", F.row_number().over(Window.orderBy("term")) - 1).persist()
         size, n = vocab.count(), docs.count()
         k = max(1, min(dimensions, n - 1, size - 1))
-        packed = cls._packed(tfidf(term_counts(docs, key, text, stop), vocab, key), vocab, key)
+        packed = cls._packed(tfidf(term_counts(docs, key, text, stop, vocab), vocab, key), vocab, key)
 
         # no SQL function makes a sparse vector; built once per row, then kept on the JVM side
         @F.udf(VectorUDT())
@@ -414,7 +418,7 @@ class LsaModel:
 
     def embed(self, docs: DataFrame, key: str, text: str) -> DataFrame:
         """(key, vec): unit vectors of the documents in the model's space."""
-        packed = self._packed(tfidf(term_counts(docs, key, text, self.stop), self.vocab, key), self.vocab, key)
+        packed = self._packed(tfidf(term_counts(docs, key, text, self.stop, self.vocab), self.vocab, key), self.vocab, key)
         components = docs.sparkSession.sparkContext.broadcast(self.v)
 
         def project(batches):

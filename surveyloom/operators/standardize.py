@@ -15,6 +15,7 @@ from ..functions.expressions import filter_column, outcome_column
 from ..functions.flags import age_cell_flag, sample_flag, small_group_flag, standardized_flag, suppress
 from ..functions.numeric import percent, ratio, rounded, total_over
 from ..functions.ranks import with_rank
+from ..sources.tables import cut
 from ..spec import Survey
 from .aggregate import (code_list, group_sample_sizes, keys, literal_rows, pct_name, wide_distribution,
                         yes_no_sums)
@@ -40,10 +41,24 @@ def age_cells(df: DataFrame, groups, value: str, age: str = "age_group", weight:
     )
 
 
-def _share_struct(shares: DataFrame, age: str) -> Column:
-    """The seven shares as one scalar subquery, fields s1..s7."""
-    row = shares.agg(
-        F.struct(*[F.max(F.when(F.col(age) == a, F.col("share"))).alias(f"s{a}") for a in AGE_CODES])
+def _share_struct(shares: DataFrame | None, cells: DataFrame, age: str) -> Column:
+    """The seven shares as one scalar subquery, fields s1..s7.
+
+    Without given shares the standard is the age mix of the cells themselves.
+    Its subquery keeps every sum of the cells, so that it is the same exchange
+    as the main query's and Spark reuses it: one scan for both.
+    """
+    if shares is not None:
+        row = shares.agg(
+            F.struct(*[F.max(F.when(F.col(age) == a, F.col("share"))).alias(f"s{a}") for a in AGE_CODES])
+        )
+        return row.scalar()
+    total = F.sum("w")
+    row = cells.groupBy(age).agg(F.sum("n").alias("n"), F.sum("wy").alias("wy"), F.sum("w").alias("w")).agg(
+        F.struct(
+            *[ratio(F.max(F.when(F.col(age) == a, F.col("w"))), total).alias(f"s{a}") for a in AGE_CODES],
+            F.sum("n").alias("n"), F.sum("wy").alias("wy"),
+        )
     )
     return row.scalar()
 
@@ -69,20 +84,21 @@ def _smallest(prefix: str = "") -> Column:
 
 
 def standardized_rates(
-    df: DataFrame, groups, value: str, shares: DataFrame, age: str = "age_group", weight: str = "weight"
+    df: DataFrame, groups, value: str, shares: DataFrame | None = None, age: str = "age_group", weight: str = "weight"
 ) -> DataFrame:
     """Crude and standardized rate per group, unsuppressed, with n and the smallest age cell.
 
-    `standardized_pct` is NULL when one of the seven ages has no case in the group.
+    `standardized_pct` is NULL when one of the seven ages has no case in the
+    group. Without `shares`, the respondents given are the standard population.
     """
     groups = keys(groups)
+    cells = age_cells(df, groups, value, age, weight)
     wide = (
-        age_cells(df, groups, value, age, weight)
-        .groupBy(*groups)
+        cells.groupBy(*groups)
         .agg(
             F.sum("n").alias("n"), F.sum("wy").alias("_wy"), F.sum("w").alias("_w"), *_by_age(age=age)
         )
-        .withColumn("_s", _share_struct(shares, age))
+        .withColumn("_s", _share_struct(shares, cells, age))
     )
     return wide.select(
         *groups,
@@ -95,7 +111,7 @@ def standardized_rates(
 
 
 def crude_vs_standardized(
-    df: DataFrame, level: str, value: str, shares: DataFrame, age: str = "age_group", weight: str = "weight"
+    df: DataFrame, level: str, value: str, shares: DataFrame | None = None, age: str = "age_group", weight: str = "weight"
 ) -> DataFrame:
     """Both rates per level and the difference of the two as reported (rounded)."""
     rates = standardized_rates(df, level, value, shares, age, weight)
@@ -173,22 +189,27 @@ def standardized_ranking(
     df: DataFrame,
     group: str,
     value: str,
-    shares: DataFrame,
+    shares: DataFrame | None = None,
     age: str = "age_group",
     weight: str = "weight",
     small_n: int = 500,
 ) -> DataFrame:
-    """Crude and standardized rate per group with the competition rank of each reported rate."""
+    """Crude and standardized rate per group with the competition rank of each reported rate.
+
+    The rates (one row per group) are written once because the ranks read them
+    again; that is cheaper than another scan of the respondents. Starts a job.
+    """
     rates = standardized_rates(df, group, value, shares, age, weight).withColumn(
         "sample_size_flag", small_group_flag("n", small_n)
     )
+    rates = cut(rates, "rates")
     return with_rank(with_rank(rates, "crude_pct", "rank_crude"), "standardized_pct", "rank_standardized")
 
 
 # ---- the table set for one grouping variable --------------------------------
 def level_cells(
     df: DataFrame, group: str, group_labels: dict[int, str], level: str, level_labels: dict[int, str], value: str,
-    shares: DataFrame, age: str = "age_group", weight: str = "weight",
+    shares: DataFrame | None = None, age: str = "age_group", weight: str = "weight",
 ) -> DataFrame:
     """Every listed (group, level) cell, also the empty ones, with both rates and both flags."""
     grid = literal_rows(
@@ -241,8 +262,6 @@ def group_table_set(
     """The seven report tables that describe `value` by level within one grouping variable."""
     required = [value, level, age_group, group]
     analytic = df.dropna(subset=required)
-    if shares is None:
-        shares = standard_age_shares(analytic, age_group, weight)
     cells = level_cells(analytic, group, group_labels, level, level_labels, value, shares, age_group, weight)
     by_group = standardized_rates(analytic, group, value, shares, age_group, weight)
     return {

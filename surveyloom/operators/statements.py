@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.flags import OK
 from ..functions.numeric import Columnish, _c, rounded
+from ..sources.tables import cut
 from .aggregate import keys
 
 # Fixed value: a number in running text (not inside a word or after a point).
@@ -42,9 +43,11 @@ def group_statements(rows: DataFrame, by, label: str, max_groups: int = 6) -> Da
 
     rows(by..., label, weighted_pct, n_valid, reliability). Only rows that will
     be named are gathered: at most six from the top, three from the bottom and
-    eight flagged.
+    eight flagged. The result table is written once because each part reads it.
+    Starts a job.
     """
     by = keys(by)
+    rows = cut(rows.select(*by, label, "weighted_pct", "n_valid", "reliability"), "rows")
     spread = Window.partitionBy(*by)
     shown = rows.filter(F.col("weighted_pct").isNotNull())
     ordered = [F.desc("weighted_pct"), F.asc(label)]

@@ -40,4 +40,4 @@ def load_index(spark: SparkSession, paths: dict[str, str]) -> tuple[DataFrame, D
 
 def question_side(questions: DataFrame, vocab: DataFrame, key: str, text: str = "text", stop: Sequence[str] = ()) -> DataFrame:
     """Questions (key, text, vec, ...) with their posting arrays in the index's vocabulary."""
-    return R.with_postings(questions, R.tfidf(R.term_counts(questions, key, text, stop), vocab, key), key)
+    return R.with_postings(questions, R.tfidf(R.term_counts(questions, key, text, stop, vocab), vocab, key), key)
