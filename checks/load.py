@@ -5,3 +5,4 @@ from . import comparisons  # noqa: F401
 from . import audit  # noqa: F401
 from . import texts  # noqa: F401
 from . import outreach  # noqa: F401
+from . import batch  # noqa: F401

@@ -255,21 +255,23 @@ def _exact_ranks(queries, index, candidates, query, doc):
         import pandas as pd
 
         if len(q) == 0 or len(c) == 0:
-            return pd.DataFrame({x: [] for x in (query, doc, "d", "s")})
+            return pd.DataFrame({x: [] for x in (query, doc, "_before_dense", "_before_sparse")})
         dense, sparse, ids = _dense(q, c, SCORE_DIGITS), _sparse(q, c, SCORE_DIGITS), c[doc].to_numpy()
         parts = []
         for i, row in enumerate(q.itertuples(index=False)):
             cand = np.asarray(row.cand)
             parts.append(pd.DataFrame({
                 query: getattr(row, query), doc: cand,
-                "d": before(dense[i], ids, np.asarray(row.cand_dense), cand),
-                "s": before(sparse[i], ids, np.asarray(row.cand_sparse), cand),
+                "_before_dense": before(dense[i], ids, np.asarray(row.cand_dense), cand),
+                "_before_sparse": before(sparse[i], ids, np.asarray(row.cand_sparse), cand),
             }))
         return pd.concat(parts)
 
     qt, dt = dict(queries.dtypes)[query], dict(index.dtypes)[doc]
-    counts = _grid(with_asked, index, query, doc, cell, f"{query} {qt}, {doc} {dt}, d long, s long")
-    ranks = counts.groupBy(query, doc).agg((F.sum("d") + 1).alias("dense_rank"), (F.sum("s") + 1).alias("sparse_rank"))
+    counts = _grid(with_asked, index, query, doc, cell, f"{query} {qt}, {doc} {dt}, _before_dense long, _before_sparse long")
+    ranks = counts.groupBy(query, doc).agg(
+        (F.sum("_before_dense") + 1).alias("dense_rank"), (F.sum("_before_sparse") + 1).alias("sparse_rank")
+    )
     return candidates.join(ranks, [query, doc])
 
 
@@ -310,13 +312,15 @@ def fused_top_k(
 
 def _settled(fused: DataFrame, query: str, doc: str, k: int, n: int) -> bool:
     """True when no unseen eligible document of any query can still reach its top k."""
-    d = F.row_number().over(Window.partitionBy(query).orderBy("dense_rank"))
-    s = F.row_number().over(Window.partitionBy(query).orderBy("sparse_rank"))
-    p = F.row_number().over(Window.partitionBy(query).orderBy(F.desc("score"), doc))
-    per_query = fused.select(query, "score", "dense_rank", "sparse_rank", d.alias("d"), s.alias("s"), p.alias("p")).groupBy(query).agg(
-        F.max(F.when(F.col("d") == n, F.col("dense_rank"))).alias("dn"),
-        F.max(F.when(F.col("s") == n, F.col("sparse_rank"))).alias("sn"),
-        F.max(F.when(F.col("p") == k, F.col("score"))).alias("kth"),
+    w = Window.partitionBy(query)
+    placed = fused.select(
+        query, "score", "dense_rank", "sparse_rank", F.row_number().over(w.orderBy("dense_rank")).alias("_d"),
+        F.row_number().over(w.orderBy("sparse_rank")).alias("_s"), F.row_number().over(w.orderBy(F.desc("score"), doc)).alias("_p"),
+    )
+    per_query = placed.groupBy(query).agg(
+        F.max(F.when(F.col("_d") == n, F.col("dense_rank"))).alias("dn"),
+        F.max(F.when(F.col("_s") == n, F.col("sparse_rank"))).alias("sn"),
+        F.max(F.when(F.col("_p") == k, F.col("score"))).alias("kth"),
     )
     unseen = F.lit(1.0) / (RRF_K + 1 + F.col("dn")) + F.lit(1.0) / (RRF_K + 1 + F.col("sn"))
     # fewer than n eligible documents: all of them are candidates, nothing is unseen

@@ -56,8 +56,8 @@ def survey_tables(raw: DataFrame, survey: Survey, roles: Roles, small_n: int = 5
     r, w = roles, survey.weight
     coded = [survey.variables[c] for c in dict.fromkeys([*r.columns]) if c in survey.variables]
     cleaned = with_age_group(clean(raw, coded), r.age, r.age_group)
-    state = lambda df: df.withColumn("state", A.label_lookup(r.state, r.state_labels))
-    level = lambda df: df.withColumn("education", A.label_lookup(r.level, r.level_labels))
+    state = lambda df: df.withColumn("state_label", A.label_lookup(r.state, r.state_labels))
+    level = lambda df: df.withColumn("level_label", A.label_lookup(r.level, r.level_labels))
     out: dict[str, DataFrame] = {}
 
     # 1. summary
@@ -128,7 +128,7 @@ def survey_tables(raw: DataFrame, survey: Survey, roles: Roles, small_n: int = 5
     out["analysis_6/07a_without_small_groups"] = Q.without_small_groups(
         cleaned, r.state, r.state_labels, r.level, r.value, small_n, w)
     out["analysis_6/07b_correlation_sensitivity"] = Q.correlation_sensitivity(correlations)
-    out["analysis_6/07c_pattern_sensitivity"] = Q.pattern_sensitivity(gaps, "state")
+    out["analysis_6/07c_pattern_sensitivity"] = Q.pattern_sensitivity(gaps, "state_label")
     return out
 
 

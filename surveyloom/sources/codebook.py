@@ -69,7 +69,7 @@ def codebook_chunks(codebook: DataFrame, order: str) -> DataFrame:
     )
     slots = (
         based.groupBy("_base", "variable_label", "value_labels")
-        .agg(F.array_sort(F.collect_list(F.struct(order, "variable_name", "stata_type"))).alias("_rows"))
+        .agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("_order"), "variable_name", "stata_type"))).alias("_rows"))
         .withColumn("variables", F.transform("_rows", lambda r: r["variable_name"]))
     )
     first, last, n = F.get("variables", F.lit(0)), F.element_at("variables", -1), F.size("variables")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,16 +40,22 @@ def write_report(df: DataFrame, path: str, digits: int | None = 2) -> str:
     return path
 
 
-def write_tables(tables: dict[str, DataFrame], out: str, report: bool = True) -> dict[str, str]:
-    """Named result tables under `out`: CSV for reports, otherwise Parquet keeping its partitions."""
-    paths = {}
-    for name, df in tables.items():
-        paths[name] = f"{out.rstrip('/')}/{name}"
+def write_tables(tables: dict[str, DataFrame], out: str, report: bool = True, at_once: int = 8) -> dict[str, str]:
+    """Named result tables under `out`: CSV for reports, otherwise Parquet keeping its partitions.
+
+    Independent tables are submitted `at_once` at a time, so small reports do not queue behind each other.
+    """
+    def write(entry):
+        name, df = entry
+        path = f"{out.rstrip('/')}/{name}"
         if report:
-            write_report(df, paths[name])
+            write_report(df, path)
         else:
-            df.write.mode("overwrite").parquet(paths[name])
-    return paths
+            df.write.mode("overwrite").parquet(path)
+        return name, path
+
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        return dict(pool.map(write, tables.items()))
 
 
 def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
