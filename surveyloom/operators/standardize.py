@@ -6,6 +6,7 @@ on at most groups x ages rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -258,16 +259,21 @@ def level_gaps(cells: DataFrame, group: str, level: str) -> DataFrame:
 def group_table_set(
     df: DataFrame, group: str, group_labels: dict[int, str], level: str, level_labels: dict[int, str], value: str,
     age: str = "age", age_group: str = "age_group", weight: str = "weight", shares: DataFrame | None = None,
+    hold: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> dict[str, DataFrame]:
-    """The seven report tables that describe `value` by level within one grouping variable."""
+    """The seven report tables that describe `value` by level within one grouping variable.
+
+    `hold` is applied to the small tables that several of the seven read
+    (for example `DataFrame.persist`).
+    """
     required = [value, level, age_group, group]
     analytic = df.dropna(subset=required)
-    cells = level_cells(analytic, group, group_labels, level, level_labels, value, shares, age_group, weight)
+    cells = hold(level_cells(analytic, group, group_labels, level, level_labels, value, shares, age_group, weight))
     by_group = standardized_rates(analytic, group, value, shares, age_group, weight)
     return {
         "01_sample_sizes": group_sample_sizes(df, group, group_labels, [value, level, age_group], age, weight),
         "02_education_distribution": wide_distribution(df, level, group, level_labels, weight),
-        "03_employment_by_group": code_list(df, group, group_labels, "group_label").join(by_group, group, "left"),
+        "03_employment_by_group": hold(code_list(df, group, group_labels, "group_label").join(by_group, group, "left")),
         "04_employment_by_education_and_group": cells,
         "05_crude_grid": rate_grid(cells, level, "crude_pct", group_labels, group),
         "06_age_standardized_grid": rate_grid(cells, level, "standardized_pct", group_labels, group),

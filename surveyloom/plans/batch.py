@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.flags import small_group_flag
 from ..operators import aggregate as A
 from ..operators import compare as K
 from ..operators import quality as Q
@@ -47,11 +50,15 @@ class Roles:
         return [self.state, self.residence, self.wealth, self.level, self.years, self.value, self.age, self.recorded_age_group]
 
 
-def survey_tables(raw: DataFrame, survey: Survey, roles: Roles, small_n: int = 500) -> dict[str, DataFrame]:
-    """Every result table of the six analyses, by `analysis/table`. Nothing runs until one is used.
+def survey_tables(
+    raw: DataFrame, survey: Survey, roles: Roles, small_n: int = 500,
+    hold: Callable[[DataFrame], DataFrame] = lambda df: df,
+) -> dict[str, DataFrame]:
+    """Every result table of the six analyses, by `analysis/table`.
 
     `raw` holds the role columns and the weight; persist it or write it first
-    when all tables are wanted, since each table reads it on its own.
+    when all tables are wanted, since each table reads it on its own. `hold`
+    is applied to the small tables that others are derived from.
     """
     r, w = roles, survey.weight
     coded = [survey.variables[c] for c in dict.fromkeys([*r.columns]) if c in survey.variables]
@@ -62,12 +69,12 @@ def survey_tables(raw: DataFrame, survey: Survey, roles: Roles, small_n: int = 5
 
     # 1. summary
     coded_four = [r.level, r.value, r.residence, r.wealth]
-    freq = A.frequency_table(cleaned, coded_four, w)
-    state_edu = state(A.education_by_group(cleaned, r.state, r.level, r.level_labels, r.years, w))
-    state_emp = state(A.weighted_rate(cleaned, r.state, r.value, w)).withColumn(
-        "sample_size_flag", F.when(F.col("n") < small_n, f"small sample (n<{small_n})").otherwise("ok"))
+    freq = hold(A.frequency_table(cleaned, coded_four, w))
+    state_edu = hold(state(A.education_by_group(cleaned, r.state, r.level, r.level_labels, r.years, w)))
+    state_emp = hold(state(A.weighted_rate(cleaned, r.state, r.value, w)).withColumn(
+        "sample_size_flag", small_group_flag("n", small_n)))
     top = A.pct_name(list(r.level_labels.values())[-1])
-    out["analysis_1/01_missing_values"] = Q.missingness(raw, [*coded, survey.variables[w]])
+    out["analysis_1/01_missing_values"] = hold(Q.missingness(raw, [*coded, survey.variables[w]]))
     out["analysis_1/02_frequencies"] = freq
     out["analysis_1/03_national_education"] = freq.filter(F.col("variable") == r.level)
     out["analysis_1/04_national_employment"] = freq.filter(F.col("variable") == r.value)
@@ -77,35 +84,34 @@ def survey_tables(raw: DataFrame, survey: Survey, roles: Roles, small_n: int = 5
 
     # 2. age
     aged = analytic_sample(cleaned, [r.value, r.level, r.age_group])
-    shares = T.standard_age_shares(aged, r.age_group, w)
-    cells = level(A.flagged_cells(aged, [r.age_group, r.level], r.value, w))
+    cells = hold(level(A.flagged_cells(aged, [r.age_group, r.level], r.value, w)))
     out["analysis_2/01_age_checks"] = Q.age_checks(raw, r.age, r.recorded_age_group)
     out["analysis_2/02_age_distribution_and_coverage"] = A.coverage_table(cleaned, r.age_group, r.value, w)
     out["analysis_2/03_employment_by_age"] = A.weighted_rate(aged, r.age_group, r.value, w)
     out["analysis_2/04_employment_by_education_and_age"] = cells
     out["analysis_2/05_education_mix_by_age"] = A.wide_distribution(aged, r.level, r.age_group, r.level_labels, w)
-    out["analysis_2/06_crude_vs_age_standardized"] = level(T.crude_vs_standardized(aged, r.level, r.value, shares, r.age_group, w))
+    out["analysis_2/06_crude_vs_age_standardized"] = level(T.crude_vs_standardized(aged, r.level, r.value, age=r.age_group, weight=w))
     out["analysis_2/07_employment_by_education_and_age_wide"] = cells.groupBy(age_label(r.age_group).alias("age")).agg(*[
         F.max(F.when(F.col(r.level) == c, F.col("pct"))).alias(t) for c, t in r.level_labels.items()])
 
     # 3 and 4. residence and wealth
     for number, column, labels in ((3, r.residence, r.residence_labels), (4, r.wealth, r.wealth_labels)):
         for name, df in T.group_table_set(
-            cleaned, column, labels, r.level, r.level_labels, r.value, r.age, r.age_group, w
+            cleaned, column, labels, r.level, r.level_labels, r.value, r.age, r.age_group, w, hold=hold
         ).items():
             out[f"analysis_{number}/{name}"] = df
 
     # 5. states
     by_state = analytic_sample(aged, [r.state])
-    state_shares = T.standard_age_shares(by_state, r.age_group, w)
-    ranking = state(T.standardized_ranking(by_state, r.state, r.value, state_shares, r.age_group, w, small_n))
-    gaps = state(K.level_gap_by_group(by_state, r.state, r.level, r.value, state_shares, age=r.age_group, weight=w))
+    ranking = hold(state(T.standardized_ranking(by_state, r.state, r.value, None, r.age_group, w, small_n)))
+    gaps = hold(state(K.level_gap_by_group(by_state, r.state, r.level, r.value, age=r.age_group, weight=w)))
     joined = state_edu.select(r.state, top).join(ranking, r.state)
-    correlations = K.rank_correlations(joined, top, ["crude_pct", "standardized_pct"], "n", small_n)
+    correlations = hold(K.rank_correlations(joined, top, ["crude_pct", "standardized_pct"], "n", small_n))
+    state_cells = hold(level(state(A.flagged_cells(by_state, [r.state, r.level], r.value, w))))
     out["analysis_5/01_higher_education_top_bottom"] = K.top_and_bottom(state_edu, top, r.state)
     out["analysis_5/02_employment_top_bottom"] = K.top_and_bottom(state_emp, "pct", r.state)
     out["analysis_5/03_state_employment_crude_vs_age_standardized"] = ranking
-    out["analysis_5/04_state_employment_by_education"] = level(state(A.flagged_cells(by_state, [r.state, r.level], r.value, w)))
+    out["analysis_5/04_state_employment_by_education"] = state_cells
     out["analysis_5/05_state_education_gap_vs_national"] = gaps
     out["analysis_5/06_state_level_correlations"] = correlations
 
@@ -135,14 +141,19 @@ def survey_tables(raw: DataFrame, survey: Survey, roles: Roles, small_n: int = 5
 def run_batch(raw: DataFrame, survey: Survey, roles: Roles, out: str, small_n: int = 500) -> dict[str, str]:
     """Computes and writes every table as a CSV report. Starts jobs.
 
-    The cells behind all tables are those of the role columns, so the
-    respondents are persisted once (memory and disk; lost blocks are
-    recomputed) and released at the end.
+    The role columns of the respondents (a few small integers of a very wide
+    table) and the small tables that others derive from are persisted to memory
+    and disk, recomputed where an executor is lost, and released at the end.
     """
-    from pyspark import StorageLevel
+    held: list[DataFrame] = []
+
+    def hold(df: DataFrame) -> DataFrame:
+        held.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+        return held[-1]
 
-    held = raw.select(survey.weight, *dict.fromkeys(roles.columns)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return write_tables(survey_tables(held, survey, roles, small_n), out)
+        narrow = hold(raw.select(survey.weight, *dict.fromkeys(roles.columns)))
+        return write_tables(survey_tables(narrow, survey, roles, small_n, hold), out)
     finally:
-        held.unpersist()
+        for df in held:
+            df.unpersist()
