@@ -267,7 +267,9 @@ CORR = f"""
   ranked AS (SELECT groups_included, measure,
       {AVG_RANK.format(p='groups_included, measure', x='b')} AS rb, {AVG_RANK.format(p='groups_included, measure', x='m')} AS rm
     FROM sets WHERE b IS NOT NULL AND m IS NOT NULL),
-  corrs AS (SELECT groups_included, measure, count(*) AS n_groups, corr(rb, rm) AS spearman FROM ranked GROUP BY 1, 2)"""
+  corrs AS (SELECT groups_included, measure, count(rb) AS n_groups, corr(rb, rm) AS spearman
+    FROM (VALUES ('all groups'), ('excluding small samples (n<{SMALL_N})')) AS g(groups_included)
+    CROSS JOIN (VALUES ('crude_pct'), ('standardized_pct')) AS m(measure) LEFT JOIN ranked USING (groups_included, measure) GROUP BY 1, 2)"""
 
 
 @check("K4_rank_correlations", sql("SELECT * REPLACE (round(spearman, 6) AS spearman) FROM corrs", ANALYTIC + "," + CORR))
