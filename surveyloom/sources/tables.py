@@ -19,9 +19,19 @@ def read_columns(spark: SparkSession, path: str, columns: Sequence[str], format:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the cluster's shared folder, or a temporary folder when none is configured."""
+    """A fresh path in the folder all executors share, named by spark.checkpoint.dir.
+
+    Where it is unset, a folder is set for the session only if driver and
+    executors are one process (master local[n]); elsewhere that is an error.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{(shared or tempfile.mkdtemp(prefix='surveyloom-')).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if not shared:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        shared = tempfile.mkdtemp(prefix="surveyloom-")
+        spark.conf.set("spark.checkpoint.dir", shared)
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
