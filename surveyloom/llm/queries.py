@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import sharding
+from . import bpe, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,3 +32,15 @@ def op10_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Law rows: capacities without slack leave counts at most one apart."""
     out = sharding.ring_shards(table(spark, sf_dir, "documents"), "doc_id", "text", shards=8)
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "arc")
+
+
+def byte_bpe() -> tuple[str, str]:
+    """(rank file, pre-token pattern) of the installed public vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+@query("op6_byte_bpe")
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), "doc_id", "text", *byte_bpe())
