@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, sharding
+from . import bpe, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -44,3 +44,26 @@ def byte_bpe() -> tuple[str, str]:
 @query("op6_byte_bpe")
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), "doc_id", "text", *byte_bpe())
+
+
+WARC_SQL = """
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS b FROM pages
+), d AS (
+  SELECT page_id, octet_length(b) AS n, sha1(b) AS h FROM p
+), g AS (
+  SELECT n, h, max(page_id) AS first FROM d WHERE n >= 1000 GROUP BY n, h
+)
+SELECT d.page_id, CAST(d.n AS BIGINT) AS payload_bytes, d.h AS payload_digest,
+  CASE WHEN g.first <> d.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN g.first <> d.page_id THEN g.first END AS refers_to
+FROM d LEFT JOIN g USING (n, h)
+"""
+
+
+@query("op7_warc", WARC_SQL)
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables have no capture time, so page ids serve as seconds."""
+    ts = F.date_format(F.timestamp_seconds(F.coalesce(F.col("page_id"), F.lit(0))), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    out = warc.round_trip(table(spark, sf_dir, "pages"), ts=ts)
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
