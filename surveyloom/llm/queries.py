@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, sharding, warc
+from . import bpe, hashlr, quality_rules, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -67,3 +67,17 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     ts = F.date_format(F.timestamp_seconds(F.coalesce(F.col("page_id"), F.lit(0))), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     out = warc.round_trip(table(spark, sf_dir, "pages"), ts=ts)
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+# A labelled row is good when it is of quality and not toxic.
+GOOD = (F.col("quality") == 1) & (F.col("toxic") == 0)
+
+
+def quality_model(spark: SparkSession, sf_dir: str) -> hashlr.Model:
+    return hashlr.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "doc_id", "text", GOOD)
+
+
+@query("op4_quality_rules")
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_rules.verdicts(table(spark, sf_dir, "documents"), quality_model(spark, sf_dir), "doc_id", "text", threshold=0.5)
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_good")
