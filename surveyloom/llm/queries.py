@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, hashlr, quality_rules, sharding, warc
+from . import bpe, hashlr, quality_rules, sharding, site_quality, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -81,3 +81,11 @@ def quality_model(spark: SparkSession, sf_dir: str) -> hashlr.Model:
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules.verdicts(table(spark, sf_dir, "documents"), quality_model(spark, sf_dir), "doc_id", "text", threshold=0.5)
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_good")
+
+
+@query("op1_site_quality")
+def op1_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table has no URLs: its source is the host, its language the path below."""
+    docs = table(spark, sf_dir, "documents")
+    out = site_quality.classify(docs, quality_model(spark, sf_dir), "text", "source", "lang", 0.5, ["doc_id"])
+    return out.select("doc_id", "kept", "p_good", "evidence", "host_share", "path_share")
