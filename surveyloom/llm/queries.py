@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, hashlr, quality_rules, sharding, site_quality, warc
+from . import bpe, hashlr, quality_rules, secret_scan, sharding, site_quality, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -89,3 +89,8 @@ def op1_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = site_quality.classify(docs, quality_model(spark, sf_dir), "text", "source", "lang", 0.5, ["doc_id"])
     return out.select("doc_id", "kept", "p_good", "evidence", "host_share", "path_share")
+
+
+@query("op5_secret_scan")
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(table(spark, sf_dir, "documents"), "doc_id", "text")
