@@ -112,21 +112,31 @@ def train(docs: DataFrame, labels: DataFrame, key: str, text: str, good: Column,
             )
 
     slim = rows.select(F.col("key").cast("string"), "good", "text")
-    found = slim.mapInArrow(run, "key string, good int, index binary, value binary").toArrow().sort_by([("key", "ascending"), ("index", "ascending")])
+    features = slim.mapInArrow(run, "key string, good int, index binary, value binary")
+    # The sample is bounded, so one task fits it and the driver gets only the model.
+    fitted = features.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(_fit_table, "words binary, chars binary, numbers array<double>").collect()
+    if not fitted:
+        return Model(np.zeros(1 << BITS, np.float32), np.zeros(1 << BITS, np.float32), 0.0, 1.0, 0.0, 0.5)
+    return Model(np.frombuffer(fitted[0]["words"], "<f4"), np.frombuffer(fitted[0]["chars"], "<f4"), *fitted[0]["numbers"])
+
+
+def _fit_table(found: pa.Table) -> pa.Table:
+    found = found.sort_by([("key", "ascending"), ("index", "ascending")])
     y = found.column("good").to_numpy().astype(np.float64)
-    if len(y) == 0 or y.min() == y.max():
-        prior = float(y.mean()) if len(y) else 0.5
-        odds = np.log((prior * len(y) + 1) / ((1 - prior) * len(y) + 1))
-        return Model(np.zeros(1 << BITS, np.float32), np.zeros(1 << BITS, np.float32), 0.0, 1.0, float(odds), float(np.clip(prior, 0.05, 0.95)))
-    index = [np.frombuffer(b, "<i4") for b in found.column("index").to_pylist()]
-    value = [np.frombuffer(b, "<f4") for b in found.column("value").to_pylist()]
-    size = np.array([len(i) for i in index])
-    row, index, value = np.repeat(np.arange(len(y)), size), np.concatenate(index), np.concatenate(value)
-    held = np.arange(len(y)) % 5 == 4
-    w, bias = _fit(row, index, value, y, ~held, 2 << BITS)
-    score = np.bincount(row, w[index] * value, len(y)) + bias
-    slope, shift = _calibrate(score[held], y[held]) if len(set(y[held])) == 2 else (1.0, 0.0)
-    return Model(w[: 1 << BITS].astype(np.float32), w[1 << BITS :].astype(np.float32), float(bias), slope, shift, float(y.mean()))
+    prior = float(np.clip(y.mean(), 0.05, 0.95))
+    if y.min() == y.max():
+        w, bias, slope, shift = np.zeros(2 << BITS), 0.0, 1.0, float(np.log((y.sum() + 1) / ((1 - y).sum() + 1)))
+    else:
+        joined = lambda name, kind: np.frombuffer(b"".join(b.as_py() for b in found.column(name)), kind)
+        size = np.array([len(b.as_py()) // 4 for b in found.column("index")])
+        row, index, value = np.repeat(np.arange(len(y), dtype=np.int32), size), joined("index", "<i4"), joined("value", "<f4")
+        held = np.arange(len(y)) % 5 == 4
+        w, bias = _fit(row, index, value, y, ~held, 2 << BITS)
+        score = np.bincount(row, w[index] * value, len(y)) + bias
+        slope, shift = _calibrate(score[held], y[held]) if len(set(y[held])) == 2 else (1.0, 0.0)
+    w = w.astype("<f4")
+    numbers = [float(bias), slope, shift, prior]
+    return pa.table({"words": [w[: 1 << BITS].tobytes()], "chars": [w[1 << BITS :].tobytes()], "numbers": [numbers]}, pa.schema([("words", pa.binary()), ("chars", pa.binary()), ("numbers", pa.list_(pa.float64()))]))
 
 
 def _fit(row, index, value, y, used, size, l2: float = 3e-5) -> tuple[np.ndarray, float]:
