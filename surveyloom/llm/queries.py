@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, hashlr, quality_rules, secret_scan, sharding, site_quality, warc
+from . import bpe, hashlr, quality_rules, secret_scan, sharding, site_quality, tiling, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -94,3 +94,9 @@ def op1_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_secret_scan")
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+@query("op2_string_tiling")
+def op2_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = tiling.contamination(table(spark, sf_dir, "documents"), ["doc_id"], "text", table(spark, sf_dir, "benchmark"), "item_id", "text")
+    return out.withColumn("kept", ~F.col("contaminated"))
