@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, hashlr, quality_rules, secret_scan, sharding, site_quality, tiling, warc
+from . import bpe, hashlr, line_join, quality_rules, secret_scan, sharding, site_quality, tiling, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -100,3 +100,10 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = tiling.contamination(table(spark, sf_dir, "documents"), ["doc_id"], "text", table(spark, sf_dir, "benchmark"), "item_id", "text")
     return out.withColumn("kept", ~F.col("contaminated"))
+
+
+@query("op9_line_join")
+def op9_line_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = line_join.without_lines(docs, "doc_id", "text", removed="n_removed")
+    return out.select("doc_id", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
