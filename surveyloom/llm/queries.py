@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, hashlr, line_join, quality_rules, secret_scan, sharding, site_quality, tiling, warc
+from . import bpe, hashlr, jaccard, line_join, quality_rules, secret_scan, sharding, site_quality, tiling, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -107,3 +107,9 @@ def op9_line_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = line_join.without_lines(docs, "doc_id", "text", removed="n_removed")
     return out.select("doc_id", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query("op3_ngram_jaccard")
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = jaccard.classes(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
