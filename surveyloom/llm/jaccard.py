@@ -93,14 +93,13 @@ def described(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
     return slim.mapInArrow(run, f"id {dict(slim.dtypes)['id']}, text_key long, n_shingles long, set long")
 
 
-def frequent_tokens(docs: DataFrame, text: str, size: int) -> np.ndarray:
+def frequent_tokens(docs: DataFrame, text: str, size: int, limit: int = FREQUENT) -> np.ndarray:
     """Filter bits of the tokens that more rows than a limit hold; counted over all rows.
 
-    The limit is FREQUENT, doubled until at most MOST_FREQUENT tokens are above
+    The limit (a power of two) is doubled until at most MOST_FREQUENT tokens are above
     it: that many keys reach the driver. Any filter gives the same links.
     """
-    spark = docs.sparkSession
-    parts = ranges(spark)
+    parts, least = ranges(docs.sparkSession), limit
 
     def count(batches):
         for batch in batches:
@@ -112,12 +111,11 @@ def frequent_tokens(docs: DataFrame, text: str, size: int) -> np.ndarray:
         keys, n = gathered(table, np.uint32)
         start, _ = groups(keys)
         total = np.add.reduceat(n.astype(np.int64), start) if len(start) else np.zeros(0, np.int64)
-        often = total > FREQUENT
+        often = total > least
         return pa.table({"h": pa.array(keys[start][often].view(np.int64)), "n": pa.array(total[often])})
 
     found = cut(in_ranges(docs.select(F.col(text).cast("string").alias("text")).mapInArrow(count, BLOB), merge, "h long, n long"), "frequent-tokens")
     above = {r["level"]: r["count"] for r in found.groupBy(F.floor(F.log2(F.col("n") - 1)).alias("level")).count().collect()}
-    limit = FREQUENT
     while sum(c for level, c in above.items() if level >= int(np.log2(limit))) > MOST_FREQUENT:
         limit *= 2
     keys = found.filter(F.col("n") > limit).select("h").toArrow().column("h").to_numpy().view(U)
@@ -256,10 +254,10 @@ def _text_filter(keys: DataFrame) -> np.ndarray:
     return out
 
 
-def links(docs: DataFrame, text: str, rows: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
+def links(docs: DataFrame, text: str, rows: DataFrame, size: int = SIZE, percent: int = PERCENT, frequent: int = FREQUENT) -> DataFrame:
     """(a, b): verified links between sets that connect everything that links; `rows` are described() rows."""
     sets = cut(rows.filter("n_shingles > 0").groupBy("set").agg(F.min("text_key").alias("text_key")), "sets")
-    lists = cut(member_lists(docs, text, frequent_tokens(docs, text, size), size, percent), "member-lists")
+    lists = cut(member_lists(docs, text, frequent_tokens(docs, text, size, frequent), size, percent), "member-lists")
     member = lists.select(F.col("members")[0].alias("a"), F.explode(F.slice("members", 2, 1 << 30)).alias("b"))
     first = cut(verified(docs, text, member.distinct(), sets, size, percent), "first-links")
     # Lists whose members are not all connected yet meet across components.
@@ -275,10 +273,10 @@ def links(docs: DataFrame, text: str, rows: DataFrame, size: int = SIZE, percent
     return first.union(verified(docs, text, pairs.join(done, ["a", "b"], "left_anti"), sets, size, percent))
 
 
-def classes(docs: DataFrame, key: str, text: str, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
+def classes(docs: DataFrame, key: str, text: str, size: int = SIZE, percent: int = PERCENT, frequent: int = FREQUENT) -> DataFrame:
     """(id, text_key, n_shingles, set, component_id) of every row of docs."""
     rows = cut(described(docs, key, text, size), "document-sets")
-    nodes = cut(components(links(docs, text, rows, size, percent)), "components").select(F.col("node").alias("set"), "component")
+    nodes = cut(components(links(docs, text, rows, size, percent, frequent)), "components").select(F.col("node").alias("set"), "component")
     named = rows.filter("n_shingles > 0").groupBy("set").agg(F.min("id").alias("id")).join(nodes, "set", "left").withColumn("component", F.coalesce("component", "set"))
     named = cut(named, "named-sets")
     least = named.groupBy("component").agg(F.min("id").alias("component_id"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, hashlr, jaccard, line_join, quality_rules, secret_scan, sharding, site_quality, tiling, warc
+from . import automaton, bpe, hashlr, jaccard, line_join, quality_rules, secret_scan, sharding, site_quality, tiling, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -113,3 +113,8 @@ def op9_line_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = jaccard.classes(table(spark, sf_dir, "documents"), "doc_id", "text")
     return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+@query("op8_suffix_automaton")
+def op8_suffix_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return automaton.digests(table(spark, sf_dir, "documents"), "doc_id", "text")
