@@ -295,7 +295,7 @@ def one_of_each(docs: DataFrame, key: str, text: str, size: int = SIZE, percent:
     name = F.struct(F.col("component_id").isNull(), "component_id", F.when(F.col("component_id").isNull(), F.col("set")))
     best = found.groupBy(name.alias("class")).agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "text_key")).alias("best"))
     keep = cut(best.select(F.col("best.id").alias("_id"), F.col("best.text_key").alias("_text_key")).distinct(), "kept-documents")
-    rows = docs.withColumn("_own_key", _text_key(F.col(text)))
-    blank = ~F.coalesce(F.col(text), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    joined = rows.join(keep, rows[key].eqNullSafe(F.col("_id")) & (F.col("_own_key") == F.col("_text_key")), "left")
-    return joined.filter(blank | F.col("_text_key").isNotNull()).select(*docs.columns)
+    # Whole rows travel as one struct, so no column can clash with another.
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(key).alias("id"), _text_key(F.col(text)).alias("text_key"), F.coalesce(F.col(text), F.lit("")).rlike(r"[^\x20\x09-\x0D]").alias("worded"))
+    joined = rows.join(keep, F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_text_key")), "left")
+    return joined.filter(~F.col("worded") | F.col("_text_key").isNotNull()).select("row.*")

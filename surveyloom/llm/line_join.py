@@ -126,8 +126,10 @@ def without_lines(docs: DataFrame, key: str, text: str, threshold: float = THRES
     """
     gone = cut(removed_lines(docs, key, text, threshold, min_words).select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("numbers").alias("_numbers")), "removed-lines")
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    rows = docs.withColumn("_own_hash", F.xxhash64(body))
-    joined = rows.join(gone, rows[key].eqNullSafe(F.col("_id")) & (F.col("_own_hash") == F.col("_hash")), "left")
-    kept = F.array_join(F.filter(F.split(F.col(text), "\n", -1), lambda line, no: ~F.array_contains("_numbers", no)), "\n")
-    columns = [F.when(F.col("_numbers").isNull(), F.col(text)).otherwise(kept).alias(text) if c == text else F.col(c) for c in docs.columns]
+    # Whole rows travel as one struct, so no column can clash with another.
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(key).alias("id"), F.col(text).alias("text"), F.xxhash64(body).alias("text_hash"))
+    joined = rows.join(gone, F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left")
+    kept = F.array_join(F.filter(F.split("text", "\n", -1), lambda line, no: ~F.array_contains("_numbers", no)), "\n")
+    now = F.when(F.col("_numbers").isNull(), F.col("text")).otherwise(kept)
+    columns = [now.alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns]
     return joined.select(*columns, *([F.coalesce(F.size("_numbers"), F.lit(0)).cast("long").alias(removed)] if removed else []))

@@ -73,13 +73,16 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 GOOD = (F.col("quality") == 1) & (F.col("toxic") == 0)
 
 
-def quality_model(spark: SparkSession, sf_dir: str) -> hashlr.Model:
-    return hashlr.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "doc_id", "text", GOOD)
+THRESHOLD = 0.5  # probability of a good row from which a document is kept
+
+
+def quality_model(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> hashlr.Model:
+    return hashlr.train(table(spark, sf_dir, "documents") if docs is None else docs, table(spark, sf_dir, "labels"), "doc_id", "text", GOOD)
 
 
 @query("op4_quality_rules")
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = quality_rules.verdicts(table(spark, sf_dir, "documents"), quality_model(spark, sf_dir), "doc_id", "text", threshold=0.5)
+    out = quality_rules.verdicts(table(spark, sf_dir, "documents"), quality_model(spark, sf_dir), "doc_id", "text", THRESHOLD)
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_good")
 
 
@@ -87,8 +90,8 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table has no URLs: its source is the host, its language the path below."""
     docs = table(spark, sf_dir, "documents")
-    out = site_quality.classify(docs, quality_model(spark, sf_dir), "text", "source", "lang", 0.5, ["doc_id"])
-    return out.select("doc_id", "kept", "p_good", "evidence", "host_share", "path_share")
+    out = site_quality.classify(docs, quality_model(spark, sf_dir), "text", "source", "lang", THRESHOLD, ["doc_id"])
+    return out.select("row.doc_id", "kept", "p_good", "evidence", "host_share", "path_share")
 
 
 @query("op5_secret_scan")

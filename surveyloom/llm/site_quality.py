@@ -29,16 +29,13 @@ from .hashlr import Model, score_batches
 WEAKEST, STRONGEST = 2.0, 1e6
 
 
-def with_evidence(docs: DataFrame, model: Model, text: str, evidence: str) -> DataFrame:
-    """(every column of docs, evidence): the model's log-odds without its prior, NaN-free and bounded."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # two weight tables of fixed size
+def with_evidence(rows: DataFrame, model: Model) -> DataFrame:
+    """(every column of rows but text, evidence): the model's log-odds without its prior, bounded; rows have a column text."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)  # two weight tables of fixed size
     offset = float(np.log(model.prior / (1 - model.prior)))
-    more = lambda words, odds: {evidence: np.clip(odds - offset, -30, 30)}
-    if evidence.lower() in {c.lower() for c in docs.columns}:
-        raise ValueError(f"column {evidence} is already present")
-    copied = docs.withColumn("_scored_text", F.col(text).cast("string"))
-    schema = docs.withColumn(evidence, F.lit(0.0)).schema
-    return copied.mapInArrow(lambda batches: score_batches(batches, "_scored_text", shared.value, more), schema)
+    more = lambda words, odds: {"evidence": np.clip(odds - offset, -30, 30)}
+    schema = rows.drop("text").withColumn("evidence", F.lit(0.0)).schema
+    return rows.mapInArrow(lambda batches: score_batches(batches, "text", shared.value, more), schema)
 
 
 def _logit(p: Column) -> Column:
@@ -68,36 +65,35 @@ def _strength(groups: DataFrame, parent: Column, share: Column, n: Column) -> fl
     return float(min(max(row["whole"] / row["n"] / excess - 1, WEAKEST), STRONGEST))
 
 
-def path_shares(scored: DataFrame, host: Column, path: Column, evidence: str, prior: float) -> DataFrame:
-    """(host, path, n_path, n_host, host_share, path_share) of every path, from rows with evidence."""
-    p = _sigmoid(F.col(evidence) + float(np.log(prior / (1 - prior))))
-    # Null has its own value, so that joins need no null-safe comparison.
+def path_shares(scored: DataFrame, prior: float) -> DataFrame:
+    """(host, path, n_path, n_host, host_share, path_share) of every path, from rows (host, path, evidence)."""
     paths = cut(
-        scored.select(host.cast("string").alias("host"), path.cast("string").alias("path"), p.alias("p"))
-        .select(F.coalesce(F.concat(F.lit("="), "host"), F.lit("")).alias("host"), F.coalesce(F.concat(F.lit("="), "path"), F.lit("")).alias("path"), "p")
+        scored.select("host", "path", _sigmoid(F.col("evidence") + float(np.log(prior / (1 - prior)))).alias("p"))
         .groupBy("host", "path").agg(F.count(F.lit(1)).alias("n_path"), F.sum("p").alias("good_path")),
         "paths",
     )
     hosts = cut(paths.groupBy("host").agg(F.sum("n_path").alias("n_host"), F.sum("good_path").alias("good_host")), "hosts")
     whole = hosts.agg(F.sum("n_host").alias("n"), F.sum("good_host").alias("good")).first()
-    share = whole["good"] / whole["n"] if whole["n"] else prior
-    of_host = F.col("good_host") / F.col("n_host")
-    strength = _strength(hosts, F.lit(float(share)), of_host, F.col("n_host"))
-    hosts = hosts.withColumn("host_share", (strength * F.lit(float(share)) + F.col("good_host")) / (strength + F.col("n_host"))).drop("good_host")
+    share = float(whole["good"] / whole["n"]) if whole["n"] else prior
+    strength = _strength(hosts, F.lit(share), F.col("good_host") / F.col("n_host"), F.col("n_host"))
+    hosts = hosts.withColumn("host_share", (strength * F.lit(share) + F.col("good_host")) / (strength + F.col("n_host"))).drop("good_host")
     both = cut(paths.join(hosts, "host"), "paths-of-hosts")
     strength = _strength(both, F.col("host_share"), F.col("good_path") / F.col("n_path"), F.col("n_path"))
     return both.withColumn("path_share", (strength * F.col("host_share") + F.col("good_path")) / (strength + F.col("n_path"))).drop("good_path")
 
 
-def classify(docs: DataFrame, model: Model, text: str, host: str, path: str, threshold: float, keep_columns: list[str], prefix: str = "") -> DataFrame:
-    """(keep_columns, evidence, host_share, path_share, p_good, kept) of every row of docs, each new name after `prefix`."""
-    name = lambda n: f"{prefix}{n}"
-    slim = docs.select(*dict.fromkeys([*keep_columns, text, host, path]))
-    scored = with_evidence(slim, model, text, name("evidence"))
-    # The written evidence serves the groups and the verdicts: texts are scored once.
-    stored = cut(scored.select(*keep_columns, F.col(host).cast("string").alias(name("host")), F.col(path).cast("string").alias(name("path")), name("evidence")), "evidence")
-    shares = cut(path_shares(stored, F.col(name("host")), F.col(name("path")), name("evidence"), model.prior), "path-shares")
-    keyed = stored.withColumn("_h", F.coalesce(F.concat(F.lit("="), name("host")), F.lit(""))).withColumn("_p", F.coalesce(F.concat(F.lit("="), name("path")), F.lit("")))
-    known = shares.select(F.col("host").alias("_h"), F.col("path").alias("_p"), F.col("host_share").alias(name("host_share")), F.col("path_share").alias(name("path_share")))
-    p = _sigmoid(F.col(name("evidence")) + _logit(F.col(name("path_share"))))
-    return keyed.join(known, ["_h", "_p"], "left").drop("_h", "_p").withColumn(name("p_good"), p).withColumn(name("kept"), F.col(name("p_good")) >= threshold)
+def classify(docs: DataFrame, model: Model, text: str, host: str, path: str, threshold: float, keep_columns: list[str]) -> DataFrame:
+    """(row, evidence, host_share, path_share, p_good, kept) of every row of docs; `row` holds the keep_columns."""
+    # Null has a name of its own, so that joins need no null-safe comparison.
+    named = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
+    slim = docs.select(F.struct(*keep_columns).alias("row"), F.col(text).cast("string").alias("text"), named(host).alias("host"), named(path).alias("path"))
+    # Texts are scored once: the written evidence serves the groups and the verdicts.
+    stored = cut(with_evidence(slim, model), "evidence")
+    shares = cut(path_shares(stored, model.prior), "path-shares").select("host", "path", "host_share", "path_share")
+    p = _sigmoid(F.col("evidence") + _logit(F.col("path_share")))
+    return stored.join(shares, ["host", "path"], "left").select("row", "evidence", "host_share", "path_share", p.alias("p_good"), (p >= threshold).alias("kept"))
+
+
+def keep_good(docs: DataFrame, model: Model, text: str, host: str, path: str, threshold: float) -> DataFrame:
+    """The rows of docs, all columns, that are kept."""
+    return classify(docs, model, text, host, path, threshold, docs.columns).filter("kept").select("row.*")

@@ -180,9 +180,9 @@ def contamination(docs: DataFrame, keep_columns: list[str], text: str, items: Da
     texts = contaminated_texts(docs, text, items, item_key, item_text, min_match, coverage).groupBy("text_key").agg(best.alias("best"), F.count(F.lit(1)).alias("n_items"))
     # A written table has a known size, from which Spark chooses how to join.
     known = cut(texts.select(F.col("text_key").alias("_text_key"), F.col("best").alias("_best"), F.col("n_items").alias("_n_items")), "contaminated-texts")
-    rows = docs.select(*keep_columns, _text_key(F.col(text)).alias("_text_key")).join(known, "_text_key", "left")
+    rows = docs.select(F.struct(*keep_columns).alias("row"), _text_key(F.col(text)).alias("_text_key")).join(known, "_text_key", "left")
     return rows.select(
-        *keep_columns, F.col("_best").isNotNull().alias("contaminated"), F.col("_best.item_id").alias("item_id"), F.col("_best.coverage").alias("coverage"),
+        "row.*", F.col("_best").isNotNull().alias("contaminated"), F.col("_best.item_id").alias("item_id"), F.col("_best.coverage").alias("coverage"),
         F.col("_best.n_tiles").alias("n_tiles"), F.coalesce("_n_items", F.lit(0).cast("long")).alias("n_items"),
     )
 
@@ -191,6 +191,7 @@ def clean(docs: DataFrame, text: str, items: DataFrame, item_key: str, item_text
     """The rows of docs, all columns, whose text is not contaminated."""
     texts = contaminated_texts(docs, text, items, item_key, item_text, min_match, coverage)
     known = cut(texts.select(F.col("text_key").alias("_text_key")).distinct(), "contaminated-texts")
-    return docs.withColumn("_text_key", _text_key(F.col(text))).join(known, "_text_key", "left_anti").select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), _text_key(F.col(text)).alias("_text_key"))
+    return rows.join(known, "_text_key", "left_anti").select("row.*")
 
 
