@@ -19,7 +19,8 @@ Documents with equal sets are one set. Signatures are sorted in ranges of keys;
 the distinct member lists they leave are few, since copies share most of them.
 Every member is first verified against the first of its list. In groups of
 copies that links everything, and only lists that still hold sets of different
-components meet pairwise (across components). Verification compares whole sets.
+components meet pairwise (across components). Verification drops pairs whose parity sketches differ in
+too many bits, which no link can, and compares the others on whole sets.
 
 Null and blank texts have empty sets and no links. Rows with equal ids are
 separate rows; a class is named by the smallest id in it, null only if all are.
@@ -38,7 +39,7 @@ from .packed import BLOB, dealt, gathered, groups, in_ranges, ranges
 from .words import U, mix, pieces, text_array, windows
 
 SIZE, PERCENT = 5, 75
-FREQUENT = 32  # a token in more sets than this is frequent; doubled until the filter has room
+FREQUENT = 4  # a token in more sets than this is frequent; doubled until the filter has room
 FILTER_BITS = 26  # 8 MB filter of the frequent tokens
 MOST_FREQUENT = 1 << (FILTER_BITS - 4)
 SETS_BITS = 24  # 2 MB filter of the texts whose sets are verified
@@ -74,23 +75,51 @@ def set_keys(tokens: np.ndarray, of: np.ndarray) -> np.ndarray:
     return mix(total[of[1:]] - total[of[:-1]] + n * U(0x9E3779B97F4A7C15))
 
 
+def sketches(tokens: np.ndarray, of: np.ndarray) -> list[bytes]:
+    """Each row's parity bits: two or more per token, a power of two; sets that differ in k tokens differ in k bits at most."""
+    n = np.diff(of)
+    width = np.maximum(64, 2 ** np.ceil(np.log2(np.maximum(2 * n, 1))).astype(np.int64))
+    at = np.concatenate(([0], np.cumsum(width)))
+    row = np.repeat(np.arange(len(n)), n)
+    odd = np.bincount(at[row] + (tokens & (width[row] - 1).astype(U)).astype(np.int64), minlength=at[-1]).astype(np.uint8) & 1
+    flat = np.packbits(odd, bitorder="little").tobytes()
+    return [flat[a // 8 : b // 8] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+
+
+def _folded(sketch: bytes, size: int) -> int:
+    bits, have = int.from_bytes(sketch, "little"), 8 * len(sketch)
+    while have > size:
+        have //= 2
+        bits = (bits >> have) ^ (bits & ((1 << have) - 1))
+    return bits
+
+
+def may_link(na: int, nb: int, a: bytes, b: bytes, percent: int = PERCENT) -> bool:
+    """False only for sets that cannot link: their sizes or their sketches differ too much."""
+    common = -(-percent * (na + nb) // (100 + percent))
+    size = 8 * min(len(a), len(b))
+    return common <= min(na, nb) and (_folded(a, size) ^ _folded(b, size)).bit_count() <= na + nb - 2 * common
+
+
 def _text_key(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
 
 
 def described(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
-    """(id, text_key, n_shingles, set) of every row."""
+    """(id, text_key, n_shingles, set, sketch) of every row."""
 
     def run(batches):
         for batch in batches:
-            n, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            n, keys, bits = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
             for _, tokens, of in token_sets(text_array(batch.column("text")), size):
                 n.append(np.diff(of))
                 keys.append(set_keys(tokens, of).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("text_key"), pa.array(np.concatenate(n), pa.int64()), pa.array(np.concatenate(keys))], ["id", "text_key", "n_shingles", "set"])
+                bits += sketches(tokens, of)
+            arrays = [pa.array(np.concatenate(n), pa.int64()), pa.array(np.concatenate(keys)), pa.array(bits, pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("text_key"), *arrays], ["id", "text_key", "n_shingles", "set", "sketch"])
 
     slim = docs.select(F.col(key).alias("id"), _text_key(F.col(text)).alias("text_key"), F.col(text).cast("string").alias("text"))
-    return slim.mapInArrow(run, f"id {dict(slim.dtypes)['id']}, text_key long, n_shingles long, set long")
+    return slim.mapInArrow(run, f"id {dict(slim.dtypes)['id']}, text_key long, n_shingles long, set long, sketch binary")
 
 
 def frequent_tokens(docs: DataFrame, text: str, size: int, limit: int = FREQUENT) -> np.ndarray:
@@ -206,10 +235,10 @@ def member_lists(docs: DataFrame, text: str, bits: np.ndarray, size: int, percen
 
 
 def verified(docs: DataFrame, text: str, pairs: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFrame:
-    """(a, b) of the pairs of sets that link, compared token by token."""
+    """(a, b) of the pairs of sets that link: sketches drop pairs that cannot, the others are compared token by token."""
     spark = docs.sparkSession
-    pairs = cut(pairs, "set-pairs")
-    wanted = cut(pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct().join(sets, "set").select("text_key"), "wanted-texts")
+    pairs = cut(_sketched(cut(pairs, "set-pairs"), sets, percent), "likely-pairs")
+    wanted = cut(pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct().join(sets.select("set", "text_key"), "set").select("text_key"), "wanted-texts")
     shared = spark.sparkContext.broadcast(_text_filter(wanted))
 
     def run(batches):
@@ -245,6 +274,21 @@ def verified(docs: DataFrame, text: str, pairs: DataFrame, sets: DataFrame, size
     return both.select("a", "b", "ta", "tb").mapInArrow(compare, "a long, b long")
 
 
+def _sketched(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sketches allow a link."""
+    side = lambda c: sets.select(F.col("set").alias(c), F.struct("n_shingles", "sketch").alias(f"s{c}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+
+    def run(batches):
+        for batch in batches:
+            a, b = batch.column("sa").to_pylist(), batch.column("sb").to_pylist()
+            kept = [i for i, (x, y) in enumerate(zip(a, b, strict=True)) if may_link(x["n_shingles"], y["n_shingles"], x["sketch"], y["sketch"], percent)]
+            index = pa.array(kept, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("a").take(index), batch.column("b").take(index)], ["a", "b"])
+
+    return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+
+
 def _text_filter(keys: DataFrame) -> np.ndarray:
     """Filter of text keys: at most 2**SETS_BITS / 64 rows of 64 bits reach the driver."""
     bit = F.shiftrightunsigned(F.col("text_key"), 64 - SETS_BITS)
@@ -256,7 +300,7 @@ def _text_filter(keys: DataFrame) -> np.ndarray:
 
 def links(docs: DataFrame, text: str, rows: DataFrame, size: int = SIZE, percent: int = PERCENT, frequent: int = FREQUENT) -> DataFrame:
     """(a, b): verified links between sets that connect everything that links; `rows` are described() rows."""
-    sets = cut(rows.filter("n_shingles > 0").groupBy("set").agg(F.min("text_key").alias("text_key")), "sets")
+    sets = cut(rows.filter("n_shingles > 0").groupBy("set").agg(F.min("text_key").alias("text_key"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")), "sets")
     lists = cut(member_lists(docs, text, frequent_tokens(docs, text, size, frequent), size, percent), "member-lists")
     member = lists.select(F.col("members")[0].alias("a"), F.explode(F.slice("members", 2, 1 << 30)).alias("b"))
     first = cut(verified(docs, text, member.distinct(), sets, size, percent), "first-links")
@@ -274,7 +318,7 @@ def links(docs: DataFrame, text: str, rows: DataFrame, size: int = SIZE, percent
 
 
 def classes(docs: DataFrame, key: str, text: str, size: int = SIZE, percent: int = PERCENT, frequent: int = FREQUENT) -> DataFrame:
-    """(id, text_key, n_shingles, set, component_id) of every row of docs."""
+    """(id, text_key, n_shingles, set, component_id) of every row of docs; empty sets have their own id."""
     rows = cut(described(docs, key, text, size), "document-sets")
     nodes = cut(components(links(docs, text, rows, size, percent, frequent)), "components").select(F.col("node").alias("set"), "component")
     named = rows.filter("n_shingles > 0").groupBy("set").agg(F.min("id").alias("id")).join(nodes, "set", "left").withColumn("component", F.coalesce("component", "set"))
