@@ -10,11 +10,12 @@ ids last; rows with the same id are at the same place and keep their lines.
    64-bit hash with the size class of its count on top, so sorting tokens
    orders them by rarity.
 2. Lines with equal tokens are one set, named by its first place. Only the
-   prefix of a set (what a partner must share with it) goes on.
-3. Prefix tokens meet by key under length and positional filters. Whether a set
-   goes is a question of existence, so each set is first compared with the
-   first member of its tokens' groups; in groups of near copies that settles
-   almost all, and only sets still open meet all earlier members.
+   prefix of a set (what a partner must share with it) goes on, with 64 parity
+   bits: sets that differ in k tokens differ in k of the bits at most.
+3. Prefix tokens meet by key under length, positional and parity filters.
+   Whether a set goes is a question of existence, so each set is first compared
+   with the first member of its tokens' groups; in groups of near copies that
+   settles almost all, and only sets still open meet all earlier members.
 4. Candidates are verified on whole token sets, cut again from their documents.
 """
 
@@ -31,35 +32,51 @@ THRESHOLD = 0.9
 MIN_WORDS = 5
 COUNT_BITS = 14  # counters of the word table
 CLASS_BITS = 57  # below: hash; above: class of the count
+SENT_BYTES = 8 << 20  # a stored table of up to this size is sent to the tasks instead of moving texts to it
+SPACE = r"[\x09-\x0D\x20]"
 
 
 def word_hashes(line: Column) -> Column:
     """64-bit hashes of the distinct lower-cased words."""
-    each = F.transform(F.split(F.lower(line), r"[\x09-\x0D\x20]+"), lambda w: F.xxhash64(w))
-    return F.array_remove(F.array_distinct(each), F.xxhash64(F.lit("")))
+    return F.array_remove(F.array_distinct(F.transform(F.split(F.lower(line), SPACE), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
 
 
-def count_classes(lines: DataFrame) -> bytes:
+def count_classes(docs: DataFrame, text: str) -> list[int]:
     """The class of each counter (1 to 60, twice the logarithm of the count); 2**COUNT_BITS rows reach the driver."""
-    slot = F.shiftrightunsigned(F.col("h"), 64 - COUNT_BITS)
-    counts = lines.select(F.explode(word_hashes(F.col("line"))).alias("h")).groupBy(slot.alias("slot")).count().collect()
-    out = bytearray(b"\x01" * (1 << COUNT_BITS))
+    words = docs.select(F.explode(F.split(F.lower(F.col(text).cast("string")), SPACE)).alias("w"))
+    counts = words.groupBy(F.shiftrightunsigned(F.xxhash64("w"), 64 - COUNT_BITS).alias("slot")).count().collect()
+    out = [1] * (1 << COUNT_BITS)
     for r in counts:
         out[r["slot"]] = min(60, 1 + floor(2 * log2(r["count"])))
-    return bytes(out)
+    return out
 
 
-def token_set(line: Column, classes: bytes) -> Column:
+def token_set(line: Column, classes: list[int]) -> Column:
     """The line's tokens, rarest first."""
-    table = F.lit(bytearray(classes))
+    table = F.split(F.lit(",".join(map(str, classes))), ",").cast("array<int>")  # folded to one literal
 
     def token(h: Column) -> Column:
-        size = F.ascii(F.substring(table, F.shiftrightunsigned(h, 64 - COUNT_BITS).cast("int") + 1, 1).cast("string"))
+        size = F.get(table, F.shiftrightunsigned(h, 64 - COUNT_BITS).cast("int"))
         return F.shiftleft(size.cast("long"), CLASS_BITS).bitwiseOR(h.bitwiseAND(F.lit((1 << CLASS_BITS) - 1)))
 
     return F.sort_array(F.transform(word_hashes(line), token))
 
 
+def parity(tokens: Column) -> Column:
+    """Bit b: whether an odd number of the tokens have b in their lowest six bits."""
+    return F.aggregate(tokens, F.lit(0).cast("long"), lambda acc, t: acc.bitwiseXOR(_bit(t)))
+
+
+def _bit(token: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), token.bitwiseAND(F.lit(63)).cast("int"))
+
+
+def sent_if_small(df: DataFrame) -> DataFrame:
+    """A stored table, marked for broadcast when Spark knows it to be small; otherwise joined by key."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(df) if size <= SENT_BYTES else df
+
+
 def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(id, text_hash, no, line) of every line."""
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
@@ -68,33 +85,39 @@ def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 def removed_lines(docs: DataFrame, key: str, text: str, threshold: float = THRESHOLD, min_words: int = MIN_WORDS) -> DataFrame:
     """(id, text_hash, numbers): the numbers of the lines to remove, for the texts that lose any."""
-    lines = _lines(docs, key, text)
-    classes = count_classes(lines)
-    tokens = lines.select("id", "text_hash", "no", token_set(F.col("line"), classes).alias("tokens")).filter(F.size("tokens") >= min_words)
+    classes = count_classes(docs, text)
+    tokens = _lines(docs, key, text).select("id", "text_hash", "no", token_set(F.col("line"), classes).alias("tokens")).filter(F.size("tokens") >= min_words)
     n = F.size("tokens")
+    # n and the position of a token share a long with it below; both fit their 31 bits.
     sized = cut(
-        tokens.select("id", "text_hash", "no", F.xxhash64("tokens").alias("set"), n.alias("n"), F.slice("tokens", 1, n - F.ceil(n * threshold).cast("int") + 1).alias("prefix")),
+        tokens.select("id", "text_hash", "no", F.xxhash64("tokens").alias("set"), n.alias("n"), parity(F.col("tokens")).alias("bits"), F.slice("tokens", 1, n - F.ceil(n * threshold).cast("int") + 1).alias("prefix")),
         "line-prefixes",
     )
     place = F.struct(F.col("id").isNull().alias("last"), F.col("id"), F.col("no"), F.col("text_hash"))
-    sets = cut(sized.groupBy("set").agg(F.min(place).alias("place"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.count(F.lit(1)).alias("lines")), "line-sets")
+    sets = cut(
+        sized.groupBy("set").agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("lines"), F.first(F.struct("n", "bits", "prefix")).alias("of")).select("set", "place", "lines", "of.*"),
+        "line-sets",
+    )
 
-    rows = sets.select("set", F.col("place.last").alias("last"), F.col("place.id").alias("id"), F.col("place.no").alias("no"), "n", F.posexplode("prefix").alias("at", "token"))
+    head = F.struct(F.col("place.last").alias("last"), F.col("place.id").alias("id"), F.col("place.no").alias("no"), F.col("set").alias("set"))
+    rows = sets.select(head.alias("head"), "n", "bits", F.posexplode("prefix").alias("at", "token"))
     # A token of one set has no partner; what is left is stored once for both rounds.
-    many = cut(rows.withColumn("first", F.min(F.struct("last", "id", "no", "set", "n", "at")).over(Window.partitionBy("token")))
-               .filter(F.col("first.set") != F.col("set")), "prefix-groups")
-    near = lambda a_n, a_at, b_n, b_at: (  # noqa: E731  length and positional filter at the first shared token
-        (F.least(a_n, b_n) >= F.ceil(F.greatest(a_n, b_n) * threshold))
-        & (1 + F.least(a_n - a_at - 1, b_n - b_at - 1) >= F.ceil((a_n + b_n) * (threshold / (1 + threshold)) - 1e-9))
-    )
-    stars = many.filter(near(F.col("first.n"), F.col("first.at"), F.col("n"), F.col("at"))).select(F.col("first.set").alias("a"), F.col("set").alias("b")).distinct()
+    many = cut(rows.withColumn("first", F.min(F.struct("head", "n", "at", "bits")).over(Window.partitionBy("token"))).filter(F.col("first.head.set") != F.col("head.set")), "prefix-groups")
+
+    def near(a: str, b: str) -> Column:
+        """Length, positional and parity filter for a pair at its first shared token."""
+        an, bn, aat, bat = F.col(f"{a}n"), F.col(f"{b}n"), F.col(f"{a}at"), F.col(f"{b}at")
+        common = F.ceil((an + bn) * (threshold / (1 + threshold)) - 1e-9)
+        return (F.least(an, bn) >= common) & (1 + F.least(an - aat - 1, bn - bat - 1) >= common) & (F.bit_count(F.col(f"{a}bits").bitwiseXOR(F.col(f"{b}bits"))) <= an + bn - 2 * common)
+
+    flat = many.select("head", "n", "at", "bits", "token", F.col("first.head.set").alias("a"), F.col("first.n").alias("fn"), F.col("first.at").alias("fat"), F.col("first.bits").alias("fbits"))
+    stars = flat.filter(near("f", "")).select("a", F.col("head.set").alias("b")).distinct()
     settled = cut(verified(docs, key, text, stars, sets, classes, threshold), "settled-lines")
-    # Sets still open meet every earlier member of their groups.
-    open_rows = many.drop("first").join(settled, many["set"] == settled["b"], "left_anti")
-    earlier = many.select(F.col("token").alias("a_token"), F.col("set").alias("a"), F.col("last").alias("a_last"), F.col("id").alias("a_id"), F.col("no").alias("a_no"), F.col("n").alias("a_n"), F.col("at").alias("a_at"))
-    before = F.struct("a_last", "a_id", "a_no", "a") < F.struct(F.col("last").alias("a_last"), F.col("id").alias("a_id"), F.col("no").alias("a_no"), F.col("set").alias("a"))
-    pairs = open_rows.join(earlier, (F.col("token") == F.col("a_token")) & before & near(F.col("a_n"), F.col("a_at"), F.col("n"), F.col("at")))
-    rest = verified(docs, key, text, pairs.select("a", F.col("set").alias("b")).distinct(), sets, classes, threshold)
+    # Sets still open meet every earlier member of their groups, the first of them done.
+    open_rows = many.select("head", "n", "at", "bits", "token").join(settled, F.col("head.set") == F.col("b"), "left_anti")
+    earlier = many.select(F.col("token").alias("etoken"), F.col("head").alias("ehead"), F.col("n").alias("en"), F.col("at").alias("eat"), F.col("bits").alias("ebits"))
+    pairs = open_rows.join(earlier, (F.col("token") == F.col("etoken")) & (F.col("ehead") < F.col("head")) & near("e", ""))
+    rest = verified(docs, key, text, pairs.select(F.col("ehead.set").alias("a"), F.col("head.set").alias("b")).distinct(), sets, classes, threshold)
     gone = settled.union(rest).select(F.col("b").alias("set")).distinct().withColumn("all", F.lit(True))
 
     # Of a set that goes all lines go; of others all but those at the first place.
@@ -104,14 +127,14 @@ def removed_lines(docs: DataFrame, key: str, text: str, threshold: float = THRES
     return out.groupBy("id", "text_hash").agg(F.collect_set("no").alias("numbers"))
 
 
-def verified(docs: DataFrame, key: str, text: str, pairs: DataFrame, sets: DataFrame, classes: bytes, threshold: float) -> DataFrame:
+def verified(docs: DataFrame, key: str, text: str, pairs: DataFrame, sets: DataFrame, classes: list[int], threshold: float) -> DataFrame:
     """(b) of the pairs (a, b) of sets whose Jaccard similarity is at least `threshold`."""
     pairs = cut(pairs, "line-pairs")
     need = pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct().join(sets.select("set", "place"), "set")
     wanted = cut(need.groupBy(F.col("place.id").alias("_id"), F.col("place.text_hash").alias("_hash")).agg(F.collect_set("place.no").alias("_numbers")), "wanted-lines")
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.select(F.col(key).alias("id"), F.xxhash64(body).alias("text_hash"), body.alias("text"))
-    held = rows.join(wanted, F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
+    held = rows.join(sent_if_small(wanted), F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
     lines = held.select(F.split("text", "\n", -1).alias("lines"), F.explode("_numbers").alias("no")).select(F.get("lines", F.col("no")).alias("line"))
     tokens = cut(lines.select(token_set(F.col("line"), classes).alias("tokens")).select(F.xxhash64("tokens").alias("set"), "tokens").dropDuplicates(["set"]), "wanted-sets")
     both = pairs.join(tokens.select(F.col("set").alias("a"), F.col("tokens").alias("ta")), "a").join(tokens.select(F.col("set").alias("b"), F.col("tokens").alias("tb")), "b")
@@ -119,6 +142,15 @@ def verified(docs: DataFrame, key: str, text: str, pairs: DataFrame, sets: DataF
     return both.select("b", common.alias("c"), (F.size("ta") + F.size("tb")).alias("sum")).filter(F.col("c") >= threshold * (F.col("sum") - F.col("c")) - 1e-9).select("b").distinct()
 
 
+def removals(docs: DataFrame, key: str, text: str, threshold: float = THRESHOLD, min_words: int = MIN_WORDS) -> DataFrame:
+    """(key, n_lines, n_removed, removed) of every row: the numbers of the removed lines from 0 on, ascending."""
+    gone = cut(removed_lines(docs, key, text, threshold, min_words).select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), F.sort_array("numbers").alias("removed")), "removed-lines")
+    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    rows = docs.select(F.col(key).alias("id"), F.xxhash64(body).alias("text_hash"), (F.octet_length(body) - F.octet_length(F.replace(body, F.lit("\n"), F.lit(""))) + 1).cast("long").alias("n_lines"))
+    joined = rows.join(gone, F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left")
+    return joined.select(F.col("id").alias(key), "n_lines", F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"), F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
+
+
 def without_lines(docs: DataFrame, key: str, text: str, threshold: float = THRESHOLD, min_words: int = MIN_WORDS, removed: str | None = None) -> DataFrame:
     """All rows and columns of docs, `text` without its removed lines; `removed` names a column for their number.
 

@@ -107,9 +107,7 @@ def op2_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op9_line_join")
 def op9_line_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = line_join.without_lines(docs, "doc_id", "text", removed="n_removed")
-    return out.select("doc_id", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+    return line_join.removals(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
 @query("op3_ngram_jaccard")
