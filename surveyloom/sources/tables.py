@@ -18,19 +18,22 @@ def read_columns(spark: SparkSession, path: str, columns: Sequence[str], format:
     return spark.read.format(format).load(path).select(*columns)
 
 
+_OWN: dict[str, str] = {}  # by application
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the folder all executors share, named by spark.checkpoint.dir.
 
-    Where it is unset, a folder is set for the session only if driver and
-    executors are one process (master local[n]); elsewhere that is an error.
+    Where it is unset, an own folder serves as long as driver and executors are
+    one process (master local[n]); elsewhere that is an error.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         master = spark.sparkContext.master
         if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        shared = tempfile.mkdtemp(prefix="surveyloom-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        shared = _OWN.get(spark.sparkContext.applicationId) or tempfile.mkdtemp(prefix="surveyloom-")
+        _OWN[spark.sparkContext.applicationId] = shared
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
