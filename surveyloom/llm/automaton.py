@@ -94,8 +94,8 @@ def _less(a, at_a, b, at_b):
     return np.where(right, b, a), np.where(right, at_b, at_a)
 
 
-def hot_anchors(docs: DataFrame, text: str, length: int, gram: int) -> np.ndarray:
-    """Filter bits of the anchors of more than HOT passages; each range sends its fixed share of the bits."""
+def hot_anchors(docs: DataFrame, text: str, length: int, gram: int, limit: int = HOT) -> np.ndarray:
+    """Filter bits of the anchors of more than `limit` passages; each range sends its fixed share of the bits."""
     parts = min(ranges(docs.sparkSession), 1 << (FILTER_BITS - 6))
 
     def count(batches):
@@ -107,7 +107,7 @@ def hot_anchors(docs: DataFrame, text: str, length: int, gram: int) -> np.ndarra
     def merge(table: pa.Table) -> pa.Table:
         keys, n = gathered(table, np.uint32)
         start, _ = groups(keys)
-        hot = keys[start][np.add.reduceat(n.astype(np.int64), start) > HOT] if len(start) else keys
+        hot = keys[start][np.add.reduceat(n.astype(np.int64), start) > limit] if len(start) else keys
         bits = np.zeros((1 << (FILTER_BITS - 6)) // parts, U)
         bit = hot >> U(64 - FILTER_BITS)
         np.bitwise_or.at(bits, (bit >> U(6)) % U(len(bits)), U(1) << (bit & U(63)))
@@ -323,11 +323,11 @@ def compared(docs: DataFrame, text: str, requests: DataFrame, length: int) -> Da
     return in_ranges(rows.mapInArrow(run, "part int, blob binary, words binary"), merge, _OUT)
 
 
-def repeated_windows(docs: DataFrame, text: str, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def repeated_windows(docs: DataFrame, text: str, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """(text_key, starts, masks): from word starts[i] on, bit j of masks[i] marks a repeated window at starts[i] + j."""
     if not 0 <= length - gram < 32:
         raise ValueError("a passage holds at most 32 windows: gram must lie within 31 words of length")
-    found = cut(meetings(docs, text, hot_anchors(docs, text, length, gram), length, gram), "passages")
+    found = cut(meetings(docs, text, hot_anchors(docs, text, length, gram, hot), length, gram), "passages")
     more = cut(compared(docs, text, found.filter(F.col("kind") == REQUEST).select("part", "blob"), length), "compared-passages")
     verdicts = found.filter(F.col("kind") == VERDICT).select("part", "blob").union(more.select("part", "blob"))
     return cut(_by_text(verdicts, [np.uint32, np.uint32], "starts array<int>, masks array<long>", [pa.int32(), pa.int64()]), "repeated-windows")
@@ -345,16 +345,16 @@ def _cover(words: int, starts: np.ndarray, masks: np.ndarray, length: int) -> np
 
 def without_repeats(docs: DataFrame, keep_columns: list[str], text: str, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """(keep_columns, n_words, n_removed, kept): the kept words of every row, joined by one space."""
-    return _applied(docs, keep_columns, text, length, gram, [("kept", "string", pa.string(), lambda kept: kept.decode())])
+    return _applied(docs, keep_columns, text, length, gram, HOT, [("kept", "string", pa.string(), lambda kept: kept.decode())])
 
 
-def digests(docs: DataFrame, key: str, text: str, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def digests(docs: DataFrame, key: str, text: str, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """(key, n_words, n_removed, kept_sha256) of every row."""
-    return _applied(docs, [key], text, length, gram, [("kept_sha256", "string", pa.string(), lambda kept: hashlib.sha256(kept).hexdigest())])
+    return _applied(docs, [key], text, length, gram, hot, [("kept_sha256", "string", pa.string(), lambda kept: hashlib.sha256(kept).hexdigest())])
 
 
-def _applied(docs: DataFrame, keep_columns: list[str], text: str, length: int, gram: int, out: list) -> DataFrame:
-    marked = repeated_windows(docs, text, length, gram).select(F.col("text_key").alias("_text_key"), F.col("starts").alias("_starts"), F.col("masks").alias("_masks"))
+def _applied(docs: DataFrame, keep_columns: list[str], text: str, length: int, gram: int, hot: int, out: list) -> DataFrame:
+    marked = repeated_windows(docs, text, length, gram, hot).select(F.col("text_key").alias("_text_key"), F.col("starts").alias("_starts"), F.col("masks").alias("_masks"))
     rows = docs.select(*keep_columns, F.col(text).cast("string").alias("_text"), _text_key(F.col(text)).alias("_text_key")).join(marked, "_text_key", "left").drop("_text_key")
     names = ["n_words", "n_removed", *(o[0] for o in out)]
     schema = ", ".join(f"`{c}` {k}" for c, k in docs.select(*keep_columns).dtypes) + ", n_words long, n_removed long, " + ", ".join(f"{o[0]} {o[1]}" for o in out)

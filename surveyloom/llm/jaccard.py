@@ -318,14 +318,17 @@ def links(docs: DataFrame, text: str, rows: DataFrame, size: int = SIZE, percent
 
 
 def classes(docs: DataFrame, key: str, text: str, size: int = SIZE, percent: int = PERCENT, frequent: int = FREQUENT) -> DataFrame:
-    """(id, text_key, n_shingles, set, component_id) of every row of docs; empty sets have their own id."""
+    """(id, text_key, n_shingles, set, component, component_id) of every row of docs.
+
+    Empty sets have no component and their own id; classes that repeat an id may share a component_id.
+    """
     rows = cut(described(docs, key, text, size), "document-sets")
     nodes = cut(components(links(docs, text, rows, size, percent, frequent)), "components").select(F.col("node").alias("set"), "component")
     named = rows.filter("n_shingles > 0").groupBy("set").agg(F.min("id").alias("id")).join(nodes, "set", "left").withColumn("component", F.coalesce("component", "set"))
     named = cut(named, "named-sets")
     least = named.groupBy("component").agg(F.min("id").alias("component_id"))
-    known = cut(named.join(least, "component").select("set", "component_id"), "set-components")
-    linked = rows.join(known, (rows["set"] == known["set"]) & (rows["n_shingles"] > 0), "left").drop(known["set"])
+    known = cut(named.join(least, "component").select(F.col("set").alias("_set"), "component", "component_id"), "set-components")
+    linked = rows.drop("sketch").join(known, (F.col("set") == F.col("_set")) & (F.col("n_shingles") > 0), "left").drop("_set")
     return linked.withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id")))
 
 
@@ -336,8 +339,7 @@ def one_of_each(docs: DataFrame, key: str, text: str, size: int = SIZE, percent:
     text hash stay; rows with empty sets all stay, null ids come last.
     """
     found = classes(docs, key, text, size, percent).filter("n_shingles > 0")
-    name = F.struct(F.col("component_id").isNull(), "component_id", F.when(F.col("component_id").isNull(), F.col("set")))
-    best = found.groupBy(name.alias("class")).agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "text_key")).alias("best"))
+    best = found.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "text_key")).alias("best"))
     keep = cut(best.select(F.col("best.id").alias("_id"), F.col("best.text_key").alias("_text_key")).distinct(), "kept-documents")
     # Whole rows travel as one struct, so no column can clash with another.
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(key).alias("id"), _text_key(F.col(text)).alias("text_key"), F.coalesce(F.col(text), F.lit("")).rlike(r"[^\x20\x09-\x0D]").alias("worded"))
