@@ -133,6 +133,15 @@ def _all(n: np.ndarray) -> np.ndarray:
     return ((U(1) << n.astype(U)) - U(1)).astype(np.uint32)
 
 
+def _once(own: np.ndarray, parts: int, start: np.ndarray, n: np.ndarray) -> tuple:
+    """Whole passages of texts, each place of a text once: copies of a text say the same."""
+    order = np.lexsort((start, own))
+    own, start, n = own[order], start[order], n[order]
+    new = np.ones(len(own), bool)
+    new[1:] = (own[1:] != own[:-1]) | (start[1:] != start[:-1])
+    return own[new], parts, start[new], _all(n[new])
+
+
 def meetings(docs: DataFrame, text: str, hot: np.ndarray, length: int, gram: int) -> DataFrame:
     """(kind, part, blob): verdicts (text, first window, windows that repeat) and requests for passages to be compared."""
     parts, shared = ranges(docs.sparkSession), docs.sparkSession.sparkContext.broadcast(hot)
@@ -155,7 +164,7 @@ def meetings(docs: DataFrame, text: str, hot: np.ndarray, length: int, gram: int
             times = np.diff(np.append(at, len(key)))
             again = np.repeat(times > 1, times)  # settled here: an equal passage lies in this batch
             yield dealt(key[at], parts, content[at], own[at], start[at], n[at], np.minimum(times, 2).astype(np.uint8))
-            here = dealt(own[again], parts, start[again], _all(n[again]))
+            here = dealt(*_once(own[again], parts, start[again], n[again]))
             yield pa.RecordBatch.from_arrays([pa.array(-1 - here.column("part").to_numpy(), pa.int32()), here.column("blob")], ["part", "blob"])
 
     def merge(table: pa.Table) -> pa.Table:
@@ -175,7 +184,7 @@ def meetings(docs: DataFrame, text: str, hot: np.ndarray, length: int, gram: int
         distinct = np.add.reduceat(first.astype(np.int64), low) if len(low) else np.zeros(0, np.int64)
         compared = first & np.repeat((weight > 1) & (distinct > 1), size)
         times_all = np.repeat(np.minimum(known, 2), held)
-        verdict = dealt(own[settled], parts, start[settled], _all(n[settled]))
+        verdict = dealt(*_once(own[settled], parts, start[settled], n[settled]))
         request = dealt(own[compared], parts, start[compared], n[compared], key[compared], times_all[compared].astype(np.uint8))
         return pa.concat_tables([_tagged(VERDICT, verdict), _tagged(REQUEST, request)])
 
@@ -184,10 +193,15 @@ def meetings(docs: DataFrame, text: str, hot: np.ndarray, length: int, gram: int
 
 
 def _by_text(blobs: DataFrame, kinds: list[type], schema: str, types: list[pa.DataType]) -> DataFrame:
-    """One row per text from blobs keyed by text; the values as arrays."""
+    """One row per text from blobs keyed by text; the values as arrays, each start once."""
 
     def merge(table: pa.Table) -> pa.Table:
         key, *values = gathered(table, *kinds)
+        order = np.lexsort((values[0], key))
+        key, values = key[order], [v[order] for v in values]
+        new = np.ones(len(key), bool)
+        new[1:] = (key[1:] != key[:-1]) | (values[0][1:] != values[0][:-1])
+        key, values = key[new], [v[new] for v in values]
         low, size = groups(key)
         offsets = pa.array(np.append(low, len(key)) if len(low) else [0], pa.int32())
         arrays = [pa.ListArray.from_arrays(offsets, pa.array(v.astype(t.to_pandas_dtype(), copy=False) if v.dtype != U else v.view(np.int64), t)) for v, t in zip(values, types, strict=True)]

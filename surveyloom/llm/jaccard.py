@@ -2,8 +2,8 @@
 
 A document's tokens are its distinct runs of `size` words (lower-cased in
 ASCII), or its whole word sequence when it has fewer. Two documents link when
-100 * common >= percent * union. Tokens are ordered rare before frequent, by
-hash inside each class. A set of n tokens shares at least `need(n)` of them with
+100 * common >= percent * union. Tokens are ordered by classes of rising
+frequency, by hash inside each class. A set of n tokens shares at least `need(n)` of them with
 any partner, so at most n - need(n) of its tokens can be missing there, and a
 prefix that still gives a shared signature after losing that many is enough:
 
@@ -17,9 +17,9 @@ prefix that still gives a shared signature after losing that many is enough:
 
 Documents with equal sets are one set. Signatures are sorted in ranges of keys;
 the distinct member lists they leave are few, since copies share most of them.
-Every member is first verified against the first of its list. In groups of
+Every member is first verified against the centre of its list. In groups of
 copies that links everything, and only lists that still hold sets of different
-components meet pairwise (across components). Verification drops pairs whose parity sketches differ in
+components are compared by sketches (across components, block by block). Verification drops pairs whose parity sketches differ in
 too many bits, which no link can, and compares the others on whole sets.
 
 Null and blank texts have empty sets and no links. Rows with equal ids are
@@ -39,9 +39,8 @@ from .packed import BLOB, dealt, gathered, groups, in_ranges, ranges
 from .words import U, mix, pieces, text_array, windows
 
 SIZE, PERCENT = 5, 75
-FREQUENT = 4  # a token in more sets than this is frequent; doubled until the filter has room
-FILTER_BITS = 26  # 8 MB filter of the frequent tokens
-MOST_FREQUENT = 1 << (FILTER_BITS - 4)
+FREQUENT = 4  # a token in more rows than this is frequent, doubled until its filter has room
+LEVELS = ((1, 26), (16, 23), (256, 20))  # classes of frequent tokens: times FREQUENT, and bits of their filter
 SETS_BITS = 24  # 2 MB filter of the texts whose sets are verified
 
 
@@ -122,13 +121,13 @@ def described(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
     return slim.mapInArrow(run, f"id {dict(slim.dtypes)['id']}, text_key long, n_shingles long, set long, sketch binary")
 
 
-def frequent_tokens(docs: DataFrame, text: str, size: int, limit: int = FREQUENT) -> np.ndarray:
-    """Filter bits of the tokens that more rows than a limit hold; counted over all rows.
+def frequent_tokens(docs: DataFrame, text: str, size: int, frequent: int = FREQUENT) -> list[np.ndarray]:
+    """For each class of LEVELS, filter bits of the tokens that more rows than its limit hold; counted over all rows.
 
-    The limit (a power of two) is doubled until at most MOST_FREQUENT tokens are above
-    it: that many keys reach the driver. Any filter gives the same links.
+    A limit (a power of two) is doubled until a sixteenth of the filter's bits
+    suffices: that many keys reach the driver. Any filters give the same links.
     """
-    parts, least = ranges(docs.sparkSession), limit
+    parts, least = ranges(docs.sparkSession), frequent * LEVELS[0][0]
 
     def count(batches):
         for batch in batches:
@@ -145,22 +144,32 @@ def frequent_tokens(docs: DataFrame, text: str, size: int, limit: int = FREQUENT
 
     found = cut(in_ranges(docs.select(F.col(text).cast("string").alias("text")).mapInArrow(count, BLOB), merge, "h long, n long"), "frequent-tokens")
     above = {r["level"]: r["count"] for r in found.groupBy(F.floor(F.log2(F.col("n") - 1)).alias("level")).count().collect()}
-    while sum(c for level, c in above.items() if level >= int(np.log2(limit))) > MOST_FREQUENT:
-        limit *= 2
-    keys = found.filter(F.col("n") > limit).select("h").toArrow().column("h").to_numpy().view(U)
-    bits = np.zeros(1 << (FILTER_BITS - 6), U)
-    bit = mix(keys) >> U(64 - FILTER_BITS)
-    np.bitwise_or.at(bits, bit >> U(6), U(1) << (bit & U(63)))
-    return bits
-
-
-def is_frequent(tokens: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    bit = mix(tokens >> U(24) << U(24)) >> U(64 - FILTER_BITS)
-    return (bits[bit >> U(6)] >> (bit & U(63))) & U(1) == 1
+    filters = []
+    for times, width in LEVELS:
+        limit = frequent * times
+        while sum(c for level, c in above.items() if level >= int(np.log2(limit))) > 1 << (width - 4):
+            limit *= 2
+        keys = found.filter(F.col("n") > limit).select("h").toArrow().column("h").to_numpy().view(U)
+        bits = np.zeros(1 << (width - 6), U)
+        bit = mix(keys) >> U(64 - width)
+        np.bitwise_or.at(bits, (bit >> U(6)).astype(np.int64), U(1) << (bit & U(63)))
+        filters.append(bits)
+    return filters
+
+
+def classes_of(tokens: np.ndarray, filters: list[np.ndarray]) -> np.ndarray:
+    """0 for a rare token, else the number of filters that hold it from the first on."""
+    key = mix(tokens >> U(24) << U(24))
+    level, still = np.zeros(len(tokens), np.int64), np.ones(len(tokens), bool)
+    for bits in filters:
+        bit = key >> U(64 - (len(bits).bit_length() + 5))
+        still &= (bits[(bit >> U(6)).astype(np.int64)] >> (bit & U(63))) & U(1) == 1
+        level += still
+    return level
 
 
 def pair_signatures(tokens: np.ndarray, n: int, lost: int, percent: int) -> np.ndarray:
-    """Signatures of frequent tokens (sorted by hash) of a set of n tokens from which `lost` of them may be missing."""
+    """Signatures of frequent tokens (in their order) of a set of n tokens from which `lost` of them may be missing."""
     out = []
     band = int(np.floor(np.log(n) / np.log(100 / percent) + 1e-9))
     for scheme in (band, band + 1):
@@ -181,29 +190,31 @@ def pair_signatures(tokens: np.ndarray, n: int, lost: int, percent: int) -> np.n
     return np.concatenate(out) if out else np.zeros(0, U)
 
 
-def signatures(tokens: np.ndarray, of: np.ndarray, bits: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
+def signatures(tokens: np.ndarray, of: np.ndarray, filters: list[np.ndarray], percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
     """(signature, row) of a slice's sets."""
     n = np.diff(of)
     row = np.repeat(np.arange(len(n)), n)
     lost = n - need(n, percent)
-    often = is_frequent(tokens, bits)
+    level = classes_of(tokens, filters)
+    often = level > 0
     rare = np.concatenate(([0], np.cumsum(~often)))
     rank = rare[:-1] - rare[of[row]]  # rare tokens of the row before this one
     use = ~often & (rank <= lost[row])
     keys, rows = [mix(tokens[use])], [row[use]]
     u = rare[of[1:]] - rare[of[:-1]]
     for r in np.flatnonzero((u <= lost) & (n > u)):
-        own = tokens[of[r] : of[r + 1]]
-        made = pair_signatures(own[often[of[r] : of[r + 1]]], int(n[r]), int(lost[r] - u[r]), percent)
+        own, rank = tokens[of[r] : of[r + 1]], level[of[r] : of[r + 1]]
+        ordered = own[np.argsort(rank, kind="stable")][int(u[r]) :]
+        made = pair_signatures(ordered, int(n[r]), int(lost[r] - u[r]), percent)
         keys.append(made)
         rows.append(np.full(len(made), r))
     return np.concatenate(keys), np.concatenate(rows)
 
 
-def member_lists(docs: DataFrame, text: str, bits: np.ndarray, size: int, percent: int) -> DataFrame:
+def member_lists(docs: DataFrame, text: str, filters: list[np.ndarray], size: int, percent: int) -> DataFrame:
     """(members): the distinct lists of two or more sets that share a signature, each sorted."""
     spark = docs.sparkSession
-    parts, shared = ranges(spark), spark.sparkContext.broadcast(bits)
+    parts, shared = ranges(spark), spark.sparkContext.broadcast(filters)
 
     def run(batches):
         table = shared.value
@@ -302,19 +313,94 @@ def links(docs: DataFrame, text: str, rows: DataFrame, size: int = SIZE, percent
     """(a, b): verified links between sets that connect everything that links; `rows` are described() rows."""
     sets = cut(rows.filter("n_shingles > 0").groupBy("set").agg(F.min("text_key").alias("text_key"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")), "sets")
     lists = cut(member_lists(docs, text, frequent_tokens(docs, text, size, frequent), size, percent), "member-lists")
-    member = lists.select(F.col("members")[0].alias("a"), F.explode(F.slice("members", 2, 1 << 30)).alias("b"))
-    first = cut(verified(docs, text, member.distinct(), sets, size, percent), "first-links")
+    members = lists.select("name", F.explode("members").alias("node"))
+    # Of a list the set with most lists is the centre: an original meets its copies in more places than they each other.
+    degree = cut(members.groupBy("node").agg(F.count(F.lit(1)).alias("n")), "set-degrees")
+    counted = members.join(degree, "node")
+    centre = counted.groupBy("name").agg(F.max(F.struct("n", "node")).alias("top"), F.count(F.lit(1)).alias("m")).select("name", "m", F.col("top.node").alias("centre"))
+    placed = cut(members.join(centre, "name"), "list-members")
+    star = placed.filter(F.col("node") != F.col("centre")).select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
+    star = cut(star, "centre-pairs")
+    first = cut(verified(docs, text, star, sets, size, percent), "first-links")
     # Lists whose members are not all connected yet meet across components.
     known = cut(components(first), "first-components")
-    labelled = lists.select("name", F.explode("members").alias("node")).join(known, "node", "left").select("name", "node", F.coalesce("component", "node").alias("component"))
+    labelled = placed.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
     labelled = cut(labelled, "labelled-members")
     open_lists = labelled.groupBy("name").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("name")
-    left = cut(labelled.join(open_lists, "name"), "open-members")
-    other = left.select("name", F.col("node").alias("b"), F.col("component").alias("cb"))
-    pairs = left.select("name", F.col("node").alias("a"), F.col("component").alias("ca")).join(other, "name").filter(F.col("ca") < F.col("cb"))
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    done = member.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return first.union(verified(docs, text, pairs.join(done, ["a", "b"], "left_anti"), sets, size, percent))
+    left = labelled.join(open_lists, "name").join(sets.select(F.col("set").alias("node"), "n_shingles", "sketch"), "node")
+    more = cut(_across(left, percent), "set-pairs").distinct().join(star, ["a", "b"], "left_anti")
+    return first.union(verified(docs, text, more, sets, size, percent))
+
+
+BLOCK = 4_096  # members of a list that are compared together
+PLACED = 200_000  # rows of a centre's lists that are compared in one place
+
+
+def _across(members: DataFrame, percent: int) -> DataFrame:
+    """(a, b): likely pairs of different components in each list, from (name, m, centre, node, component, n_shingles, sketch).
+
+    Lists are cut into blocks and every two blocks of a list meet; only likely
+    pairs are made. Lists of one centre share most of their pairs, so they are
+    compared together, up to PLACED rows.
+    """
+    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
+    parts = ranges(members.sparkSession)
+    own = members.select("name", "node", "component", "n_shingles", "sketch", "centre", F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    met = own.select("*", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    rows = members.groupBy("centre").agg(F.ceil(F.count(F.lit(1)) / PLACED).alias("places"))
+    spread = F.pmod(F.xxhash64("name", "i", "j"), F.col("places"))
+    dealt_out = met.join(rows, "centre").withColumn("part", F.pmod(F.xxhash64("centre", spread), F.lit(parts)).cast("int")).drop("places", "centre")
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("name", "ascending"), ("i", "ascending"), ("j", "ascending"), ("n_shingles", "ascending"), ("node", "ascending")])
+        name, i, j, block, node, component, n = (table.column(c).to_numpy() for c in ("name", "i", "j", "block", "node", "component", "n_shingles"))
+        sketch = table.column("sketch").to_pylist()
+        new = np.ones(len(name), bool)
+        new[1:] = (name[1:] != name[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+        start = np.flatnonzero(new)
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for low, high in zip(start.tolist(), [*start[1:].tolist(), len(name)], strict=True):
+            side = None if i[low] == j[low] else block[low:high]
+            x, y = likely(component[low:high], n[low:high], sketch[low:high], side, percent)
+            a.append(node[low + x])
+            b.append(node[low + y])
+        a, b = np.concatenate(a), np.concatenate(b)
+        pairs = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b)), axis=1), axis=0)
+        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    return dealt_out.groupBy("part").applyInArrow(run, "a long, b long")
+
+
+def likely(component: np.ndarray, n: np.ndarray, sketch: list[bytes], side: np.ndarray | None, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of different components (and sides) that sizes and sketches allow; rows are in order of n."""
+    width = np.array([len(s) for s in sketch])
+    folded: dict[int, tuple[int, np.ndarray]] = {}  # of the rows from the first one of a width on, at that width
+    for w in np.unique(width).tolist():
+        first = int(np.searchsorted(width, w))
+        rows = []
+        for s in sketch[first:]:
+            bits = np.frombuffer(s, U)
+            while len(bits) * 8 > w:
+                bits = bits[: len(bits) // 2] ^ bits[len(bits) // 2 :]
+            rows.append(bits)
+        folded[w] = (first, np.stack(rows))
+    out_a, out_b = [], []
+    last = np.searchsorted(n, (100 * n) // percent, "right")
+    for i in range(len(n) - 1):
+        if last[i] <= i + 1:
+            continue
+        j = slice(i + 1, int(last[i]))
+        first, table = folded[int(width[i])]
+        common = -(-percent * (n[i] + n[j]) // (100 + percent))
+        far = np.bitwise_count(table[i + 1 - first : last[i] - first] ^ table[i - first]).sum(axis=1)
+        fit = (component[j] != component[i]) & (common <= n[i]) & (far <= n[i] + n[j] - 2 * common)
+        if side is not None:
+            fit &= side[j] != side[i]
+        found = np.flatnonzero(fit) + i + 1
+        out_a.append(np.full(len(found), i))
+        out_b.append(found)
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *out_a]), np.concatenate([none, *out_b])
 
 
 def classes(docs: DataFrame, key: str, text: str, size: int = SIZE, percent: int = PERCENT, frequent: int = FREQUENT) -> DataFrame:
