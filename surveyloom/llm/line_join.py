@@ -86,13 +86,13 @@ def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
 def removed_lines(docs: DataFrame, key: str, text: str, threshold: float = THRESHOLD, min_words: int = MIN_WORDS) -> DataFrame:
     """(id, text_hash, numbers): the numbers of the lines to remove, for the texts that lose any."""
     classes = count_classes(docs, text)
-    tokens = _lines(docs, key, text).select("id", "text_hash", "no", token_set(F.col("line"), classes).alias("tokens")).filter(F.size("tokens") >= min_words)
+    tokens = _lines(docs, key, text).select("id", "text_hash", "no", token_set(F.col("line"), classes).alias("tokens"))
     n = F.size("tokens")
-    # n and the position of a token share a long with it below; both fit their 31 bits.
+    # Short lines go after the table is written: a filter before it would cut every line twice.
     sized = cut(
         tokens.select("id", "text_hash", "no", F.xxhash64("tokens").alias("set"), n.alias("n"), parity(F.col("tokens")).alias("bits"), F.slice("tokens", 1, n - F.ceil(n * threshold).cast("int") + 1).alias("prefix")),
         "line-prefixes",
-    )
+    ).filter(F.col("n") >= min_words)
     place = F.struct(F.col("id").isNull().alias("last"), F.col("id"), F.col("no"), F.col("text_hash"))
     sets = cut(
         sized.groupBy("set").agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("lines"), F.first(F.struct("n", "bits", "prefix")).alias("of")).select("set", "place", "lines", "of.*"),
@@ -100,9 +100,12 @@ def removed_lines(docs: DataFrame, key: str, text: str, threshold: float = THRES
     )
 
     head = F.struct(F.col("place.last").alias("last"), F.col("place.id").alias("id"), F.col("place.no").alias("no"), F.col("set").alias("set"))
-    rows = sets.select(head.alias("head"), "n", "bits", F.posexplode("prefix").alias("at", "token"))
+    # One token more or less already takes a smaller set below the threshold: only equal sets match it.
+    rows = sets.filter(F.col("n") >= threshold / (1 - threshold) - 1e-9).select(head.alias("head"), "n", "bits", F.posexplode("prefix").alias("at", "token"))
     # A token of one set has no partner; what is left is stored once for both rounds.
-    many = cut(rows.withColumn("first", F.min(F.struct("head", "n", "at", "bits")).over(Window.partitionBy("token"))).filter(F.col("first.head.set") != F.col("head.set")), "prefix-groups")
+    group = Window.partitionBy("token")
+    grouped = rows.select("*", F.min(F.struct("head", "n", "at", "bits")).over(group).alias("first"), F.count(F.lit(1)).over(group).alias("members"))
+    many = cut(grouped.filter(F.col("first.head.set") != F.col("head.set")), "prefix-groups")
 
     def near(a: str, b: str) -> Column:
         """Length, positional and parity filter for a pair at its first shared token."""
@@ -114,8 +117,9 @@ def removed_lines(docs: DataFrame, key: str, text: str, threshold: float = THRES
     stars = flat.filter(near("f", "")).select("a", F.col("head.set").alias("b")).distinct()
     settled = cut(verified(docs, key, text, stars, sets, classes, threshold), "settled-lines")
     # Sets still open meet every earlier member of their groups, the first of them done.
-    open_rows = many.select("head", "n", "at", "bits", "token").join(settled, F.col("head.set") == F.col("b"), "left_anti")
-    earlier = many.select(F.col("token").alias("etoken"), F.col("head").alias("ehead"), F.col("n").alias("en"), F.col("at").alias("eat"), F.col("bits").alias("ebits"))
+    more = many.filter("members > 2")  # in a group of two nothing is left to compare
+    open_rows = more.select("head", "n", "at", "bits", "token").join(settled, F.col("head.set") == F.col("b"), "left_anti")
+    earlier = more.select(F.col("token").alias("etoken"), F.col("head").alias("ehead"), F.col("n").alias("en"), F.col("at").alias("eat"), F.col("bits").alias("ebits"))
     pairs = open_rows.join(earlier, (F.col("token") == F.col("etoken")) & (F.col("ehead") < F.col("head")) & near("e", ""))
     rest = verified(docs, key, text, pairs.select(F.col("ehead.set").alias("a"), F.col("head.set").alias("b")).distinct(), sets, classes, threshold)
     gone = settled.union(rest).select(F.col("b").alias("set")).distinct().withColumn("all", F.lit(True))
