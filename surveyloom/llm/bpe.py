@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .words import text_array
 
-KEPT_WORDS = 300_000  # pre-tokens in each of the two generations a Python worker remembers
+KEPT_WORDS = 150_000  # pre-tokens in each of the two generations a Python worker remembers
 CORPUS_CHARS = 4_000_000  # texts whose new pre-tokens are merged together
 
 

@@ -127,28 +127,44 @@ def _fit_table(found: pa.Table) -> pa.Table:
     if y.min() == y.max():
         w, bias, slope, shift = np.zeros(2 << BITS), 0.0, 1.0, float(np.log((y.sum() + 1) / ((1 - y).sum() + 1)))
     else:
-        joined = lambda name, kind: np.frombuffer(b"".join(b.as_py() for b in found.column(name)), kind)
-        size = np.array([len(b.as_py()) // 4 for b in found.column("index")])
-        row, index, value = np.repeat(np.arange(len(y), dtype=np.int32), size), joined("index", "<i4"), joined("value", "<f4")
+        blocks = list(_blocks(found))
         held = np.arange(len(y)) % 5 == 4
-        w, bias = _fit(row, index, value, y, ~held, 2 << BITS)
-        score = np.bincount(row, w[index] * value, len(y)) + bias
+        w, bias = _fit(blocks, y, ~held, 2 << BITS)
+        score = np.concatenate([_scores(block, w) for block in blocks]) + bias
         slope, shift = _calibrate(score[held], y[held]) if len(set(y[held])) == 2 else (1.0, 0.0)
     w = w.astype("<f4")
     numbers = [float(bias), slope, shift, prior]
     return pa.table({"words": [w[: 1 << BITS].tobytes()], "chars": [w[1 << BITS :].tobytes()], "numbers": [numbers]}, pa.schema([("words", pa.binary()), ("chars", pa.binary()), ("numbers", pa.list_(pa.float64()))]))
 
 
-def _fit(row, index, value, y, used, size, l2: float = 3e-5) -> tuple[np.ndarray, float]:
+def _blocks(found: pa.Table, rows: int = 100):
+    """(first row, rows, row of each feature, index, value) of a few texts at a time."""
+    for at in range(0, found.num_rows, rows):
+        part = found.slice(at, rows)
+        index = [np.frombuffer(b.as_buffer(), "<i4") for b in part.column("index")]
+        value = [np.frombuffer(b.as_buffer(), "<f4") for b in part.column("value")]
+        row = np.repeat(np.arange(len(index), dtype=np.int16), [len(i) for i in index])
+        yield at, len(index), row, np.concatenate(index), np.concatenate(value)
+
+
+def _scores(block: tuple, w: np.ndarray) -> np.ndarray:
+    _, rows, row, index, value = block
+    return np.bincount(row, w[index] * value, rows)
+
+
+def _fit(blocks: list, y: np.ndarray, used: np.ndarray, size: int, l2: float = 3e-5) -> tuple[np.ndarray, float]:
     """Adam on the mean log-loss of the used rows with a small ridge."""
-    keep = used[row]
-    row, index, value = row[keep], index[keep], value[keep]
     w, bias = np.zeros(size), float(np.log(y[used].mean() / (1 - y[used].mean())))
     m, v, mb, vb = np.zeros(size), np.zeros(size), 0.0, 0.0
     for t in range(1, STEPS + 1):
-        z = np.bincount(row, w[index] * value, len(y)) + bias
-        e = np.where(used, 1 / (1 + np.exp(-np.clip(z, -30, 30))) - y, 0.0) / used.sum()
-        g, gb = np.bincount(index, e[row] * value, size) + l2 * w, e.sum()
+        g, gb = l2 * w, 0.0
+        for block in blocks:
+            at, rows, row, index, value = block
+            own = slice(at, at + rows)
+            z = np.clip(_scores(block, w) + bias, -30, 30)
+            e = np.where(used[own], 1 / (1 + np.exp(-z)) - y[own], 0.0) / used.sum()
+            g += np.bincount(index, e[row] * value, size)
+            gb += e.sum()
         m, v, mb, vb = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g, 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
         rate = 0.05 * np.sqrt(1 - 0.99**t) / (1 - 0.9**t)
         w -= rate * m / (np.sqrt(v) + 1e-6)
