@@ -77,7 +77,9 @@ THRESHOLD = 0.5  # probability of a good row from which a document is kept
 
 
 def quality_model(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> hashlr.Model:
-    return hashlr.train(table(spark, sf_dir, "documents") if docs is None else docs, table(spark, sf_dir, "labels"), "doc_id", "text", GOOD)
+    """A labelled row is good when it is of quality and not toxic."""
+    good = (F.col("quality") == 1) & (F.col("toxic") == 0)
+    return hashlr.train(table(spark, sf_dir, "documents") if docs is None else docs, table(spark, sf_dir, "labels"), "doc_id", "text", good)
 
 
 @query("op4_quality_rules")
