@@ -124,6 +124,7 @@ INDICATORS = [
     _reach("has_bank_account", "Has a bank or financial institution account", "v170 = 1", ("v170",), _equals("v170", 1), MODULE),
     _reach("currently_working", "Currently working", "v714 = 1", ("v714",), _equals("v714", 1), MODULE),
 ]
+# The indicators of scores, profiles and channels.
 DEFAULT_DEPRIVATIONS = ("no_education", "cannot_read", "no_media_exposure", "no_health_insurance", "no_frontline_worker_contact")
 PROFILE_DEPRIVATIONS = (*DEFAULT_DEPRIVATIONS, "any_anemia", "no_mobile_phone", "no_bank_account", "never_used_internet")
 CHANNEL_INDICATORS = tuple(i.name for i in INDICATORS if i.kind == "reach" and i.name != "currently_working")
@@ -132,7 +133,7 @@ FINE_TO_COARSE_EDUCATION = {0: 0, 1: 1, 2: 1, 3: 2, 4: 2, 5: 3}
 
 SURVEY: Survey = survey(
     VARIABLES, INDICATORS, weight="v005", weight_scale=1_000_000, age_group="v013",
-    default_deprivations=DEFAULT_DEPRIVATIONS,
+    default_deprivations=DEFAULT_DEPRIVATIONS, profile_deprivations=PROFILE_DEPRIVATIONS, channel_indicators=CHANNEL_INDICATORS,
 )
 
 

@@ -24,9 +24,12 @@ def keys(columns) -> list[str]:
 
 
 def label_lookup(code: Columnish, labels: dict[int, str]) -> Column:
-    """Label of a code from a small fixed code list; NULL when the code is not listed."""
+    """Label of a code from a small fixed code list; a code that is not listed stands for itself."""
+    own = _c(code).cast("string")
+    if not labels:
+        return own
     pairs = [(F.lit(k), F.lit(v)) for k, v in labels.items()]
-    return F.element_at(F.create_map(*chain.from_iterable(pairs)), _c(code).cast("int"))
+    return F.coalesce(F.element_at(F.create_map(*chain.from_iterable(pairs)), _c(code).cast("int")), own)
 
 
 def yes_no_sums(y: Columnish, weight: Columnish) -> list[Column]:

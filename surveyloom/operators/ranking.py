@@ -146,7 +146,7 @@ def _long(wide: DataFrame, keep: Sequence[str], entries: Sequence[Column]) -> Da
 
 def channel_reach(df: DataFrame, survey: Survey, filters=None, indicators=None) -> DataFrame:
     """Weighted % reached by each channel indicator, highest first (NULL last)."""
-    names = list(indicators or survey.indicators_of("reach"))
+    names = list(indicators or survey.channels())
     wide = df.filter(filter_column(survey, filters)).agg(*indicator_sums(names, survey.weight))
     entries = [
         F.struct(
@@ -175,7 +175,7 @@ def _profile_entry(survey: Survey, i: str, pct: Column, national: Column, n: Col
 
 def population_profile(df: DataFrame, survey: Survey, filters, indicators=None) -> DataFrame:
     """Target against everybody for each indicator. One scan: the target is a condition inside the sums."""
-    names = list(indicators or survey.indicators)
+    names = list(indicators or survey.profile())
     target = F.coalesce(filter_column(survey, filters), F.lit(False))
     wide = df.agg(
         *indicator_sums(names, survey.weight, target, "_t"), *indicator_sums(names, survey.weight)
@@ -187,7 +187,7 @@ def population_profile(df: DataFrame, survey: Survey, filters, indicators=None)
 
 def group_profiles(df: DataFrame, survey: Survey, group_by, indicators=None, filters=None) -> DataFrame:
     """A profile of every group at once, one row per (group, indicator), from a single scan."""
-    groups, names = survey.columns(group_by), list(indicators or survey.indicators)
+    groups, names = survey.columns(group_by), list(indicators or survey.profile())
     cells = indicator_cells(df, survey, groups, names, filters)
     national = cells.agg(F.struct(
         *[F.sum(f"{p}_{i}").alias(f"{p}_{i}") for i in names for p in ("n", "wy", "wv")]

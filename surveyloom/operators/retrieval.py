@@ -1,8 +1,8 @@
 """TF-IDF, dense and fused retrieval over a partitioned corpus.
 
-Sparse: documents are hashed by id once, before tokenizing, so counting,
-weighting and normalizing all happen where the document is; a query batch that
-passes a size check is sent to them, and each task keeps only its best k.
+Sparse: terms are counted inside each document's row, so no text is shuffled;
+weights are normalized by document, scores are sums over an equality join on
+terms, and each task keeps only its best k per query.
 
 Dense and fused: queries and corpus form a grid of bounded (query block, corpus
 shard) groups. Each group is one matrix product that returns only its best
@@ -14,62 +14,66 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import content_tokens, terms
 from ..sources.tables import cut
 
-MAX_FEATURES = 50_000
 RRF_K = 60
-SCORE_DIGITS = 6
-BROADCAST_ROWS = 200_000
 QUERIES_PER_BLOCK = 256
 DOCS_PER_SHARD = 10_000
 # Fixed value: what an identifier mentioned in a question looks like.
 IDENTIFIER = r"(?i)\b([a-z]{1,5}\d{1,4}[a-z]?(?:_\d{1,2})?|caseid|ssmod|sweight|sdist)\b"
 
 
-def score(x: Column) -> Column:
-    """Scores are compared and ranked at a fixed number of digits, so summation order cannot matter."""
-    return F.round(x, SCORE_DIGITS)
-
-
-def send_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast `df` only after counting it (a job over at most max_rows + 1 rows); else leave the join to Spark."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+def score(x: Column, digits: int | None = None) -> Column:
+    """The full score, or with `digits` a rounded one, so that the order of summation cannot decide ties."""
+    return x if digits is None else F.round(x, digits)
 
 
 # ---- sparse ----------------------------------------------------------------
 def term_counts(docs: DataFrame, key: str, text: str, stop: Sequence[str] = (), vocab: DataFrame | None = None) -> DataFrame:
-    """(key, term, n). The only shuffle is of the raw text by key; the grouping then needs none.
+    """(key, term, n) of rows with distinct keys: counted inside the row, so neither texts nor terms are shuffled.
 
-    With a vocabulary (at most MAX_FEATURES terms) other terms are dropped before they are counted.
+    With a vocabulary only its terms stay.
     """
-    placed = docs.select(key, text).repartition(key)
-    rows = placed.select(key, F.explode(terms(content_tokens(text, list(stop)))).alias("term"))
-    if vocab is not None:
-        rows = rows.join(F.broadcast(vocab.select("term")), "term", "left_semi")
-    return rows.groupBy(key, "term").agg(F.count(F.lit(1)).alias("n"))
+    rows = docs.select(F.col(key).alias("key"), terms(content_tokens(text, list(stop))).alias("terms"))
+
+    def count(batches):
+        from collections import Counter
+
+        import pyarrow as pa
+
+        for batch in batches:
+            counts = [Counter(t or ()) for t in batch.column("terms").to_pylist()]
+            sizes = pa.array([i for i, c in enumerate(counts) for _ in c], pa.int64())
+            term = pa.array([t for c in counts for t in c], pa.string())
+            n = pa.array([x for c in counts for x in c.values()], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("key").take(sizes), term, n], ["key", "term", "n"])
 
+    counted = rows.mapInArrow(count, f"key {dict(rows.dtypes)['key']}, term string, n long").withColumnRenamed("key", key)
+    return counted if vocab is None else counted.join(vocab.select("term"), "term", "left_semi").select(key, "term", "n")
 
-def vocabulary(counts: DataFrame, n_docs: Column, max_features: int = MAX_FEATURES) -> DataFrame:
-    """(term, corpus_count, df, idf): the most frequent terms of the corpus, ties by term."""
+
+def vocabulary(counts: DataFrame, n_docs: Column, max_features: int | None = None) -> DataFrame:
+    """(term, corpus_count, df, idf): all terms, or the `max_features` most frequent of the corpus, ties by term."""
     idf = F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
     per_term = counts.groupBy("term").agg(F.sum("n").alias("corpus_count"), F.count(F.lit(1)).alias("df"))
-    return per_term.orderBy(F.desc("corpus_count"), "term").limit(max_features).withColumn("idf", idf)
+    kept = per_term if max_features is None else per_term.orderBy(F.desc("corpus_count"), "term").limit(max_features)
+    return kept.withColumn("idf", idf)
 
 
 def tfidf(counts: DataFrame, vocab: DataFrame, key: str) -> DataFrame:
-    """(key, term, weight): sublinear tf x idf, unit length per key. `vocab` has at most MAX_FEATURES rows."""
-    raw = counts.join(F.broadcast(vocab.select("term", "idf")), "term").select(
+    """(key, term, weight): sublinear tf x idf, unit length per key."""
+    raw = counts.join(vocab.select("term", "idf"), "term").select(
         key, "term", ((F.lit(1.0) + F.log("n")) * F.col("idf")).alias("_w")
     )
     length = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(key)))
     return raw.select(key, "term", (F.col("_w") / length).alias("weight"))
 
 
-def fit_vocabulary(docs: DataFrame, key: str, text: str, stop: Sequence[str] = (), max_features: int = MAX_FEATURES) -> DataFrame:
+def fit_vocabulary(docs: DataFrame, key: str, text: str, stop: Sequence[str] = (), max_features: int | None = None) -> DataFrame:
     return vocabulary(term_counts(docs, key, text, stop), docs.agg(F.count(F.lit(1))).scalar(), max_features)
 
 
@@ -79,26 +83,25 @@ def best(scored: DataFrame, query: str, doc: str, k: int, by: str = "score") ->
     return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def sparse_top_k(query_postings: DataFrame, doc_postings: DataFrame, query: str, doc: str, k: int) -> DataFrame:
+def sparse_top_k(query_postings: DataFrame, doc_postings: DataFrame, query: str, doc: str, k: int, digits: int | None = None) -> DataFrame:
     """Best k documents per query by the dot product of their TF-IDF rows."""
     q = query_postings.select(query, "term", F.col("weight").alias("_qw"))
-    pairs = doc_postings.join(send_if_small(q), "term").groupBy(query, doc).agg(
-        score(F.sum(F.col("_qw") * F.col("weight"))).alias("score")
-    )
+    pairs = doc_postings.join(q, "term").groupBy(query, doc).agg(score(F.sum(F.col("_qw") * F.col("weight")), digits).alias("score"))
     return best(pairs, query, doc, k)
 
 
 def search(
     docs: DataFrame, queries: DataFrame, doc: str, query: str, text: str = "text", query_text: str = "text",
-    k: int = 10, stop: Sequence[str] = (), max_features: int = MAX_FEATURES,
+    k: int = 10, stop: Sequence[str] = (), max_features: int | None = None, digits: int | None = None,
 ) -> DataFrame:
     """Fit on the documents and answer a batch of text queries, sparse only.
 
-    The vocabulary is written once: three plans below read it. Starts jobs.
+    Counts and vocabulary are written once: several plans below read them. Starts jobs.
     """
-    vocab = cut(fit_vocabulary(docs, doc, text, stop, max_features), "vocabulary")
+    counts = cut(term_counts(docs, doc, text, stop), "term-counts")
+    vocab = cut(vocabulary(counts, docs.agg(F.count(F.lit(1))).scalar(), max_features), "vocabulary")
     q = tfidf(term_counts(queries, query, query_text, stop, vocab), vocab, query)
-    return sparse_top_k(q, tfidf(term_counts(docs, doc, text, stop, vocab), vocab, doc), query, doc, k)
+    return sparse_top_k(q, tfidf(counts, vocab, doc), query, doc, k, digits)
 
 
 def posting_arrays(postings: DataFrame, key: str) -> DataFrame:
@@ -135,15 +138,15 @@ def _grid(queries: DataFrame, corpus: DataFrame, query: str, doc: str, fn, schem
     return q.groupBy("_block", "_shard").cogroup(c.groupBy("_block", "_shard")).applyInPandas(fn, schema)
 
 
-def _dense(q, c, digits: int):
+def _dense(q, c, digits: int | None):
     import numpy as np
 
     a = np.stack(q["vec"].to_numpy()).astype("float64")
     b = np.stack(c["vec"].to_numpy()).astype("float64")
-    return np.round(a @ b.T, digits) + 0.0
+    return (a @ b.T if digits is None else np.round(a @ b.T, digits)) + 0.0
 
 
-def _sparse(q, c, digits: int):
+def _sparse(q, c, digits: int | None):
     """Query x document score matrix from posting arrays: a hash join on term, then one summation."""
     import numpy as np
     import pandas as pd
@@ -168,7 +171,8 @@ def _sparse(q, c, digits: int):
     both = left.merge(right, on="t")
     cell = both["q"].to_numpy() * len(c) + both["d"].to_numpy()
     sums = np.bincount(cell.astype("int64"), (both["dw"] * both["qw"]).to_numpy(), minlength=len(q) * len(c))
-    return np.round(sums.reshape(len(q), len(c)), digits) + 0.0
+    sums = sums.reshape(len(q), len(c))
+    return (sums if digits is None else np.round(sums, digits)) + 0.0
 
 
 def _top(scores, ids, n: int):
@@ -183,7 +187,7 @@ def _top(scores, ids, n: int):
     return near[np.lexsort((ids[near], -scores[near]))][:n]
 
 
-def dense_top_k(queries: DataFrame, corpus: DataFrame, query: str, doc: str, k: int) -> DataFrame:
+def dense_top_k(queries: DataFrame, corpus: DataFrame, query: str, doc: str, k: int, digits: int | None = None) -> DataFrame:
     """Best k documents per query by the dot product of unit vectors. Both sides carry their vector in `vec`."""
 
     def cell(q, c):
@@ -192,7 +196,7 @@ def dense_top_k(queries: DataFrame, corpus: DataFrame, query: str, doc: str, k:
 
         if len(q) == 0 or len(c) == 0:
             return pd.DataFrame({query: [], doc: [], "score": []})
-        scores, ids = _dense(q, c, SCORE_DIGITS), c[doc].to_numpy()
+        scores, ids = _dense(q, c, digits), c[doc].to_numpy()
         tops = [_top(row, ids, k) for row in scores]
         sizes = [len(t) for t in tops]
         return pd.DataFrame({
@@ -206,7 +210,7 @@ def dense_top_k(queries: DataFrame, corpus: DataFrame, query: str, doc: str, k:
     return best(near, query, doc, k)
 
 
-def _candidates(queries, index, query, doc, n):
+def _candidates(queries, index, query, doc, n, digits):
     """Top n of both lists per query, each row with both scores. One pass over the corpus."""
 
     def cell(q, c):
@@ -216,7 +220,7 @@ def _candidates(queries, index, query, doc, n):
         names = [query, doc, "dense_score", "sparse_score", "list", "score"]
         if len(q) == 0 or len(c) == 0:
             return pd.DataFrame({x: [] for x in names})
-        dense, sparse, ids = _dense(q, c, SCORE_DIGITS), _sparse(q, c, SCORE_DIGITS), c[doc].to_numpy()
+        dense, sparse, ids = _dense(q, c, digits), _sparse(q, c, digits), c[doc].to_numpy()
         allowed = np.flatnonzero(c["eligible"].to_numpy())
         parts = []
         for i, key in enumerate(q[query].to_numpy()):
@@ -235,7 +239,7 @@ def _candidates(queries, index, query, doc, n):
     return kept.groupBy(query, doc).agg(F.max("dense_score").alias("dense_score"), F.max("sparse_score").alias("sparse_score"))
 
 
-def _exact_ranks(queries, index, candidates, query, doc):
+def _exact_ranks(queries, index, candidates, query, doc, digits):
     """Rank of every candidate in both full lists: each shard counts its documents that come before it."""
     asked = candidates.groupBy(query).agg(F.collect_list(F.struct(doc, "dense_score", "sparse_score")).alias("c")).select(
         query, F.col(f"c.{doc}").alias("cand"), F.col("c.dense_score").alias("cand_dense"), F.col("c.sparse_score").alias("cand_sparse")
@@ -256,7 +260,7 @@ def _exact_ranks(queries, index, candidates, query, doc):
 
         if len(q) == 0 or len(c) == 0:
             return pd.DataFrame({x: [] for x in (query, doc, "_before_dense", "_before_sparse")})
-        dense, sparse, ids = _dense(q, c, SCORE_DIGITS), _sparse(q, c, SCORE_DIGITS), c[doc].to_numpy()
+        dense, sparse, ids = _dense(q, c, digits), _sparse(q, c, digits), c[doc].to_numpy()
         parts = []
         for i, row in enumerate(q.itertuples(index=False)):
             cand = np.asarray(row.cand)
@@ -276,7 +280,7 @@ def _exact_ranks(queries, index, candidates, query, doc):
 
 
 def fused_top_k(
-    queries: DataFrame, index: DataFrame, query: str, doc: str, k: int, eligible: Column | None = None
+    queries: DataFrame, index: DataFrame, query: str, doc: str, k: int, eligible: Column | None = None, digits: int | None = None,
 ) -> DataFrame:
     """Reciprocal-rank fusion, exact over the whole corpus, without ranking the whole corpus per query.
 
@@ -297,8 +301,8 @@ def fused_top_k(
     n = RRF_K + 2 * k
     while True:
         # used twice below, and worth one small table: at most 2n rows per query
-        candidates = cut(_candidates(queries.select(*cols), corpus, query, doc, n), "candidates")
-        fused = _exact_ranks(queries.select(*cols), corpus, candidates, query, doc).withColumn(
+        candidates = cut(_candidates(queries.select(*cols), corpus, query, doc, n, digits), "candidates")
+        fused = _exact_ranks(queries.select(*cols), corpus, candidates, query, doc, digits).withColumn(
             "score", F.lit(1.0) / (F.lit(RRF_K) + F.col("dense_rank")) + F.lit(1.0) / (F.lit(RRF_K) + F.col("sparse_rank"))
         )
         top = best(fused, query, doc, k)
@@ -330,9 +334,12 @@ def _settled(fused: DataFrame, query: str, doc: str, k: int, n: int) -> bool:
 
 # ---- exact identifiers -----------------------------------------------------------
 def mentioned(queries: DataFrame, identifiers: DataFrame, query: str, doc: str, text: str = "text", pattern: str = IDENTIFIER) -> DataFrame:
-    """(query, doc, position): known identifiers in the query text, by first mention. `identifiers(name, doc)`."""
+    """(query, doc, position): known identifiers in the query text, by first mention. `identifiers(name, doc)`.
+
+    Of several documents with one name the first by id is meant.
+    """
     found = queries.select(query, F.posexplode(F.regexp_extract_all(text, F.lit(pattern), F.lit(1))).alias("position", "name"))
-    known = identifiers.select(F.lower("name").alias("name"), doc)
+    known = identifiers.groupBy(F.lower("name").alias("name")).agg(F.min(doc).alias(doc))
     return found.withColumn("name", F.lower("name")).join(known, "name").groupBy(query, doc).agg(F.min("position").alias("position"))
 
 
@@ -354,14 +361,14 @@ def pin_exact(fused: DataFrame, pins: DataFrame, query: str, doc: str, k: int) -
 
 def retrieve(
     queries: DataFrame, index: DataFrame, identifiers: DataFrame, query: str, doc: str, k: int = 5,
-    sources: Sequence[str] | None = None, text: str = "text",
+    sources: Sequence[str] | None = None, text: str = "text", digits: int | None = None,
 ) -> DataFrame:
     """Pinned identifiers, then rank fusion, restricted to `sources` afterwards. The index then needs a `source` column."""
     eligible = None if sources is None else F.col("source").isin(*sources)
     pins = mentioned(queries, identifiers, query, doc, text)
     if sources is not None:
         pins = pins.join(index.filter(eligible).select(doc), doc, "left_semi")
-    return pin_exact(fused_top_k(queries, index, query, doc, k, eligible), pins, query, doc, k)
+    return pin_exact(fused_top_k(queries, index, query, doc, k, eligible, digits), pins, query, doc, k)
 
 
 def hit_rate(results: DataFrame, expected: DataFrame, query: str, title: str, k: int = 3) -> DataFrame:
@@ -376,9 +383,10 @@ def hit_rate(results: DataFrame, expected: DataFrame, query: str, title: str, k:
 
 # ---- LSA ---------------------------------------------------------------------------
 class LsaModel:
-    """TF-IDF vocabulary plus the right singular vectors (at most MAX_FEATURES x dimensions) of the corpus.
+    """TF-IDF vocabulary with positions, and the right singular vectors (terms x dimensions) of the corpus.
 
-    Vectors are unique only up to sign and rotation; compare cosines.
+    Vectors are unique only up to sign and rotation; compare cosines. The
+    matrix is a local one of the solver, so `max_features` bounds it.
     """
 
     def __init__(self, vocab: DataFrame, v, stop: Sequence[str]):
@@ -388,7 +396,7 @@ class LsaModel:
     def _packed(postings: DataFrame, vocab: DataFrame, key: str) -> DataFrame:
         """(key, positions, weights): each document's postings as vocabulary positions."""
         return (
-            postings.join(F.broadcast(vocab.select("term", "position")), "term")
+            postings.join(vocab.select("term", "position"), "term")
             .groupBy(key)
             .agg(F.array_sort(F.collect_list(F.struct("position", "weight"))).alias("p"))
             .select(key, F.col("p.position").alias("positions"), F.col("p.weight").alias("weights"))
@@ -396,42 +404,63 @@ class LsaModel:
 
     @classmethod
     def fit(cls, docs: DataFrame, key: str, text: str, dimensions: int = 256, stop: Sequence[str] = (),
-            max_features: int = MAX_FEATURES) -> LsaModel:
+            max_features: int = 50_000) -> LsaModel:
         """Starts jobs: the solver multiplies the distributed rows once per iteration."""
-        from pyspark.mllib.linalg import Vectors, VectorUDT
+        from pyspark.mllib.linalg import Vectors
         from pyspark.mllib.linalg.distributed import RowMatrix
 
-        vocab = fit_vocabulary(docs, key, text, stop, max_features)
+        counts = cut(term_counts(docs, key, text, stop), "term-counts")
+        vocab = vocabulary(counts, docs.agg(F.count(F.lit(1))).scalar(), max_features)
         # positions run over at most max_features rows
-        vocab = vocab.withColumn("position", F.row_number().over(Window.orderBy("term")) - 1).persist()
+        vocab = cut(vocab.withColumn("position", F.row_number().over(Window.orderBy("term")) - 1), "vocabulary")
         size, n = vocab.count(), docs.count()
         k = max(1, min(dimensions, n - 1, size - 1))
-        packed = cls._packed(tfidf(term_counts(docs, key, text, stop, vocab), vocab, key), vocab, key)
-
-        # no SQL function makes a sparse vector; built once per row, then kept on the JVM side
-        @F.udf(VectorUDT())
-        def sparse_vector(positions, weights):
-            return Vectors.sparse(size, positions, weights)
-
-        rows = packed.select(sparse_vector("positions", "weights").alias("row")).persist()
+        packed = cls._packed(tfidf(counts, vocab, key), vocab, key)
+        rows = packed.rdd.map(lambda r: Vectors.sparse(size, r.positions, r.weights)).persist()
         try:
             v = RowMatrix(rows, numCols=size).computeSVD(k, computeU=False).V
         finally:
             rows.unpersist()
         return cls(vocab, v.toArray(), stop)
 
+    def save(self, path: str) -> None:
+        """Vocabulary, one row of the matrix per position, and the stop words."""
+        spark, base = self.vocab.sparkSession, path.rstrip("/")
+        self.vocab.write.mode("overwrite").parquet(f"{base}/vocabulary")
+        rows = [(i, [float(x) for x in row]) for i, row in enumerate(self.v)]
+        spark.createDataFrame(rows, "position int, components array<double>").write.mode("overwrite").parquet(f"{base}/components")
+        spark.createDataFrame([(w,) for w in self.stop], "word string").write.mode("overwrite").parquet(f"{base}/stop")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> LsaModel:
+        import numpy as np
+
+        base = path.rstrip("/")
+        rows = spark.read.parquet(f"{base}/components").orderBy("position").collect()
+        stop = [r.word for r in spark.read.parquet(f"{base}/stop").collect()]
+        return cls(spark.read.parquet(f"{base}/vocabulary"), np.array([r.components for r in rows]), stop)
+
     def embed(self, docs: DataFrame, key: str, text: str) -> DataFrame:
-        """(key, vec): unit vectors of the documents in the model's space."""
+        """(key, vec): unit vectors of the documents in the model's space; zeros where no term is known."""
         packed = self._packed(tfidf(term_counts(docs, key, text, self.stop, self.vocab), self.vocab, key), self.vocab, key)
+        every = docs.select(key).join(packed, key, "left")
         components = docs.sparkSession.sparkContext.broadcast(self.v)
 
         def project(batches):
             import numpy as np
-
-            for pdf in batches:
-                rows = [np.asarray(w) @ components.value[np.asarray(p)] for p, w in zip(pdf["positions"], pdf["weights"])]
-                lengths = [np.linalg.norm(r) for r in rows]
-                pdf["vec"] = [(r / n if n > 0 else r).astype("float32") for r, n in zip(rows, lengths)]
-                yield pdf[[key, "vec"]]
-
-        return packed.mapInPandas(project, f"{key} {dict(docs.dtypes)[key]}, vec array<float>")
+            import pyarrow as pa
+
+            for batch in batches:
+                lists = batch.column("positions")
+                size = np.array([0 if v is None else v for v in lists.value_lengths().to_pylist()], dtype=np.int64)
+                at, weight = lists.flatten().to_numpy(), batch.column("weights").flatten().to_numpy()
+                v, out = components.value, np.zeros((len(size), components.value.shape[1]))
+                used = np.flatnonzero(size)
+                if len(used):
+                    out[used] = np.add.reduceat(weight[:, None] * v[at], np.concatenate(([0], np.cumsum(size[used])[:-1])))
+                length = np.linalg.norm(out, axis=1, keepdims=True)
+                unit = np.divide(out, length, out=np.zeros_like(out), where=length > 0).astype(np.float32)
+                offsets = pa.array(np.arange(len(size) + 1) * unit.shape[1], pa.int32())
+                yield pa.RecordBatch.from_arrays([batch.column(key), pa.ListArray.from_arrays(offsets, pa.array(unit.ravel()))], [key, "vec"])
+
+        return every.mapInArrow(project, f"{key} {dict(docs.dtypes)[key]}, vec array<float>")

@@ -128,38 +128,50 @@ def reach_statements(profiles: DataFrame, by, description: Columnish = "indicato
 
 # ---- number grounding --------------------------------------------------------------
 def numbers(df: DataFrame, by, text: str) -> DataFrame:
-    """Distinct numbers of each text: (by..., token, decimals, value)."""
+    """Distinct numbers of each text: (by..., token, decimals, digits), digits without point and leading zeros, of any length."""
     by = keys(by)
     found = df.select(*by, F.explode(F.regexp_extract_all(text, F.lit(NUMBER), F.lit(1))).alias("token")).distinct()
-    plain = F.regexp_replace("token", ",", "")
-    point = F.instr("token", ".")
-    return found.select(
-        *by, "token", F.when(point > 0, F.length("token") - point).otherwise(0).alias("decimals"),
-        plain.try_cast("decimal(38,10)").alias("value"),
-    )
+    plain = F.replace(F.col("token"), F.lit(","), F.lit(""))
+    point = F.instr(plain, ".")
+    decimals = F.when(point > 0, F.length(plain) - point).otherwise(0)
+    return found.select(*by, "token", decimals.alias("decimals"), _trimmed(F.replace(plain, F.lit("."), F.lit(""))).alias("digits"))
+
+
+def _trimmed(digits: Column) -> Column:
+    return F.regexp_replace(digits, "^0+(?=[0-9])", "")
+
 
+def _one_more(digits: Column) -> Column:
+    """Digits counted up by one: trailing nines turn to zeros and the digit before them grows."""
+    nines = F.length(F.regexp_extract(digits, "9*$", 0))
+    head = F.left(digits, F.length(digits) - nines)
+    grown = F.when(head == "", F.lit("1")).otherwise(F.concat(F.left(head, F.length(head) - 1), (F.right(head, F.lit(1)).cast("int") + 1).cast("string")))
+    return F.concat(grown, F.repeat(F.lit("0"), nines))
 
-def _round_at(value: Column, decimals: Column, limit: int = 10) -> Column:
-    out = value
-    for d in reversed(range(limit)):
-        out = F.when(decimals == d, F.round(value, d).cast("decimal(38,10)")).otherwise(out)
-    return out
+
+def _rounded_digits(digits: Column, decimals: Column, to: Column) -> Column:
+    """The digits of a number rounded half up to `to` decimals, exact at any length."""
+    whole = F.lpad(digits, F.greatest(F.length(digits), decimals + 1), F.lit("0"))
+    kept = F.left(whole, F.length(whole) - (decimals - to))
+    up = F.substring(whole, F.length(kept) + 1, F.lit(1)) >= "5"
+    cut_off = F.when(up, _one_more(kept)).otherwise(kept)
+    return _trimmed(F.when(to >= decimals, F.concat(whole, F.repeat(F.lit("0"), to - decimals))).otherwise(cut_off))
 
 
 def unverified_numbers(narratives: DataFrame, evidence: DataFrame, by, text: str = "text") -> DataFrame:
     """(by..., problems): numbers of the narrative that no evidence number rounds to, sorted as text.
 
     Whole numbers up to ten are ignored. Evidence is rounded once per number of
-    decimals its narrative uses, so the comparison is an equality anti-join.
+    decimals its narrative uses, so the comparison is an equality anti-join on
+    digit strings, which holds numbers of any length.
     """
     by = keys(by)
-    claimed = numbers(narratives, by, text).filter(~((F.col("value") <= 10) & (F.col("decimals") == 0)))
-    backed = numbers(evidence, by, text).select(*by, F.col("value").alias("e")).distinct()
+    small = (F.col("decimals") == 0) & ((F.length("digits") == 1) | (F.col("digits") == "10"))
+    claimed = numbers(narratives, by, text).filter(~small)
+    backed = numbers(evidence, by, text).select(*by, F.col("digits").alias("e"), F.col("decimals").alias("ed")).distinct()
     wanted = claimed.select(*by, "decimals").distinct()
-    rounded_evidence = backed.join(wanted, by).select(*by, "decimals", _round_at(F.col("e"), F.col("decimals")).alias("value")).distinct()
-    bad = claimed.join(rounded_evidence, [*by, "decimals", "value"], "left_anti")
+    rounded_evidence = backed.join(wanted, by).select(*by, "decimals", _rounded_digits(F.col("e"), F.col("ed"), F.col("decimals")).alias("digits")).distinct()
+    bad = claimed.join(rounded_evidence, [*by, "decimals", "digits"], "left_anti")
     problems = bad.groupBy(*by).agg(F.array_sort(F.collect_set("token")).alias("problems"))
     empty = F.array().cast("array<string>")
     return narratives.select(*by).distinct().join(problems, by, "left").withColumn("problems", F.coalesce("problems", empty))
-
-

@@ -12,9 +12,9 @@ from ..operators import retrieval as R
 
 def build_index(
     chunks: DataFrame, out: str, key: str = "doc_id", text: str = "text", vectors: DataFrame | None = None,
-    stop: Sequence[str] = (), max_features: int = R.MAX_FEATURES, dimensions: int = 256, keep: Sequence[str] = (),
+    stop: Sequence[str] = (), max_features: int | None = 50_000, dimensions: int = 256, keep: Sequence[str] = (),
 ) -> dict[str, str]:
-    """Writes `vocabulary` and `index` (key, kept columns, vec, terms, weights) under `out`. Starts jobs.
+    """Writes `vocabulary`, `index` (key, kept columns, vec, terms, weights) and, if it fits one, `model` under `out`. Starts jobs.
 
     `vectors(key, vec)` are the dense vectors; without them an LSA model of the
     chunks supplies them. Term counts are written first, so the text is
@@ -28,7 +28,10 @@ def build_index(
     R.vocabulary(counts, chunks.agg(F.count(F.lit(1))).scalar(), max_features).write.mode("overwrite").parquet(paths["vocabulary"])
     vocab = spark.read.parquet(paths["vocabulary"])
     if vectors is None:
-        vectors = R.LsaModel.fit(chunks, key, text, dimensions, stop, max_features).embed(chunks, key, text)
+        model = R.LsaModel.fit(chunks, key, text, dimensions, stop, max_features)
+        paths["model"] = f"{base}/model"
+        model.save(paths["model"])
+        vectors = model.embed(chunks, key, text)
     dense = chunks.select(key, *keep).join(vectors, key)
     R.with_postings(dense, R.tfidf(counts, vocab, key), key).write.mode("overwrite").parquet(paths["index"])
     return paths
@@ -38,6 +41,10 @@ def load_index(spark: SparkSession, paths: dict[str, str]) -> tuple[DataFrame, D
     return spark.read.parquet(paths["vocabulary"]), spark.read.parquet(paths["index"])
 
 
-def question_side(questions: DataFrame, vocab: DataFrame, key: str, text: str = "text", stop: Sequence[str] = ()) -> DataFrame:
-    """Questions (key, text, vec, ...) with their posting arrays in the index's vocabulary."""
+def question_side(
+    questions: DataFrame, vocab: DataFrame, key: str, text: str = "text", stop: Sequence[str] = (), model: R.LsaModel | None = None,
+) -> DataFrame:
+    """Questions with their vectors (`vec`, made by the index's model unless present) and posting arrays in its vocabulary."""
+    if model is not None:
+        questions = questions.join(model.embed(questions, key, text), key)
     return R.with_postings(questions, R.tfidf(R.term_counts(questions, key, text, stop, vocab), vocab, key), key)

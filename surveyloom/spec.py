@@ -106,6 +106,8 @@ class Survey:
     weight_scale: int = 1
     age_group: str = "age_group"
     default_deprivations: tuple[str, ...] = ()
+    profile_deprivations: tuple[str, ...] = ()  # of a population profile; empty: all deprivations
+    channel_indicators: tuple[str, ...] = ()  # that stand for a channel; empty: all reach indicators
     extra_columns: tuple[str, ...] = ()
 
     @property
@@ -127,6 +129,14 @@ class Survey:
     def indicators_of(self, kind: str) -> list[str]:
         return [i.name for i in self.indicators.values() if i.kind == kind]
 
+    def channels(self) -> list[str]:
+        """The reach indicators that stand for a channel."""
+        return list(self.channel_indicators or self.indicators_of("reach"))
+
+    def profile(self) -> list[str]:
+        """The indicators of a population profile: deprivations, then channels."""
+        return [*(self.profile_deprivations or self.indicators_of("deprivation")), *self.channels()]
+
     def deprivations(self, names=None) -> list[str]:
         """The chosen deprivation indicators; anything else is an error."""
         chosen = list(names or self.default_deprivations)

@@ -5,11 +5,11 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry
+from checks.registry import QUERIES
 from checks.compare import compare, duck
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="shared tables not present")
-SLOW = {"R11_lsa_embedding", "S5_batch_analyses", "V8_correlation_sensitivity", "M2_need_matches", "R15_pinned_retrieval_by_source"}
 
 
 @pytest.fixture(scope="module")
@@ -17,7 +17,7 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if n not in SLOW])
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_its_sql(spark, con, name):
     text, _, ok = compare(spark, con, name, entry.queries()[name], entry.oracle_sql().get(name), SF)
     assert ok, text

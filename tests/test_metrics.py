@@ -67,15 +67,18 @@ def test_text_value_is_never_code(mini):
     assert mini.filter(filter_column(S, [{"variable": "v024", "value": "10"}])).count() == 3
 
 
-@pytest.mark.parametrize("text", ["DELETE FROM women", "SELECT 1; SELECT 2", "WITH x AS (SELECT 1) INSERT INTO y SELECT * FROM x", "DROP TABLE women"])
+@pytest.mark.parametrize("text", ["DELETE FROM women", "SELECT 1; SELECT 2", "WITH x AS (SELECT 1) INSERT INTO y SELECT * FROM x", "DROP TABLE women", "SET spark.x = 1", "SELEC 1"])
 def test_only_reading_sql(spark, mini, text):
     with pytest.raises(SpecError):
         run_select(spark, text, {"women": mini})
 
 
-def test_adhoc_sql_is_limited(spark, mini):
+def test_adhoc_sql(spark, mini):
     wide = spark.range(1000)
-    assert run_select(spark, "SELECT * FROM many", {"many": wide}).count() == 200
+    assert run_select(spark, "SELECT * FROM many", {"many": wide}).count() == 1000
+    assert [r.id for r in run_select(spark, "SELECT id FROM many ORDER BY id DESC", {"many": wide}, limit=2).collect()] == [999, 998]
+    assert run_select(spark, "SELECT replace('update', 'up', 'x') AS t, (SELECT 1) AS one").first().t == "xdate"
+    assert not spark.catalog.tableExists("many")
     assert run_select(spark, "SELECT count(*) AS n FROM women WHERE v024 = :s;", {"women": mini}, {"s": 9}).first().n == 3
 
 
