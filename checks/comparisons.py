@@ -344,6 +344,11 @@ TARGET = [{"variable": "residence", "value": 2}, {"variable": "state", "op": "in
 
 @check("K7_channel_reach", sql(" UNION ALL ".join(_reach_row(i) for i in REACH)))
 def k7(spark, sf):
+    return G.channel_reach(respondents(spark, sf, "residence", "state", *REACH), SURVEY, TARGET, REACH)
+
+
+@check("K7_default_channels", sql(" UNION ALL ".join(_reach_row(i) for i in ("r2", "r3"))))
+def k7d(spark, sf):
     return G.channel_reach(respondents(spark, sf, "residence", "state", *REACH), SURVEY, TARGET)
 
 
@@ -355,6 +360,11 @@ def _profile_row(i: str, cond: str) -> str:
 
 @check("K8_population_profile", sql(" UNION ALL ".join(_profile_row(i, "residence = 2 AND state IN (3, 7)") for i in D + REACH)))
 def k8(spark, sf):
+    return G.population_profile(respondents(spark, sf, "residence", "state", *D, *REACH), SURVEY, TARGET, D + REACH)
+
+
+@check("K8_default_profile", sql(" UNION ALL ".join(_profile_row(i, "residence = 2 AND state IN (3, 7)") for i in ("d1", "d3", "d5", "r2", "r3"))))
+def k8d(spark, sf):
     return G.population_profile(respondents(spark, sf, "residence", "state", *D, *REACH), SURVEY, TARGET)
 
 

@@ -396,3 +396,12 @@ ADHOC = "SELECT state, residence, count(*) AS n, CAST(sum(weight) AS BIGINT) AS
 def q6(spark, sf):
     text = ADHOC.format(t="respondents").replace("residence = 2", "residence = :which")
     return run_select(spark, text, {"respondents": respondents(spark, sf, "state", "residence")}, {"which": 2})
+
+
+LIMITED = "SELECT state, education, wealth, age, count(*) AS n FROM {t} GROUP BY state, education, wealth, age ORDER BY n DESC, state, education, wealth, age"
+
+
+@check("Q6_adhoc_limited", sql(LIMITED.format(t="r") + " LIMIT 200"))
+def q6l(spark, sf):
+    df = respondents(spark, sf, "state", "education", "wealth", "age")
+    return run_select(spark, LIMITED.format(t="respondents") + ";", {"respondents": df}, limit=200)

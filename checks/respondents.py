@@ -51,6 +51,7 @@ INDICATORS = [
 
 SURVEY: Survey = survey(
     VARIABLES, INDICATORS, weight="weight", default_deprivations=("d1", "d2", "d3", "d4", "d5"),
+    profile_deprivations=("d1", "d3", "d5"), channel_indicators=("r2", "r3"),
 )
 V = SURVEY.variables
 

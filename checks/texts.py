@@ -50,7 +50,7 @@ def strip(x: str) -> str:
     array_to_string(v, ',') AS variables FROM e""")
 def r1(spark, sf):
     ordered = codebook(spark, sf).withColumn("row", F.col("variable_name"))
-    return B.codebook_chunks(ordered, "row").withColumn("variables", F.array_join("variables", ","))
+    return B.codebook_chunks(ordered, "row", 30).withColumn("variables", F.array_join("variables", ","))
 
 
 @check("R2_format_labels", """
@@ -321,7 +321,7 @@ def r16(spark, sf):
         .union(part.select("p_brand")).union(region.select("r_name")).distinct()
     )
     book = codebook(spark, sf)
-    chunks = B.codebook_chunks(book.withColumn("row", F.col("variable_name")), "row")
+    chunks = B.codebook_chunks(book.withColumn("row", F.col("variable_name")), "row", 30)
     dictionary = book.select(F.col("variable_name").alias("variable"), F.concat(F.lit("Described: "), "variable_label").alias("text"))
     return B.lookup_variable(asked, chunks, dictionary).select("name", "found", "dictionary_text")
 

@@ -1,23 +1,27 @@
 """Ranks over whole tables without sending the table through one task.
 
-A table value is ranked through the histogram of its distinct rounded values.
-Percentages rounded to two decimals have at most 10,001 of them, so the only
-window without a partition key runs over that many rows, however many groups
-there are; the rest is a broadcast join on the value.
+A table value is ranked through the histogram of its distinct values. Callers
+that rank reported percentages round them to two decimals, which leaves at most
+10,001 values for the only window without a partition key, however many groups
+there are; the rest is an equality join on the value.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .numeric import rounded
 
 
-def value_ranks(df: DataFrame, column: str, digits: int = 2) -> DataFrame:
-    """(value, n, above, rank_min, rank_avg) of the distinct rounded values, highest first."""
+def _value(column: str, digits: int | None) -> Column:
+    return F.col(column) if digits is None else rounded(column, digits)
+
+
+def value_ranks(df: DataFrame, column: str, digits: int | None = None) -> DataFrame:
+    """(value, n, above, rank_min, rank_avg) of the distinct values (rounded if `digits` is given), highest first."""
     counts = (
-        df.select(rounded(column, digits).alias("value"))
+        df.select(_value(column, digits).alias("value"))
         .filter(F.col("value").isNotNull())
         .groupBy("value")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -31,10 +35,10 @@ def value_ranks(df: DataFrame, column: str, digits: int = 2) -> DataFrame:
     )
 
 
-def with_rank(df: DataFrame, column: str, name: str, kind: str = "rank_min", digits: int = 2) -> DataFrame:
+def with_rank(df: DataFrame, column: str, name: str, kind: str = "rank_min", digits: int | None = None) -> DataFrame:
     """Adds a competition ("rank_min"), average ("rank_avg") rank, or the count "above"; NULL stays unranked."""
     ranks = value_ranks(df, column, digits).select(
         F.col("value").alias(f"_{name}_value"), F.col(kind).alias(name)
     )
-    matched = rounded(column, digits) == F.col(f"_{name}_value")
-    return df.join(F.broadcast(ranks), matched, "left").drop(f"_{name}_value")
+    matched = _value(column, digits) == F.col(f"_{name}_value")
+    return df.join(ranks, matched, "left").drop(f"_{name}_value")

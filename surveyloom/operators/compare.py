@@ -122,7 +122,7 @@ def level_gap_by_group(
     )
 
 
-def spearman(df: DataFrame, a: str, b: str, by=None, digits: int = 2) -> DataFrame:
+def spearman(df: DataFrame, a: str, b: str, by=None, digits: int | None = None) -> DataFrame:
     """(n, spearman): Pearson correlation of the average ranks of the reported values, pairwise non-NULL."""
     both = df.dropna(subset=[a, b])
     ranked = with_rank(with_rank(both, a, "_ra", "rank_avg", digits), b, "_rb", "rank_avg", digits)

@@ -75,7 +75,7 @@ def _ranked(scored: DataFrame, groups: Sequence[str], top_k: int | None) -> Data
     if top_k is not None:
         best = scored.orderBy(*order).limit(top_k)
         return best.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
-    above = with_rank(scored, "deprivation_score", "_above", "above")
+    above = with_rank(scored, "deprivation_score", "_above", "above", digits=2)
     within = F.row_number().over(Window.partitionBy("deprivation_score").orderBy(*groups))
     return above.withColumn("rank", (F.col("_above") + within).cast("int")).drop("_above")
 

@@ -204,7 +204,7 @@ def standardized_ranking(
         "sample_size_flag", small_group_flag("n", small_n)
     )
     rates = cut(rates, "rates")
-    return with_rank(with_rank(rates, "crude_pct", "rank_crude"), "standardized_pct", "rank_standardized")
+    return with_rank(with_rank(rates, "crude_pct", "rank_crude", digits=2), "standardized_pct", "rank_standardized", digits=2)
 
 
 # ---- the table set for one grouping variable --------------------------------

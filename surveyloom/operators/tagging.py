@@ -47,6 +47,7 @@ GROUP_BY_RULES = [
     (r"\bby caste|caste|scheduled (caste|tribe)", "s116"),
     (r"\bby religion\b", "v130"),
 ]
+# Words of wealth groups, and an age range.
 WEALTH_WORDS = [("poorest", 1), ("poorer", 2), ("richest", 5), ("richer", 4)]
 AGE_RANGE = r"([0-9]{2})\s*(?:-|–|—|to|and)\s*([0-9]{2})"
 
@@ -62,18 +63,21 @@ def places(texts: DataFrame, labels: DataFrame, key: str, text: str = "text") ->
     """(key, places): labels occurring as whole words, longest first, none inside a longer one.
 
     `labels(code, label)`. The first run of letters of a label must be a whole
-    run of letters in the text, which gives an equality join; only those few
-    candidates are searched for.
+    run of letters in the text, its first character one of the text's if it has
+    no letters. An equality join on these finds the few candidates; only they
+    meet the texts, by key.
     """
     name = F.lower(F.trim("label"))
+    letters = F.regexp_extract("name", "[a-z]+", 0)
     known = labels.select("code", name.alias("name")).filter(F.length("name") >= 3).withColumn(
-        "word", F.regexp_extract("name", "[a-z]+", 0)
-    )
-    words = texts.select(key, F.lower(text).alias("_text")).withColumn(
-        "word", F.explode(F.array_append(F.array_distinct(F.regexp_extract_all("_text", F.lit("([a-z]+)"), F.lit(1))), F.lit("")))
+        "word", F.when(letters != "", letters).otherwise(F.left("name", F.lit(1)))
     )
+    lowered = F.lower(F.col(text))
+    parts = F.concat(F.regexp_extract_all(lowered, F.lit("([a-z]+)"), F.lit(1)), F.split(F.regexp_replace(lowered, "[a-z]", ""), ""))
+    words = texts.select(key, F.explode(F.array_distinct(parts)).alias("word"))
+    candidates = words.join(known, "word").select(key, "code", "name").distinct()
     whole = F.concat(F.lit(r"(?<![a-z])\Q"), F.col("name"), F.lit(r"\E(?![a-z])"))
-    found = words.join(known, "word").filter(F.contains(F.col("_text"), F.col("name")) & F.rlike(F.col("_text"), whole))
+    found = texts.select(key, lowered.alias("_text")).join(candidates, key).filter(F.contains(F.col("_text"), F.col("name")) & F.rlike(F.col("_text"), whole))
     matched = found.groupBy(key).agg(F.array_sort(F.collect_set(F.struct((-F.length("name")).alias("order"), "code", "name"))).alias("m"))
 
     def covered(m, i):

@@ -9,7 +9,6 @@ from ..functions.numeric import Columnish, _c
 
 CODEBOOK_COLUMNS = ("variable_name", "variable_label", "stata_type", "value_label_name", "value_labels")
 NO_LABELS = "no value labels (the values are numbers or text)"
-MAX_LABELS_SHOWN = 30
 
 
 def load_codebook(spark: SparkSession, path: str) -> DataFrame:
@@ -46,21 +45,23 @@ def attach_labels(df: DataFrame, columns, labels: DataFrame) -> DataFrame:
     return df
 
 
-def format_labels(value_labels: Columnish) -> Column:
-    """'code = meaning; ...' for the first 30 codes, then how many there are."""
+def format_labels(value_labels: Columnish, limit: int | None = None) -> Column:
+    """'code = meaning; ...' of all codes, or of the first `limit` and then how many there are."""
     entries = F.transform(
         F.map_entries(label_map(value_labels)), lambda e: F.concat(e["key"], F.lit(" = "), e["value"])
     )
     n = F.size(entries)
-    shown = F.array_join(F.slice(entries, 1, MAX_LABELS_SHOWN), "; ")
+    shown = F.array_join(entries if limit is None else F.slice(entries, 1, limit), "; ")
     more = F.concat(shown, F.lit("; ... ("), n.cast("string"), F.lit(" codes in total)"))
-    return F.when(_c(value_labels) == "", F.lit(NO_LABELS)).when(n > MAX_LABELS_SHOWN, more).otherwise(shown)
+    listed = shown if limit is None else F.when(n > limit, more).otherwise(shown)
+    return F.when(_c(value_labels) == "", F.lit(NO_LABELS)).otherwise(listed)
 
 
-def codebook_chunks(codebook: DataFrame, order: str) -> DataFrame:
+def codebook_chunks(codebook: DataFrame, order: str, max_labels: int | None = None) -> DataFrame:
     """One text chunk per variable; numbered repeats with the same label and codes become one chunk.
 
-    `order` is the column giving the source order of the rows.
+    `order` is the column giving the source order of the rows; `max_labels`
+    limits the value labels a chunk lists.
     """
     pattern = r"^(.+?)_(\d{1,2})$"
     name = F.col("variable_name")
@@ -86,7 +87,7 @@ def codebook_chunks(codebook: DataFrame, order: str) -> DataFrame:
     text = F.concat(
         names, F.lit(". Description (codebook label): "), F.when(label != "", label).otherwise("(no label)"),
         F.lit(". Stata type: "), F.get("_rows", F.lit(0))["stata_type"],
-        F.lit(". Value labels: "), format_labels("value_labels"), F.lit("."),
+        F.lit(". Value labels: "), format_labels("value_labels", max_labels), F.lit("."),
     )
     return slots.select(
         F.concat(F.lit("codebook:"), first).alias("id"), text.alias("text"), F.lit("codebook").alias("source"),
