@@ -62,7 +62,7 @@ def r2(spark, sf):
     pairs = F.transform(F.array_sort(F.collect_list("c")), lambda c: F.format_string('"%d":"%d"', c, c))
     packed = codes.groupBy(F.col("c_mktsegment").alias("variable")).agg(pairs.alias("p"))
     text = F.concat(F.lit("{"), F.array_join("p", ","), F.lit("}"))
-    return packed.select("variable", B.format_labels(text).alias("labels"))
+    return packed.select("variable", B.format_labels(text, 30).alias("labels"))
 
 
 def page_docs(spark, sf):
