@@ -30,7 +30,7 @@ from ..sources.tables import cut
 
 THRESHOLD = 0.9
 MIN_WORDS = 5
-COUNT_BITS = 14  # counters of the word table
+COUNT_BITS = 18  # counters of the word table
 CLASS_BITS = 57  # below: hash; above: class of the count
 SENT_BYTES = 8 << 20  # a stored table of up to this size is sent to the tasks instead of moving texts to it
 SPACE = r"[\x09-\x0D\x20]"
@@ -44,10 +44,10 @@ def word_hashes(line: Column) -> Column:
 def count_classes(docs: DataFrame, text: str) -> list[int]:
     """The class of each counter (1 to 60, twice the logarithm of the count); 2**COUNT_BITS rows reach the driver."""
     words = docs.select(F.explode(F.split(F.lower(F.col(text).cast("string")), SPACE)).alias("w"))
-    counts = words.groupBy(F.shiftrightunsigned(F.xxhash64("w"), 64 - COUNT_BITS).alias("slot")).count().collect()
+    counts = words.groupBy(F.shiftrightunsigned(F.xxhash64("w"), 64 - COUNT_BITS).alias("slot")).count().toArrow()
     out = [1] * (1 << COUNT_BITS)
-    for r in counts:
-        out[r["slot"]] = min(60, 1 + floor(2 * log2(r["count"])))
+    for slot, n in zip(counts.column("slot").to_pylist(), counts.column("count").to_pylist(), strict=True):
+        out[slot] = min(60, 1 + floor(2 * log2(n)))
     return out
 
 
