@@ -24,10 +24,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import text_array
+from .words import give_back, text_array
 
-KEPT_WORDS = 150_000  # pre-tokens in each of the two generations a Python worker remembers
-CORPUS_CHARS = 4_000_000  # texts whose new pre-tokens are merged together
+KEPT_WORDS = 80_000  # pre-tokens in each of the two generations a Python worker remembers
+CORPUS_CHARS = 2_000_000  # texts whose new pre-tokens are merged together
 
 
 class Ranks:
@@ -185,6 +185,7 @@ def encode_texts(texts: list[str], path: str, split) -> Iterator[bytes]:
         for codes in found:
             yield b"".join([c if type(c) is bytes else known[c] for c in codes] if any_new else codes)
         at = to
+    give_back()
 
 
 def decode_ids(ids: bytes, path: str) -> bytes:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .words import LOWER, U, Words, mix, pieces, text_array
+from .words import LOWER, U, Words, give_back, mix, pieces, text_array
 
 BITS = 18
 SAMPLE = 6_000  # labelled rows used for training, at most about that many
@@ -132,6 +132,8 @@ def _fit_table(found: pa.Table) -> pa.Table:
         w, bias = _fit(blocks, y, ~held, 2 << BITS)
         score = np.concatenate([_scores(block, w) for block in blocks]) + bias
         slope, shift = _calibrate(score[held], y[held]) if len(set(y[held])) == 2 else (1.0, 0.0)
+        del blocks
+    give_back()
     w = w.astype("<f4")
     numbers = [float(bias), slope, shift, prior]
     return pa.table({"words": [w[: 1 << BITS].tobytes()], "chars": [w[1 << BITS :].tobytes()], "numbers": [numbers]}, pa.schema([("words", pa.binary()), ("chars", pa.binary()), ("numbers", pa.list_(pa.float64()))]))

@@ -7,13 +7,11 @@ with values beside them. Ranges grow in number with the shuffle partitions.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .words import U
+from .words import U, give_back
 
 BLOB = "part int, blob binary"
 
@@ -57,13 +55,20 @@ def gathered(table: pa.Table, *kinds: type) -> list[np.ndarray]:
     """The keys of all blobs of a range, sorted, with their values."""
     found = [unpack(b.as_py(), *kinds) for b in table.column("blob")]
     arrays = [np.concatenate([f[i] for f in found]) for i in range(1 + len(kinds))]
+    del found
     order = np.argsort(arrays[0], kind="stable")
     return [a[order] for a in arrays]
 
 
 def in_ranges(blobs: DataFrame, work, schema: str) -> DataFrame:
     """`work(table)` of each range's blobs; a range is a bounded share of the keys."""
-    return blobs.groupBy("part").applyInArrow(work, schema)
+
+    def run(table: pa.Table) -> pa.Table:
+        out = work(table)
+        give_back()
+        return out
+
+    return blobs.groupBy("part").applyInArrow(run, schema)
 
 
 def groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -72,8 +77,3 @@ def groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     start = np.concatenate(([0], np.flatnonzero(keys[1:] != keys[:-1]) + 1))
     return start, np.diff(np.append(start, len(keys)))
-
-
-def chunks(batch: pa.RecordBatch, rows: int = 2_000) -> Iterator[pa.RecordBatch]:
-    for at in range(0, batch.num_rows, rows):
-        yield batch.slice(at, rows)

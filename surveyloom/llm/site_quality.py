@@ -20,22 +20,28 @@ keys split. Null hosts and paths are groups of their own, null texts are empty.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import cut
-from .hashlr import Model, score_batches
+from .hashlr import Model
+from .words import pieces, text_array
 
 WEAKEST, STRONGEST = 2.0, 1e6
 
 
-def with_evidence(rows: DataFrame, model: Model) -> DataFrame:
-    """(every column of rows but text, evidence): the model's log-odds without its prior, bounded; rows have a column text."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)  # two weight tables of fixed size
+def evidence(text: Column, model: Model, spark: SparkSession) -> Column:
+    """The model's log-odds without its prior, bounded. Only the text travels to Python."""
+    shared = spark.sparkContext.broadcast(model)  # two weight tables of fixed size
     offset = float(np.log(model.prior / (1 - model.prior)))
-    more = lambda words, odds: {"evidence": np.clip(odds - offset, -30, 30)}
-    schema = rows.drop("text").withColumn("evidence", F.lit(0.0)).schema
-    return rows.mapInArrow(lambda batches: score_batches(batches, "text", shared.value, more), schema)
+
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        scores = [np.clip(shared.value.log_odds(words) - offset, -30, 30) for words in pieces(text_array(texts))]
+        return pa.array(np.concatenate(scores) if scores else [], pa.float64())
+
+    return score(text)
 
 
 def _logit(p: Column) -> Column:
@@ -88,7 +94,7 @@ def classify(docs: DataFrame, model: Model, text: str, host: str, path: str, thr
     named = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
     slim = docs.select(F.struct(*keep_columns).alias("row"), F.col(text).cast("string").alias("text"), named(host).alias("host"), named(path).alias("path"))
     # Texts are scored once: the written evidence serves the groups and the verdicts.
-    stored = cut(with_evidence(slim, model), "evidence")
+    stored = cut(slim.withColumn("evidence", evidence(F.col("text"), model, docs.sparkSession)).drop("text"), "evidence")
     shares = cut(path_shares(stored, model.prior), "path-shares").select("host", "path", "host_share", "path_share")
     p = _sigmoid(F.col("evidence") + _logit(F.col("path_share")))
     return stored.join(shares, ["host", "path"], "left").select("row", "evidence", "host_share", "path_share", p.alias("p_good"), (p >= threshold).alias("kept"))

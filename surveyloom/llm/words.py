@@ -8,6 +8,7 @@ depend on the machine, the batch or the position.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,6 +28,7 @@ LOWER[65:91] += 32
 
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _POWERS: dict[int, np.ndarray] = {}
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
 
 
 def powers(base: int, n: int) -> np.ndarray:
@@ -79,6 +81,13 @@ class Words:
         return np.repeat(np.arange(self.rows), self.counts())
 
 
+def give_back() -> None:
+    """Returns freed memory to the system: Python workers live on after their tasks."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
 def text_array(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     """One string array without nulls (null: empty)."""
     if isinstance(column, pa.ChunkedArray):
@@ -105,6 +114,7 @@ def pieces(texts: pa.Array, separators: np.ndarray = SPACES) -> Iterator[Words]:
         ends = np.flatnonzero(inside & (~after | edge[1:])) + 1
         yield Words(at, to - at, own, starts, ends, np.searchsorted(starts, bounds), bounds)
         at = to
+    give_back()
 
 
 def windows(hashes: np.ndarray, of: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
