@@ -110,12 +110,38 @@ def op9_line_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_join.removals(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-@query("op3_ngram_jaccard")
+WORDS_SQL = r"regexp_extract_all(coalesce({t}, ''), '[^\x20\x09-\x0D]+')"
+WINDOWS_SQL = rf"""
+WITH w AS (SELECT doc_id, {WORDS_SQL.format(t='text')} AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM w WHERE len(w) >= 35),
+h AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS k FROM p),
+r AS (SELECT doc_id, i FROM h WHERE k IN (SELECT k FROM h GROUP BY k HAVING count(*) > 1)),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS i FROM r),
+each AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM w),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept, count(*) AS n FROM each ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+JACCARD_SQL = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, {WORDS_SQL.format(t="translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w FROM documents
+), p AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM w WHERE len(w) > 0),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS k FROM p),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.k = b.k AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM c JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 75 * (a.n + b.n - c)),
+e AS (SELECT x, y FROM l UNION SELECT y, x FROM l),
+reach AS (SELECT doc_id, doc_id AS other FROM w UNION SELECT reach.doc_id, e.y FROM reach JOIN e ON e.x = reach.other)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, min(other) AS component_id FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id, n
+"""
+
+
+@query("op3_ngram_jaccard", JACCARD_SQL)
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = jaccard.classes(table(spark, sf_dir, "documents"), "doc_id", "text")
     return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
 
 
-@query("op8_suffix_automaton")
+@query("op8_suffix_automaton", WINDOWS_SQL)
 def op8_suffix_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return automaton.digests(table(spark, sf_dir, "documents"), "doc_id", "text")

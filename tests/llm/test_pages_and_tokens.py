@@ -120,3 +120,11 @@ def test_pipeline_on_empty_documents(spark):
 def test_each_operator_has_one_query():
     numbers = Counter(name.split("_")[0] for name in queries.QUERIES)
     assert numbers == Counter({f"op{n}": 1 for n in range(1, 11)})
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_query_equals_its_sql(spark, name):
+    from checks.compare import compare, duck
+
+    text, _, ok = compare(spark, duck(SF), name, queries.QUERIES[name], queries.ORACLES[name], SF)
+    assert ok, text
