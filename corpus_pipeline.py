@@ -38,10 +38,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, lang, source, n_tokens, ids, round_trip): ids are unsigned 32-bit, little-endian, and decode to the text."""
-    path, pattern = byte_bpe()
-    encoded = bpe.with_ids(docs.select("doc_id", "lang", "source", F.coalesce("text", F.lit("")).alias("text")), "text", path, pattern)
-    both = bpe.with_decoded(encoded, "ids", path)
-    return both.select("doc_id", "lang", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", (F.col("decoded") == F.col("text").cast("binary")).alias("round_trip"))
+    slim = docs.select("doc_id", "lang", "source", F.coalesce("text", F.lit("")).alias("text"))
+    return bpe.with_round_trip(slim, "text", *byte_bpe()).drop("text")
 
 
 STAGES = [("quality", quality), ("line_dedup", lines), ("near_copies", near_copies), ("decontamination", decontaminate), ("byte_bpe", tokenize)]

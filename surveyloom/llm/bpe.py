@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 
 from .words import give_back, text_array
 
-KEPT_WORDS = 80_000  # pre-tokens in each of the two generations a Python worker remembers
-CORPUS_CHARS = 2_000_000  # texts whose new pre-tokens are merged together
+KEPT_WORDS = 100_000  # pre-tokens in each of the two generations a Python worker remembers
+CORPUS_CHARS = 4_000_000  # texts whose new pre-tokens are merged together
 
 
 class Ranks:
@@ -196,7 +196,7 @@ def decode_ids(ids: bytes, path: str) -> bytes:
 
 def with_ids(df: DataFrame, text: str, path: str, pattern: str, ids: str = "ids") -> DataFrame:
     """`df` with a binary column of the text's ids (unsigned 32-bit, little-endian)."""
-    return _mapped(df, text, path, pattern, {ids: ("binary", lambda encoded: encoded)})
+    return _mapped(df, text, path, pattern, {ids: ("binary", lambda encoded, _: encoded)})
 
 
 def with_decoded(df: DataFrame, ids: str, path: str, decoded: str = "decoded") -> DataFrame:
@@ -215,16 +215,27 @@ def with_decoded(df: DataFrame, ids: str, path: str, decoded: str = "decoded") -
 def digests(df: DataFrame, key: str, text: str, path: str, pattern: str) -> DataFrame:
     """(key, n_tokens, ids_sha256, decoded_sha256): ids and decoded bytes are hashed where they are made."""
     out = {
-        "n_tokens": ("long", lambda encoded: len(encoded) // 4),
-        "ids_sha256": ("string", lambda encoded: hashlib.sha256(encoded).hexdigest()),
-        "decoded_sha256": ("string", lambda encoded: hashlib.sha256(decode_ids(encoded, path)).hexdigest()),
+        "n_tokens": ("long", lambda encoded, _: len(encoded) // 4),
+        "ids_sha256": ("string", lambda encoded, _: hashlib.sha256(encoded).hexdigest()),
+        "decoded_sha256": ("string", lambda encoded, _: hashlib.sha256(decode_ids(encoded, path)).hexdigest()),
     }
     # The row's other columns don't travel to Python.
     slim = df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     return _mapped(slim, "text", path, pattern, out).drop("text").withColumnRenamed("key", key)
 
 
-_TYPES = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+def with_round_trip(df: DataFrame, text: str, path: str, pattern: str) -> DataFrame:
+    """`df` with n_tokens, ids (as with_ids) and whether they decode to the text, all in one pass."""
+    out = {
+        "n_tokens": ("long", lambda encoded, _: len(encoded) // 4),
+        "ids": ("binary", lambda encoded, _: encoded),
+        "round_trip": ("boolean", lambda encoded, body: decode_ids(encoded, path) == body.encode()),
+    }
+    return _mapped(df, text, path, pattern, out)
+
+
+ROWS = 2_000  # texts of a batch that are taken together, so that few results wait in memory
+_TYPES = {"boolean": pa.bool_(), "long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
 
 
 def _fresh(df: DataFrame, names: list[str]) -> None:
@@ -245,12 +256,15 @@ def _mapped(df: DataFrame, text: str, path: str, pattern: str, out: dict) -> Dat
         import regex
 
         split = regex.compile(pattern).findall
-        for batch in batches:
-            made = {name: [] for name in out}
-            for encoded in encode_texts(text_array(batch.column(text)).to_pylist(), path, split):
-                for name, (_, value) in out.items():
-                    made[name].append(value(encoded))
-            arrays = [pa.array(made[name], _TYPES[kind]) for name, (kind, _) in out.items()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], [*batch.schema.names, *out])
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(at, ROWS)
+                texts = text_array(batch.column(text)).to_pylist()
+                made = {name: [] for name in out}
+                for body, encoded in zip(texts, encode_texts(texts, path, split), strict=True):
+                    for name, (_, value) in out.items():
+                        made[name].append(value(encoded, body))
+                arrays = [pa.array(made[name], _TYPES[kind]) for name, (kind, _) in out.items()]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], [*batch.schema.names, *out])
 
     return df.mapInArrow(run, _schema(df, ", ".join(f"{n} {k}" for n, (k, _) in out.items())))
