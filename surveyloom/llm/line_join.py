@@ -2,9 +2,10 @@
 
 A line's tokens are its distinct words (runs without white space, lower-cased).
 A line is removed when an earlier line, in this or another document, has the
-same tokens or a Jaccard similarity of at least `threshold` to them; lines of
-fewer than `min_words` distinct words stay. Earlier is by (id, line number), null
-ids last; rows with the same id are at the same place and keep their lines.
+same tokens or a Jaccard similarity of at least `threshold` to them; lines
+without a word stay, as do those of fewer than `min_words` distinct words where
+a caller asks for more than one. Earlier is by (id, line number), null ids last;
+rows with the same id are at the same place and keep their lines.
 
 1. Words are counted in a table of fixed size over all lines; a token is its
    64-bit hash with the size class of its count on top, so sorting tokens
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from ..sources.tables import cut
 
 THRESHOLD = 0.9
-MIN_WORDS = 5
+MIN_WORDS = 1
 COUNT_BITS = 18  # counters of the word table
 CLASS_BITS = 57  # below: hash; above: class of the count
 SENT_BYTES = 8 << 20  # a stored table of up to this size is sent to the tasks instead of moving texts to it
@@ -88,7 +89,7 @@ def removed_lines(docs: DataFrame, key: str, text: str, threshold: float = THRES
     classes = count_classes(docs, text)
     tokens = _lines(docs, key, text).select("id", "text_hash", "no", token_set(F.col("line"), classes).alias("tokens"))
     n = F.size("tokens")
-    # Short lines go after the table is written: a filter before it would cut every line twice.
+    # Lines without a word go after the table is written: a filter before it would cut every line twice.
     sized = cut(
         tokens.select("id", "text_hash", "no", F.xxhash64("tokens").alias("set"), n.alias("n"), parity(F.col("tokens")).alias("bits"), F.slice("tokens", 1, n - F.ceil(n * threshold).cast("int") + 1).alias("prefix")),
         "line-prefixes",

@@ -125,6 +125,14 @@ def test_line_removals(docs, corpus, empty):
     assert line_join.removals(empty, "doc_id", "text").count() == 0
 
 
+def test_short_line_copies_go(spark):
+    """Copies go however few distinct words they have; lines without a word stay, near sets of few words too."""
+    texts = ["Theand thble reingwh thorin.\none\n\n \t\nha ha ha ha ha ha\n一二三四五", "theand  thble reingwh thorin.\none\n\nha ha\n一二三四五\none two\na b c d\na b c e"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["removed"] for r in line_join.removals(rows, "doc_id", "text").collect()}
+    assert got == {0: [], 1: [0, 1, 3, 4]}
+
+
 def test_line_join_is_native(docs):
     plan = line_join.removals(docs, "doc_id", "text")._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|ArrowEval|MapIn", plan)
