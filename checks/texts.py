@@ -248,10 +248,15 @@ def r12(spark, sf):
 
 # The fused corpus: every document that has an embedding. Queries: every benchmark item,
 # its text preceded by identifiers that name documents, with the vector of the same number.
-DOCS = """idx AS (SELECT doc_id, text, source, embedding AS vec FROM documents JOIN embeddings ON doc_id = vec_id)"""
-FUSED = f"""{DOCS}, {corpus_sql('idx')},
-  items AS (SELECT item_id, 'See doc' || (item_id * 7 + 3) || ', v999 and DOC' || (item_id * 3) || '. ' || benchmark.text AS text, embedding AS vec
-            FROM benchmark JOIN embeddings ON item_id = vec_id),
+# The whole corpus: every document and every item, with a zero vector where there is no embedding.
+ZERO = "(SELECT list_transform(range(max(len(embedding))), lambda x: CAST(0 AS FLOAT)) FROM embeddings)"
+
+
+def fused_sql(join: str = "JOIN", vec: str = "embedding") -> str:
+    docs = f"""idx AS (SELECT doc_id, text, source, {vec} AS vec FROM documents {join} embeddings ON doc_id = vec_id)"""
+    return f"""{docs}, {corpus_sql('idx')},
+  items AS (SELECT item_id, 'See doc' || (item_id * 7 + 3) || ', v999 and DOC' || (item_id * 3) || '. ' || benchmark.text AS text, {vec} AS vec
+            FROM benchmark {join} embeddings ON item_id = vec_id),
   {tfidf_sql('items', 'item_id', 'text', 'q', 'd_v')},
   sp AS (SELECT item_id, doc_id, sum(q.weight * d.weight) AS s FROM q JOIN d USING (term) GROUP BY item_id, doc_id),
   pairs AS (SELECT item_id, doc_id, idx.source, {DOT.format(a='items.vec', b='idx.vec')} AS dense_score, coalesce(round(s, 6), 0) AS sparse_score
@@ -261,13 +266,19 @@ FUSED = f"""{DOCS}, {corpus_sql('idx')},
   fused AS (SELECT *, 1 / CAST(60 + dense_rank AS DOUBLE) + 1 / CAST(60 + sparse_rank AS DOUBLE) AS score FROM ranks)"""
 
 
-def fused_inputs(spark, sf):
-    emb = table(spark, sf, "embeddings").select("vec_id", F.col("embedding").alias("vec"))
-    docs = table(spark, sf, "documents").join(emb, F.col("doc_id") == F.col("vec_id")).select("doc_id", "text", "source", "vec")
+FUSED, WHOLE = fused_sql(), fused_sql("LEFT JOIN", f"coalesce(embedding, {ZERO})")
+
+
+def fused_inputs(spark, sf, whole=False):
+    emb, vec, how = table(spark, sf, "embeddings").select("vec_id", F.col("embedding").alias("vec")), F.col("vec"), "inner"
+    if whole:
+        size = emb.agg(F.max(F.size("vec"))).scalar()
+        vec, how = F.coalesce("vec", F.array_repeat(F.lit(0).cast("float"), size)).alias("vec"), "left"
+    docs = table(spark, sf, "documents").join(emb, F.col("doc_id") == F.col("vec_id"), how).select("doc_id", "text", "source", vec)
     prefix = F.concat(F.lit("See doc"), (F.col("item_id") * 7 + 3).cast("string"), F.lit(", v999 and DOC"),
                       (F.col("item_id") * 3).cast("string"), F.lit(". "))
-    items = table(spark, sf, "benchmark").join(emb, F.col("item_id") == F.col("vec_id")).select(
-        "item_id", F.concat(prefix, "text").alias("text"), "vec")
+    items = table(spark, sf, "benchmark").join(emb, F.col("item_id") == F.col("vec_id"), how).select(
+        "item_id", F.concat(prefix, "text").alias("text"), vec)
     paths = build_index(docs.drop("vec"), scratch_path(spark, "index"), vectors=docs.select("doc_id", "vec"), stop=STOP,
                         max_features=FEATURES, keep=["source"])
     vocab, index = load_index(spark, paths)
@@ -276,14 +287,24 @@ def fused_inputs(spark, sf):
     return queries, index, names
 
 
-@check("R14_rank_fusion", f"""WITH {FUSED}
+def fusion_sql(fused: str) -> str:
+    return f"""WITH {fused}
   SELECT item_id, doc_id, dense_score, sparse_score, dense_rank, sparse_rank, score, rank FROM (
-    SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM fused) WHERE rank <= 5""")
+    SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM fused) WHERE rank <= 5"""
+
+
+@check("R14_rank_fusion", fusion_sql(FUSED))
 def r14(spark, sf):
     queries, index, _ = fused_inputs(spark, sf)
     return R.fused_top_k(queries, index, "item_id", "doc_id", 5, digits=DIGITS)
 
 
+@check("R14_rank_fusion_all_documents", fusion_sql(WHOLE))
+def r14w(spark, sf):
+    queries, index, _ = fused_inputs(spark, sf, whole=True)
+    return R.fused_top_k(queries, index, "item_id", "doc_id", 5, digits=DIGITS)
+
+
 PINS = """
   men AS (SELECT item_id, lower(name) AS name, min(i) AS position FROM (
     SELECT item_id, unnest(m) AS name, generate_subscripts(m, 1) AS i FROM (
@@ -291,8 +312,8 @@ PINS = """
   pins AS (SELECT item_id, doc_id, position, source FROM men JOIN idx ON name = 'doc' || doc_id)"""
 
 
-def pinned_sql(k: int, where: str) -> str:
-    return f"""WITH {FUSED}, {PINS},
+def pinned_sql(k: int, where: str, fused: str = FUSED) -> str:
+    return f"""WITH {fused}, {PINS},
   res AS (SELECT item_id, doc_id, CAST(1 AS DOUBLE) AS score, 'exact variable name' AS match, 0 AS tier, CAST(position AS DOUBLE) AS place FROM pins WHERE {where}
     UNION ALL SELECT item_id, doc_id, score, 'similarity', 1, -score FROM fused WHERE {where} AND (item_id, doc_id) NOT IN (SELECT (item_id, doc_id) FROM pins))
   SELECT item_id, doc_id, score, match, rank FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY tier, place, doc_id) AS rank FROM res) WHERE rank <= {k}"""
@@ -310,6 +331,18 @@ def r15s(spark, sf):
     return R.retrieve(queries, index, names, "item_id", "doc_id", 4, sources=["src1", "src3", "src6"], digits=DIGITS)
 
 
+@check("R15_pinned_retrieval_all_documents", pinned_sql(5, "TRUE", WHOLE))
+def r15w(spark, sf):
+    queries, index, names = fused_inputs(spark, sf, whole=True)
+    return R.retrieve(queries, index, names, "item_id", "doc_id", 5, digits=DIGITS)
+
+
+@check("R15_pinned_retrieval_by_source_all_documents", pinned_sql(4, "source IN ('src1', 'src3', 'src6')", WHOLE))
+def r15sw(spark, sf):
+    queries, index, names = fused_inputs(spark, sf, whole=True)
+    return R.retrieve(queries, index, names, "item_id", "doc_id", 4, sources=["src1", "src3", "src6"], digits=DIGITS)
+
+
 @check("R16_definition_lookup", f"""WITH {CODEBOOK},
   asked AS (SELECT DISTINCT ' ' || upper(p_type) || '_07 ' AS name FROM part UNION SELECT DISTINCT p_brand FROM part UNION SELECT r_name FROM region)
   SELECT name, variable_name IS NOT NULL AS found, 'Described: ' || variable_label AS dictionary_text

@@ -195,3 +195,22 @@ def test_facts_without_a_seen_source_are_dropped(spark):
     seen = spark.createDataFrame([("real.example.org/about",)], "url string")
     assert [r.org for r in M.sourced_facts(facts, seen, "org").collect()] == ["real"]
     assert tuple(M.dropped_facts(facts, seen, "org").first()) == (2, 1)
+
+
+def test_fused_corpus_holds_documents_and_items_without_embedding(spark, tmp_path):
+    """Two of five documents and one of two items have a vector; the others are ranked with a zero vector."""
+    from checks import texts
+
+    words = ["alpha", "beta", "gamma", "delta", "omega"]
+    tables = {
+        "documents": spark.createDataFrame([(i, f"{w} text", "src1") for i, w in enumerate(words)], "doc_id long, text string, source string"),
+        "embeddings": spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0])], "vec_id long, embedding array<float>"),
+        "benchmark": spark.createDataFrame([(1, "beta text"), (4, "omega text")], "item_id long, text string"),
+    }
+    for name, df in tables.items():
+        df.write.parquet(str(tmp_path / f"{name}.parquet"))
+    got = {(r.item_id, r["rank"]): r for r in texts.r14w(spark, str(tmp_path)).collect()}
+    assert {q for q, _ in got} == {1, 4} and all({got[q, r].doc_id for r in range(1, 6)} == {0, 1, 2, 3, 4} for q in (1, 4))
+    assert got[1, 1].doc_id == 1 and got[1, 1].dense_score == 1.0
+    omega = next(got[4, r] for r in range(1, 6) if got[4, r].doc_id == 4)
+    assert omega.sparse_rank == 1 and omega.dense_score == 0.0
