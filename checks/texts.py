@@ -165,6 +165,7 @@ def r8(spark, sf):
 
 FEATURES = 50_000
 DIGITS = 6  # both sides round scores before ranking, so summation order cannot decide ties
+FINE = 12  # digits of the …_fine_ranks queries while ranking; their output has DIGITS
 
 
 def tfidf_sql(src: str, key: str, text: str, name: str, vocab: str) -> str:
@@ -205,13 +206,17 @@ def r9(spark, sf):
         F.round(F.sum("weight"), 5).alias("total"))
 
 
-SPARSE = f"""{corpus_sql()}, {tfidf_sql('benchmark', 'item_id', 'text', 'q', 'd_v')},
+def sparse_sql(digits: int) -> str:
+    return f"""{corpus_sql()}, {tfidf_sql('benchmark', 'item_id', 'text', 'q', 'd_v')},
   top AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM (
-    SELECT item_id, doc_id, round(sum(q.weight * d.weight), 6) AS score FROM q JOIN d USING (term) GROUP BY item_id, doc_id))"""
+    SELECT item_id, doc_id, round(sum(q.weight * d.weight), {digits}) AS score FROM q JOIN d USING (term) GROUP BY item_id, doc_id))"""
 
 
-def sparse_results(spark, sf, k):
-    return R.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"), "doc_id", "item_id", k=k, stop=STOP, max_features=FEATURES, digits=DIGITS)
+SPARSE = sparse_sql(DIGITS)
+
+
+def sparse_results(spark, sf, k, digits=DIGITS):
+    return R.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"), "doc_id", "item_id", k=k, stop=STOP, max_features=FEATURES, digits=digits)
 
 
 @check("R13_sparse_top_k", f"WITH {SPARSE} SELECT item_id, doc_id, score, rank FROM top WHERE rank <= 10")
@@ -219,6 +224,11 @@ def r13(spark, sf):
     return sparse_results(spark, sf, 10)
 
 
+@check("R13_sparse_top_k_fine_ranks", f"WITH {sparse_sql(FINE)} SELECT item_id, doc_id, round(score, {DIGITS}) AS score, rank FROM top WHERE rank <= 10")
+def r13f(spark, sf):
+    return sparse_results(spark, sf, 10, FINE).withColumn("score", F.round("score", DIGITS))
+
+
 @check("R17_hit_rate", f"""WITH {SPARSE}
   SELECT count(*) AS n_queries, count(*) FILTER (WHERE hit) AS n_hits, CAST(count(*) FILTER (WHERE hit) AS DOUBLE) / count(*) AS hit_rate FROM (
     SELECT item_id, coalesce(max(contains(documents.text, benchmark.text)), FALSE) AS hit
@@ -246,6 +256,19 @@ def r12(spark, sf):
         e.select(F.col("vec_id").alias("doc_id"), F.col("embedding").alias("vec")), "query_id", "doc_id", 10, DIGITS)
 
 
+@check("R12_dense_top_k_fine_ranks", f"""
+  SELECT query_id, doc_id, round(score, {DIGITS}) AS score, rank FROM (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM (
+      SELECT a.vec_id AS query_id, b.vec_id AS doc_id,
+        round(list_dot_product(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), {FINE}) AS score FROM embeddings a, embeddings b))
+  WHERE rank <= 10""")
+def r12f(spark, sf):
+    e = table(spark, sf, "embeddings")
+    return R.dense_top_k(
+        e.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vec")),
+        e.select(F.col("vec_id").alias("doc_id"), F.col("embedding").alias("vec")), "query_id", "doc_id", 10, FINE).withColumn("score", F.round("score", DIGITS))
+
+
 # The fused corpus: every document that has an embedding. Queries: every benchmark item,
 # its text preceded by identifiers that name documents, with the vector of the same number.
 # The whole corpus: every document and every item, with a zero vector where there is no embedding.

@@ -214,3 +214,11 @@ def test_fused_corpus_holds_documents_and_items_without_embedding(spark, tmp_pat
     assert got[1, 1].doc_id == 1 and got[1, 1].dense_score == 1.0
     omega = next(got[4, r] for r in range(1, 6) if got[4, r].doc_id == 4)
     assert omega.sparse_rank == 1 and omega.dense_score == 0.0
+
+
+def test_scores_that_differ_below_six_digits_are_ranked(spark, tmp_path):
+    from checks import texts
+
+    spark.createDataFrame([(0, [1.0]), (1, [0.5]), (2, [0.50000006])], "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = {r["rank"]: (r.doc_id, r.score) for r in texts.r12f(spark, str(tmp_path)).filter("query_id = 0").collect()}
+    assert got == {1: (0, 1.0), 2: (2, 0.5), 3: (1, 0.5)}
