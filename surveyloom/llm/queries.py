@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import automaton, bpe, hashlr, jaccard, line_join, quality_rules, secret_scan, sharding, site_quality, tiling, warc
+from . import automaton, bpe, hashlr, jaccard, line_join, prefix_trie, quality_rules, secret_scan, sharding, site_quality, tiling, vptree, warc, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -145,3 +145,71 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_suffix_automaton", WINDOWS_SQL)
 def op8_suffix_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return automaton.digests(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+@query("op11_whitening")
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", components=16)
+
+
+NEAREST_SQL = """
+WITH v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+    AND len(list_filter(embedding, lambda c: c <> 0)) > 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_cosine_similarity(q.e, c.e) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(c.e) = len(q.e)
+), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+@query("op13_vantage_point", NEAREST_SQL)
+def op13_vantage_point(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Factor 1: exact."""
+    rows = vptree.index(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    out = vptree.neighbours(rows.filter(F.col("id") % 50 == 0), rows, k=5, factor=1.0)
+    return out.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+TRIE_SQL = """
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, encode(coalesce(role, '')) AS r, encode(coalesce(text, '')) AS x,
+    turn FROM conversations WHERE conv_id IS NOT NULL
+), p AS (
+  SELECT conv_id, length(text) AS chars, sha256(concat(octet_length(r), ':', role, text)) AS d,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(concat(octet_length(r), ':', role, text))) AS pos
+  FROM t
+), b AS (
+  SELECT DISTINCT conv_id, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda s: CAST(ord(s) AS BIGINT))),
+    lambda c, s: list_reduce(list_prepend(xor(c, s), range(8)), lambda y, i: CASE WHEN y % 2 = 1 THEN xor(y // 2, 3988292384) ELSE y // 2 END))) % 6 AS h
+  FROM t
+), q AS (
+  SELECT b.conv_id, 0 AS part, pos, d, chars FROM b JOIN p s ON s.conv_id = b.conv_id - b.conv_id % 100 AND s.pos <= b.h
+  UNION ALL SELECT conv_id, 1, pos, d, chars FROM p JOIN b USING (conv_id) WHERE pos > h
+), o AS (
+  SELECT conv_id, d, chars, row_number() OVER (PARTITION BY conv_id ORDER BY part, pos) AS depth,
+    row_number() OVER (PARTITION BY conv_id ORDER BY part DESC, pos DESC) = 1 AS last FROM q
+), l AS (
+  SELECT a.conv_id, a.depth, any_value(a.chars) AS chars, any_value(a.last) AS last, string_agg(z.d, '' ORDER BY z.depth) AS k, any_value(a.d) AS d
+  FROM o a JOIN o z ON z.conv_id = a.conv_id AND z.depth <= a.depth GROUP BY a.conv_id, a.depth
+), s AS (
+  SELECT conv_id, depth, chars, last, k, left(k, 64 * (depth - 1)) AS up FROM l
+  UNION ALL SELECT conv_id, 0, 0, conv_id NOT IN (SELECT conv_id FROM o), '', NULL FROM b
+), n AS (
+  SELECT k, any_value(up) AS up, depth, any_value(chars) AS chars, count(*) AS n_convs, min(conv_id) AS conv_id,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE last), '')) AS ends_sha256
+  FROM s GROUP BY k, depth
+), c AS (SELECT up AS k, count(*) AS n_children FROM n WHERE up IS NOT NULL GROUP BY up),
+m AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN c USING (k)),
+w AS (SELECT unnest(range(0, depth + 1)) AS pos, k, depth, (n_convs - 1) * chars AS w, n_children = 0 AS leaf FROM m),
+g AS (SELECT left(k, 64 * pos) AS k, count(*) FILTER (WHERE leaf) AS n_leaves, sum(w) AS saved FROM w GROUP BY 1)
+SELECT m.conv_id, CAST(m.depth AS BIGINT) AS depth, u.conv_id AS parent_conv_id, m.n_convs, m.n_children, g.n_leaves, CAST(g.saved AS BIGINT) AS saved_tokens, m.ends_sha256
+FROM m JOIN g USING (k) LEFT JOIN m u ON u.k = m.up
+"""
+
+
+@query("op12_prefix_trie", TRIE_SQL)
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
