@@ -9,7 +9,7 @@ from surveyloom.operators import chunk as H
 from surveyloom.operators import retrieval as R
 from surveyloom.plans.index import build_index, load_index, question_side
 from surveyloom.sources import codebook as B
-from surveyloom.sources.tables import scratch_path
+from surveyloom.sources.tables import cut, scratch_path, spread
 
 from .audit import CODEBOOK, codebook
 from .registry import check
@@ -164,8 +164,8 @@ def r8(spark, sf):
 
 
 FEATURES = 50_000
-DIGITS = 6  # both sides round scores before ranking, so summation order cannot decide ties
-FINE = 12  # digits of the …_fine_ranks queries while ranking; their output has DIGITS
+DIGITS = 12  # both sides round scores before ranking, so summation order cannot decide ties; results show SHOWN
+SHOWN = 6
 
 
 def tfidf_sql(src: str, key: str, text: str, name: str, vocab: str) -> str:
@@ -191,141 +191,125 @@ def corpus_sql(src: str = "documents", features: int = FEATURES) -> str:
 
 @check("R9_vocabulary", f"WITH {corpus_sql()} SELECT term, corpus_count, df, round(idf, 6) AS idf FROM d_v")
 def r9v(spark, sf):
-    v = R.fit_vocabulary(table(spark, sf, "documents"), "doc_id", "text", STOP, FEATURES)
+    v = R.fit_vocabulary(spread(table(spark, sf, "documents")), "doc_id", "text", STOP, FEATURES)
     return v.withColumn("idf", F.round("idf", 6))
 
 
+_STORED: dict[tuple[str, str], dict[str, str]] = {}
+
+
+def stored_index(spark, sf):
+    """The index of all documents, built once in a session: the tables never change. Vectors are the embeddings, zero where there is none."""
+    at = (spark.sparkContext.applicationId, sf)
+    if at not in _STORED:
+        docs = spread(table(spark, sf, "documents").select("doc_id", "text", "source"))
+        _STORED[at] = build_index(docs, scratch_path(spark, "index"), vectors=with_vectors(spark, sf, docs, "doc_id").select("doc_id", "vec"),
+                                  stop=STOP, max_features=FEATURES, keep=["source"])
+    return _STORED[at]
+
+
+def with_vectors(spark, sf, rows, key):
+    emb = table(spark, sf, "embeddings").select("vec_id", F.col("embedding").alias("vec"))
+    vec = F.coalesce("vec", F.array_repeat(F.lit(0).cast("float"), emb.agg(F.max(F.size("vec"))).scalar()))
+    return rows.join(emb, F.col(key) == F.col("vec_id"), "left").drop("vec_id").withColumn("vec", vec)
+
+
 @check("R9_tfidf_documents", f"""WITH {corpus_sql()}
   SELECT doc_id, count(*) AS n_terms, round(max(weight), 6) AS largest, round(min(weight), 6) AS smallest, round(sum(weight), 5) AS total FROM d GROUP BY doc_id""")
 def r9(spark, sf):
-    docs = table(spark, sf, "documents")
-    vocab = R.fit_vocabulary(docs, "doc_id", "text", STOP, FEATURES)
-    w = R.tfidf(R.term_counts(docs, "doc_id", "text", STOP), vocab, "doc_id")
+    w = load_index(spark, stored_index(spark, sf))[1].select("doc_id", F.explode("weights").alias("weight"))
     return w.groupBy("doc_id").agg(
         F.count("*").alias("n_terms"), F.round(F.max("weight"), 6).alias("largest"), F.round(F.min("weight"), 6).alias("smallest"),
         F.round(F.sum("weight"), 5).alias("total"))
 
 
-def sparse_sql(digits: int) -> str:
-    return f"""{corpus_sql()}, {tfidf_sql('benchmark', 'item_id', 'text', 'q', 'd_v')},
+SPARSE = f"""{corpus_sql()}, {tfidf_sql('benchmark', 'item_id', 'text', 'q', 'd_v')},
   top AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM (
-    SELECT item_id, doc_id, round(sum(q.weight * d.weight), {digits}) AS score FROM q JOIN d USING (term) GROUP BY item_id, doc_id))"""
-
+    SELECT item_id, doc_id, round(sum(q.weight * d.weight), {DIGITS}) AS score FROM q JOIN d USING (term) GROUP BY item_id, doc_id))"""
 
-SPARSE = sparse_sql(DIGITS)
 
+def sparse_results(spark, sf, k):
+    paths = stored_index(spark, sf)
+    questions = question_side(table(spark, sf, "benchmark"), load_index(spark, paths)[0], "item_id", stop=STOP)
+    return R.sparse_top_k(questions, spark.read.parquet(paths["blocks"]), "item_id", "doc_id", k, DIGITS)
 
-def sparse_results(spark, sf, k, digits=DIGITS):
-    return R.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"), "doc_id", "item_id", k=k, stop=STOP, max_features=FEATURES, digits=digits)
 
-
-@check("R13_sparse_top_k", f"WITH {SPARSE} SELECT item_id, doc_id, score, rank FROM top WHERE rank <= 10")
+@check("R13_sparse_top_k", f"WITH {SPARSE} SELECT item_id, doc_id, round(score, {SHOWN}) AS score, rank FROM top WHERE rank <= 10")
 def r13(spark, sf):
-    return sparse_results(spark, sf, 10)
-
+    return sparse_results(spark, sf, 10).withColumn("score", F.round("score", SHOWN))
 
-@check("R13_sparse_top_k_fine_ranks", f"WITH {sparse_sql(FINE)} SELECT item_id, doc_id, round(score, {DIGITS}) AS score, rank FROM top WHERE rank <= 10")
-def r13f(spark, sf):
-    return sparse_results(spark, sf, 10, FINE).withColumn("score", F.round("score", DIGITS))
 
-
-@check("R17_hit_rate", f"""WITH {SPARSE}
+HITS = """
   SELECT count(*) AS n_queries, count(*) FILTER (WHERE hit) AS n_hits, CAST(count(*) FILTER (WHERE hit) AS DOUBLE) / count(*) AS hit_rate FROM (
     SELECT item_id, coalesce(max(contains(documents.text, benchmark.text)), FALSE) AS hit
-    FROM benchmark LEFT JOIN (SELECT * FROM top WHERE rank <= 3) t USING (item_id) LEFT JOIN documents USING (doc_id) GROUP BY item_id)""")
-def r17(spark, sf):
+    FROM benchmark LEFT JOIN (SELECT * FROM top WHERE rank <= 3) t USING (item_id) LEFT JOIN documents USING (doc_id) GROUP BY item_id)"""
+
+
+def hits(spark, sf, results):
     docs = table(spark, sf, "documents").select("doc_id", F.col("text").alias("title"))
-    results = sparse_results(spark, sf, 3).join(docs, "doc_id")
     expected = table(spark, sf, "benchmark").select("item_id", F.col("text").alias("expected"))
-    return R.hit_rate(results, expected, "item_id", "title", 3)
+    return R.hit_rate(results.join(docs, "doc_id"), expected, "item_id", "title", 3)
+
+
+@check("R17_hit_rate", f"WITH {SPARSE} {HITS}")
+def r17(spark, sf):
+    return hits(spark, sf, sparse_results(spark, sf, 3))
 
 
 # ---- dense and fused ---------------------------------------------------------------
-DOT = "round(list_dot_product(CAST({a} AS DOUBLE[]), CAST({b} AS DOUBLE[])), 6)"
+DOT = f"round(list_dot_product(CAST({{a}} AS DOUBLE[]), CAST({{b}} AS DOUBLE[])), {DIGITS})"
 
 
 @check("R12_dense_top_k", f"""
-  SELECT query_id, doc_id, score, rank FROM (
+  SELECT query_id, doc_id, round(score, {SHOWN}) AS score, rank FROM (
     SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM (
       SELECT a.vec_id AS query_id, b.vec_id AS doc_id, {DOT.format(a='a.embedding', b='b.embedding')} AS score FROM embeddings a, embeddings b))
   WHERE rank <= 10""")
-def r12(spark, sf):
-    e = table(spark, sf, "embeddings")
-    return R.dense_top_k(
-        e.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vec")),
-        e.select(F.col("vec_id").alias("doc_id"), F.col("embedding").alias("vec")), "query_id", "doc_id", 10, DIGITS)
-
-
-@check("R12_dense_top_k_fine_ranks", f"""
-  SELECT query_id, doc_id, round(score, {DIGITS}) AS score, rank FROM (
-    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM (
-      SELECT a.vec_id AS query_id, b.vec_id AS doc_id,
-        round(list_dot_product(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), {FINE}) AS score FROM embeddings a, embeddings b))
-  WHERE rank <= 10""")
 def r12f(spark, sf):
     e = table(spark, sf, "embeddings")
     return R.dense_top_k(
         e.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vec")),
-        e.select(F.col("vec_id").alias("doc_id"), F.col("embedding").alias("vec")), "query_id", "doc_id", 10, FINE).withColumn("score", F.round("score", DIGITS))
+        e.select(F.col("vec_id").alias("doc_id"), F.col("embedding").alias("vec")), "query_id", "doc_id", 10, DIGITS).withColumn("score", F.round("score", SHOWN))
 
 
-# The fused corpus: every document that has an embedding. Queries: every benchmark item,
-# its text preceded by identifiers that name documents, with the vector of the same number.
-# The whole corpus: every document and every item, with a zero vector where there is no embedding.
+# Questions: every benchmark item, its text preceded by identifiers that name documents, with the
+# vector of the same number. Documents and items without an embedding have a zero vector.
 ZERO = "(SELECT list_transform(range(max(len(embedding))), lambda x: CAST(0 AS FLOAT)) FROM embeddings)"
-
-
-def fused_sql(join: str = "JOIN", vec: str = "embedding") -> str:
-    docs = f"""idx AS (SELECT doc_id, text, source, {vec} AS vec FROM documents {join} embeddings ON doc_id = vec_id)"""
-    return f"""{docs}, {corpus_sql('idx')},
-  items AS (SELECT item_id, 'See doc' || (item_id * 7 + 3) || ', v999 and DOC' || (item_id * 3) || '. ' || benchmark.text AS text, {vec} AS vec
-            FROM benchmark {join} embeddings ON item_id = vec_id),
+FUSED = f"""idx AS (SELECT doc_id, text, source, coalesce(embedding, {ZERO}) AS vec FROM documents LEFT JOIN embeddings ON doc_id = vec_id), {corpus_sql('idx')},
+  items AS (SELECT item_id, 'See doc' || (item_id * 7 + 3) || ', v999 and DOC' || (item_id * 3) || '. ' || benchmark.text AS text, coalesce(embedding, {ZERO}) AS vec
+            FROM benchmark LEFT JOIN embeddings ON item_id = vec_id),
   {tfidf_sql('items', 'item_id', 'text', 'q', 'd_v')},
   sp AS (SELECT item_id, doc_id, sum(q.weight * d.weight) AS s FROM q JOIN d USING (term) GROUP BY item_id, doc_id),
-  pairs AS (SELECT item_id, doc_id, idx.source, {DOT.format(a='items.vec', b='idx.vec')} AS dense_score, coalesce(round(s, 6), 0) AS sparse_score
+  pairs AS (SELECT item_id, doc_id, idx.source, {DOT.format(a='items.vec', b='idx.vec')} AS dense_score, coalesce(round(s, {DIGITS}), 0) AS sparse_score
             FROM items CROSS JOIN idx LEFT JOIN sp USING (item_id, doc_id)),
   ranks AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY dense_score DESC, doc_id) AS dense_rank,
       row_number() OVER (PARTITION BY item_id ORDER BY sparse_score DESC, doc_id) AS sparse_rank FROM pairs),
   fused AS (SELECT *, 1 / CAST(60 + dense_rank AS DOUBLE) + 1 / CAST(60 + sparse_rank AS DOUBLE) AS score FROM ranks)"""
 
 
-FUSED, WHOLE = fused_sql(), fused_sql("LEFT JOIN", f"coalesce(embedding, {ZERO})")
-
-
-def fused_inputs(spark, sf, whole=False):
-    emb, vec, how = table(spark, sf, "embeddings").select("vec_id", F.col("embedding").alias("vec")), F.col("vec"), "inner"
-    if whole:
-        size = emb.agg(F.max(F.size("vec"))).scalar()
-        vec, how = F.coalesce("vec", F.array_repeat(F.lit(0).cast("float"), size)).alias("vec"), "left"
-    docs = table(spark, sf, "documents").join(emb, F.col("doc_id") == F.col("vec_id"), how).select("doc_id", "text", "source", vec)
+def fused_inputs(spark, sf):
+    vocab, index = load_index(spark, stored_index(spark, sf))
     prefix = F.concat(F.lit("See doc"), (F.col("item_id") * 7 + 3).cast("string"), F.lit(", v999 and DOC"),
                       (F.col("item_id") * 3).cast("string"), F.lit(". "))
-    items = table(spark, sf, "benchmark").join(emb, F.col("item_id") == F.col("vec_id"), how).select(
-        "item_id", F.concat(prefix, "text").alias("text"), vec)
-    paths = build_index(docs.drop("vec"), scratch_path(spark, "index"), vectors=docs.select("doc_id", "vec"), stop=STOP,
-                        max_features=FEATURES, keep=["source"])
-    vocab, index = load_index(spark, paths)
-    queries = question_side(items, vocab, "item_id", stop=STOP)
-    names = docs.select(F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("name"), "doc_id")
-    return queries, index, names
-
-
-def fusion_sql(fused: str) -> str:
-    return f"""WITH {fused}
-  SELECT item_id, doc_id, dense_score, sparse_score, dense_rank, sparse_rank, score, rank FROM (
-    SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM fused) WHERE rank <= 5"""
+    items = with_vectors(spark, sf, table(spark, sf, "benchmark").select("item_id", F.concat(prefix, "text").alias("text")), "item_id")
+    queries = cut(question_side(items, vocab, "item_id", stop=STOP), "questions")
+    return queries, index, index.select(F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("name"), "doc_id")
 
 
-@check("R14_rank_fusion", fusion_sql(FUSED))
-def r14(spark, sf):
+@check("R14_rank_fusion", f"""WITH {FUSED}
+  SELECT item_id, doc_id, round(dense_score, {SHOWN}) AS dense_score, round(sparse_score, {SHOWN}) AS sparse_score, dense_rank, sparse_rank, score, rank FROM (
+    SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM fused) WHERE rank <= 5""")
+def r14w(spark, sf):
     queries, index, _ = fused_inputs(spark, sf)
-    return R.fused_top_k(queries, index, "item_id", "doc_id", 5, digits=DIGITS)
+    out = R.fused_top_k(queries, index, "item_id", "doc_id", 5, digits=DIGITS)
+    return out.withColumns({c: F.round(c, SHOWN) for c in ("dense_score", "sparse_score")})
 
 
-@check("R14_rank_fusion_all_documents", fusion_sql(WHOLE))
-def r14w(spark, sf):
-    queries, index, _ = fused_inputs(spark, sf, whole=True)
-    return R.fused_top_k(queries, index, "item_id", "doc_id", 5, digits=DIGITS)
+@check("R17_hit_rate_fused", f"""WITH {FUSED},
+  top AS (SELECT item_id, doc_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM fused) {HITS}""")
+def r17f(spark, sf):
+    queries, index, _ = fused_inputs(spark, sf)
+    return hits(spark, sf, R.fused_top_k(queries, index, "item_id", "doc_id", 3, digits=DIGITS).select("item_id", "doc_id", "rank"))
 
 
 PINS = """
@@ -335,8 +319,8 @@ PINS = """
   pins AS (SELECT item_id, doc_id, position, source FROM men JOIN idx ON name = 'doc' || doc_id)"""
 
 
-def pinned_sql(k: int, where: str, fused: str = FUSED) -> str:
-    return f"""WITH {fused}, {PINS},
+def pinned_sql(k: int, where: str) -> str:
+    return f"""WITH {FUSED}, {PINS},
   res AS (SELECT item_id, doc_id, CAST(1 AS DOUBLE) AS score, 'exact variable name' AS match, 0 AS tier, CAST(position AS DOUBLE) AS place FROM pins WHERE {where}
     UNION ALL SELECT item_id, doc_id, score, 'similarity', 1, -score FROM fused WHERE {where} AND (item_id, doc_id) NOT IN (SELECT (item_id, doc_id) FROM pins))
   SELECT item_id, doc_id, score, match, rank FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY tier, place, doc_id) AS rank FROM res) WHERE rank <= {k}"""
@@ -354,18 +338,6 @@ def r15s(spark, sf):
     return R.retrieve(queries, index, names, "item_id", "doc_id", 4, sources=["src1", "src3", "src6"], digits=DIGITS)
 
 
-@check("R15_pinned_retrieval_all_documents", pinned_sql(5, "TRUE", WHOLE))
-def r15w(spark, sf):
-    queries, index, names = fused_inputs(spark, sf, whole=True)
-    return R.retrieve(queries, index, names, "item_id", "doc_id", 5, digits=DIGITS)
-
-
-@check("R15_pinned_retrieval_by_source_all_documents", pinned_sql(4, "source IN ('src1', 'src3', 'src6')", WHOLE))
-def r15sw(spark, sf):
-    queries, index, names = fused_inputs(spark, sf, whole=True)
-    return R.retrieve(queries, index, names, "item_id", "doc_id", 4, sources=["src1", "src3", "src6"], digits=DIGITS)
-
-
 @check("R16_definition_lookup", f"""WITH {CODEBOOK},
   asked AS (SELECT DISTINCT ' ' || upper(p_type) || '_07 ' AS name FROM part UNION SELECT DISTINCT p_brand FROM part UNION SELECT r_name FROM region)
   SELECT name, variable_name IS NOT NULL AS found, 'Described: ' || variable_label AS dictionary_text
@@ -382,12 +354,12 @@ def r16(spark, sf):
     return B.lookup_variable(asked, chunks, dictionary).select("name", "found", "dictionary_text")
 
 
-@check("R11_lsa_embedding", f"""WITH {corpus_sql(features=2000)}
-  SELECT doc_id, 8 AS dimensions, CASE WHEN doc_id IN (SELECT doc_id FROM d) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS length FROM documents""")
+@check("R11_lsa_embedding", f"""WITH {corpus_sql()}
+  SELECT doc_id, greatest(1, least(256, (SELECT count(*) FROM documents) - 1, (SELECT count(*) FROM d_v) - 1)) AS dimensions,
+    CASE WHEN doc_id IN (SELECT doc_id FROM d) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS length FROM documents""")
 def r11(spark, sf):
-    """What SQL can say of the vectors; tests compare their cosines with a dense decomposition."""
-    docs = table(spark, sf, "documents")
-    model = R.LsaModel.fit(docs, "doc_id", "text", dimensions=8, stop=STOP, max_features=2000)
-    v = model.embed(docs, "doc_id", "text")
+    """With the operator's defaults. What SQL can say of the vectors; tests compare their cosines with a dense decomposition."""
+    docs = spread(table(spark, sf, "documents"))
+    v = R.LsaModel.fit(docs, "doc_id", "text", stop=STOP).embed(docs, "doc_id", "text")
     norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))
-    return v.select("doc_id", F.size("vec").alias("dimensions"), F.round(norm, 3).alias("length"))
+    return v.select("doc_id", F.size("vec").cast("long").alias("dimensions"), F.round(norm, 3).alias("length"))

@@ -1,338 +1,65 @@
-"""TF-IDF, dense and fused retrieval over a partitioned corpus.
+"""Searching a stored index: sparse, fused by rank, and with identifiers pinned.
 
-Sparse: terms are counted inside each document's row, so no text is shuffled;
-weights are normalized by document, scores are sums over an equality join on
-terms, and each task keeps only its best k per query.
-
-Dense and fused: queries and corpus form a grid of bounded (query block, corpus
-shard) groups. Each group is one matrix product that returns only its best
-rows, never the pairs.
+The parts live in `terms` (counts, vocabulary, weights), `sparse` (posting
+blocks), `dense` (clustered vectors) and `fused` (histograms of scores).
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import content_tokens, terms
 from ..sources.tables import cut
+from .dense import dense_search, dense_top_k
+from .fused import RRF_K, fused_top_k
+from .lsa import LsaModel
+from .sparse import best, in_groups, posting_blocks, score, sparse_top_k
+from .terms import Terms, corpus_counts, counted, fit_vocabulary, term_counts, tfidf, vocabulary, weighted
+
+__all__ = [
+    "IDENTIFIER", "RRF_K", "LsaModel", "Terms", "best", "corpus_counts", "counted", "dense_search", "dense_top_k", "fit_vocabulary", "fused_top_k", "hit_rate",
+    "in_groups", "mentioned", "pin_exact", "posting_arrays", "posting_blocks", "retrieve", "score", "search", "sparse_top_k", "term_counts", "tfidf", "vocabulary", "weighted", "with_postings",
+]
 
-RRF_K = 60
-QUERIES_PER_BLOCK = 256
-DOCS_PER_SHARD = 10_000
 # Fixed value: what an identifier mentioned in a question looks like.
 IDENTIFIER = r"(?i)\b([a-z]{1,5}\d{1,4}[a-z]?(?:_\d{1,2})?|caseid|ssmod|sweight|sdist)\b"
 
 
-def score(x: Column, digits: int | None = None) -> Column:
-    """The full score, or with `digits` a rounded one, so that the order of summation cannot decide ties."""
-    return x if digits is None else F.round(x, digits)
-
-
-# ---- sparse ----------------------------------------------------------------
-def term_counts(docs: DataFrame, key: str, text: str, stop: Sequence[str] = (), vocab: DataFrame | None = None) -> DataFrame:
-    """(key, term, n) of rows with distinct keys: counted inside the row, so neither texts nor terms are shuffled.
-
-    With a vocabulary only its terms stay.
-    """
-    rows = docs.select(F.col(key).alias("key"), terms(content_tokens(text, list(stop))).alias("terms"))
-
-    def count(batches):
-        from collections import Counter
-
-        import pyarrow as pa
-
-        for batch in batches:
-            counts = [Counter(t or ()) for t in batch.column("terms").to_pylist()]
-            sizes = pa.array([i for i, c in enumerate(counts) for _ in c], pa.int64())
-            term = pa.array([t for c in counts for t in c], pa.string())
-            n = pa.array([x for c in counts for x in c.values()], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("key").take(sizes), term, n], ["key", "term", "n"])
-
-    counted = rows.mapInArrow(count, f"key {dict(rows.dtypes)['key']}, term string, n long").withColumnRenamed("key", key)
-    return counted if vocab is None else counted.join(vocab.select("term"), "term", "left_semi").select(key, "term", "n")
-
-
-def vocabulary(counts: DataFrame, n_docs: Column, max_features: int | None = None) -> DataFrame:
-    """(term, corpus_count, df, idf): all terms, or the `max_features` most frequent of the corpus, ties by term."""
-    idf = F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
-    per_term = counts.groupBy("term").agg(F.sum("n").alias("corpus_count"), F.count(F.lit(1)).alias("df"))
-    kept = per_term if max_features is None else per_term.orderBy(F.desc("corpus_count"), "term").limit(max_features)
-    return kept.withColumn("idf", idf)
-
-
-def tfidf(counts: DataFrame, vocab: DataFrame, key: str) -> DataFrame:
-    """(key, term, weight): sublinear tf x idf, unit length per key."""
-    raw = counts.join(vocab.select("term", "idf"), "term").select(
-        key, "term", ((F.lit(1.0) + F.log("n")) * F.col("idf")).alias("_w")
-    )
-    length = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(key)))
-    return raw.select(key, "term", (F.col("_w") / length).alias("weight"))
-
-
-def fit_vocabulary(docs: DataFrame, key: str, text: str, stop: Sequence[str] = (), max_features: int | None = None) -> DataFrame:
-    return vocabulary(term_counts(docs, key, text, stop), docs.agg(F.count(F.lit(1))).scalar(), max_features)
-
-
-def best(scored: DataFrame, query: str, doc: str, k: int, by: str = "score") -> DataFrame:
-    """The k best per query (ties by id). The row_number filter is also applied per task before the shuffle."""
-    w = Window.partitionBy(query).orderBy(F.desc(by), doc)
-    return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-
-
-def sparse_top_k(query_postings: DataFrame, doc_postings: DataFrame, query: str, doc: str, k: int, digits: int | None = None) -> DataFrame:
-    """Best k documents per query by the dot product of their TF-IDF rows."""
-    q = query_postings.select(query, "term", F.col("weight").alias("_qw"))
-    pairs = doc_postings.join(q, "term").groupBy(query, doc).agg(score(F.sum(F.col("_qw") * F.col("weight")), digits).alias("score"))
-    return best(pairs, query, doc, k)
-
-
 def search(
     docs: DataFrame, queries: DataFrame, doc: str, query: str, text: str = "text", query_text: str = "text",
     k: int = 10, stop: Sequence[str] = (), max_features: int | None = None, digits: int | None = None,
 ) -> DataFrame:
-    """Fit on the documents and answer a batch of text queries, sparse only.
+    """Fit on the documents and answer a batch of text queries, sparse only. Starts jobs.
 
-    Counts and vocabulary are written once: several plans below read them. Starts jobs.
+    Counts, vocabulary and posting blocks are written once. Without
+    `max_features` the vocabulary has no bound, so weights come from joins.
     """
-    counts = cut(term_counts(docs, doc, text, stop), "term-counts")
-    vocab = cut(vocabulary(counts, docs.agg(F.count(F.lit(1))).scalar(), max_features), "vocabulary")
-    q = tfidf(term_counts(queries, query, query_text, stop, vocab), vocab, query)
-    return sparse_top_k(q, tfidf(counts, vocab, doc), query, doc, k, digits)
+    rows = cut(counted(docs, doc, text, stop), "term-counts")
+    vocab = cut(vocabulary(cut(corpus_counts(rows), "per-term"), rows.agg(F.count(F.lit(1))).scalar(), max_features), "vocabulary")
+    if max_features is None:
+        each = rows.select(doc, F.inline(F.arrays_zip(F.col("terms").alias("term"), "n")))
+        index = posting_arrays(tfidf(each, vocab, doc), doc).withColumn("lead", F.element_at("terms", 1))
+        asked = posting_arrays(tfidf(term_counts(queries, query, query_text, stop, vocab), vocab, query), query)
+    else:
+        known = Terms.of(vocab)
+        index, asked = weighted(rows, doc, known), weighted(counted(queries, query, query_text, stop), query, known)
+    blocks = cut(posting_blocks(cut(in_groups(index), "index"), doc), "blocks")
+    return sparse_top_k(cut(asked, "questions"), blocks, query, doc, k, digits)
 
 
 def posting_arrays(postings: DataFrame, key: str) -> DataFrame:
-    """(key, terms, weights): one row per document, the form the fused search reads."""
+    """(key, terms, weights): one row per document."""
     packed = postings.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("term", "weight"))).alias("p"))
     return packed.select(key, F.col("p.term").alias("terms"), F.col("p.weight").alias("weights"))
 
 
 def with_postings(df: DataFrame, postings: DataFrame, key: str) -> DataFrame:
-    """Adds the posting arrays; a text without any known term keeps empty ones."""
-    return df.join(posting_arrays(postings, key), key, "left").withColumns({
-        "terms": F.coalesce("terms", F.array().cast("array<string>")),
-        "weights": F.coalesce("weights", F.array().cast("array<double>")),
-    })
-
-
-# ---- the grid ------------------------------------------------------------------
-def _grid(queries: DataFrame, corpus: DataFrame, query: str, doc: str, fn, schema: str) -> DataFrame:
-    """Applies `fn(query_block, corpus_shard)` to every cell of a grid sized by two id counts.
-
-    Ids are hashed, so blocks and shards are even whatever the ids look like;
-    no group exceeds about DOCS_PER_SHARD documents and QUERIES_PER_BLOCK queries.
-    """
-    spark = corpus.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    n_docs, n_queries = corpus.select(doc).count(), queries.select(query).count()
-    shards = max(math.ceil(n_docs / DOCS_PER_SHARD), min(cores, max(1, n_docs // 500)))
-    blocks = max(1, math.ceil(n_queries / QUERIES_PER_BLOCK))
-    everywhere = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    # fresh column identities: the two sides may come from the same table
-    queries, corpus = (d.select(*[F.col(x).alias(x) for x in d.columns]) for d in (queries, corpus))
-    q = queries.withColumn("_block", F.pmod(F.xxhash64(query), F.lit(blocks)).cast("int")).withColumn("_shard", everywhere(shards))
-    c = corpus.withColumn("_shard", F.pmod(F.xxhash64(doc), F.lit(shards)).cast("int")).withColumn("_block", everywhere(blocks))
-    return q.groupBy("_block", "_shard").cogroup(c.groupBy("_block", "_shard")).applyInPandas(fn, schema)
-
-
-def _dense(q, c, digits: int | None):
-    import numpy as np
-
-    a = np.stack(q["vec"].to_numpy()).astype("float64")
-    b = np.stack(c["vec"].to_numpy()).astype("float64")
-    return (a @ b.T if digits is None else np.round(a @ b.T, digits)) + 0.0
-
-
-def _sparse(q, c, digits: int | None):
-    """Query x document score matrix from posting arrays: a hash join on term, then one summation."""
-    import numpy as np
-    import pandas as pd
-
-    def flat(frame):
-        sizes = frame["terms"].map(len).to_numpy()
-        if sizes.sum() == 0:
-            return np.empty(0, dtype=int), pd.Index([]), np.empty(0)
-        return (
-            np.repeat(np.arange(len(frame)), sizes),
-            pd.Index(np.concatenate(frame["terms"].to_numpy())),
-            np.concatenate(frame["weights"].to_numpy()).astype("float64"),
-        )
-
-    qi, qt, qw = flat(q)
-    ci, ct, cw = flat(c)
-    known = pd.Index(qt.unique())
-    code = known.get_indexer(ct)
-    used = code >= 0
-    left = pd.DataFrame({"t": code[used], "d": ci[used], "dw": cw[used]})
-    right = pd.DataFrame({"t": known.get_indexer(qt), "q": qi, "qw": qw})
-    both = left.merge(right, on="t")
-    cell = both["q"].to_numpy() * len(c) + both["d"].to_numpy()
-    sums = np.bincount(cell.astype("int64"), (both["dw"] * both["qw"]).to_numpy(), minlength=len(q) * len(c))
-    sums = sums.reshape(len(q), len(c))
-    return (sums if digits is None else np.round(sums, digits)) + 0.0
-
-
-def _top(scores, ids, n: int):
-    """Positions of the n best, highest score first, ties by id."""
-    import numpy as np
-
-    if len(scores) > n:
-        worst = np.partition(scores, len(scores) - n)[len(scores) - n]
-        near = np.flatnonzero(scores >= worst)
-    else:
-        near = np.arange(len(scores))
-    return near[np.lexsort((ids[near], -scores[near]))][:n]
-
-
-def dense_top_k(queries: DataFrame, corpus: DataFrame, query: str, doc: str, k: int, digits: int | None = None) -> DataFrame:
-    """Best k documents per query by the dot product of unit vectors. Both sides carry their vector in `vec`."""
-
-    def cell(q, c):
-        import numpy as np
-        import pandas as pd
+    """Adds posting arrays by key."""
+    return df.join(postings.select(key, "terms", "weights"), key)
 
-        if len(q) == 0 or len(c) == 0:
-            return pd.DataFrame({query: [], doc: [], "score": []})
-        scores, ids = _dense(q, c, digits), c[doc].to_numpy()
-        tops = [_top(row, ids, k) for row in scores]
-        sizes = [len(t) for t in tops]
-        return pd.DataFrame({
-            query: np.repeat(q[query].to_numpy(), sizes),
-            doc: ids[np.concatenate(tops)],
-            "score": np.concatenate([row[t] for row, t in zip(scores, tops)]),
-        })
 
-    types = f"{query} {dict(queries.dtypes)[query]}, {doc} {dict(corpus.dtypes)[doc]}, score double"
-    near = _grid(queries.select(query, "vec"), corpus.select(doc, "vec"), query, doc, cell, types)
-    return best(near, query, doc, k)
-
-
-def _candidates(queries, index, query, doc, n, digits):
-    """Top n of both lists per query, each row with both scores. One pass over the corpus."""
-
-    def cell(q, c):
-        import numpy as np
-        import pandas as pd
-
-        names = [query, doc, "dense_score", "sparse_score", "list", "score"]
-        if len(q) == 0 or len(c) == 0:
-            return pd.DataFrame({x: [] for x in names})
-        dense, sparse, ids = _dense(q, c, digits), _sparse(q, c, digits), c[doc].to_numpy()
-        allowed = np.flatnonzero(c["eligible"].to_numpy())
-        parts = []
-        for i, key in enumerate(q[query].to_numpy()):
-            for kind, scores in ((0, dense[i]), (1, sparse[i])):
-                t = allowed[_top(scores[allowed], ids[allowed], n)]
-                parts.append(pd.DataFrame({
-                    query: key, doc: ids[t], "dense_score": dense[i][t], "sparse_score": sparse[i][t], "list": kind, "score": scores[t],
-                }))
-        return pd.concat(parts)
-
-    qt, dt = dict(queries.dtypes)[query], dict(index.dtypes)[doc]
-    types = f"{query} {qt}, {doc} {dt}, dense_score double, sparse_score double, list int, score double"
-    near = _grid(queries, index, query, doc, cell, types)
-    w = Window.partitionBy(query, "list").orderBy(F.desc("score"), doc)
-    kept = near.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
-    return kept.groupBy(query, doc).agg(F.max("dense_score").alias("dense_score"), F.max("sparse_score").alias("sparse_score"))
-
-
-def _exact_ranks(queries, index, candidates, query, doc, digits):
-    """Rank of every candidate in both full lists: each shard counts its documents that come before it."""
-    asked = candidates.groupBy(query).agg(F.collect_list(F.struct(doc, "dense_score", "sparse_score")).alias("c")).select(
-        query, F.col(f"c.{doc}").alias("cand"), F.col("c.dense_score").alias("cand_dense"), F.col("c.sparse_score").alias("cand_sparse")
-    )
-    with_asked = queries.join(asked, query)
-
-    def before(scores, ids, cand_scores, cand_ids):
-        import numpy as np
-
-        order = np.lexsort((ids, -scores))
-        down, in_order = -scores[order], ids[order]
-        low, high = np.searchsorted(down, -cand_scores, "left"), np.searchsorted(down, -cand_scores, "right")
-        return np.array([a + np.searchsorted(in_order[a:b], i) for a, b, i in zip(low, high, cand_ids)], dtype="int64")
-
-    def cell(q, c):
-        import numpy as np
-        import pandas as pd
-
-        if len(q) == 0 or len(c) == 0:
-            return pd.DataFrame({x: [] for x in (query, doc, "_before_dense", "_before_sparse")})
-        dense, sparse, ids = _dense(q, c, digits), _sparse(q, c, digits), c[doc].to_numpy()
-        parts = []
-        for i, row in enumerate(q.itertuples(index=False)):
-            cand = np.asarray(row.cand)
-            parts.append(pd.DataFrame({
-                query: getattr(row, query), doc: cand,
-                "_before_dense": before(dense[i], ids, np.asarray(row.cand_dense), cand),
-                "_before_sparse": before(sparse[i], ids, np.asarray(row.cand_sparse), cand),
-            }))
-        return pd.concat(parts)
-
-    qt, dt = dict(queries.dtypes)[query], dict(index.dtypes)[doc]
-    counts = _grid(with_asked, index, query, doc, cell, f"{query} {qt}, {doc} {dt}, _before_dense long, _before_sparse long")
-    ranks = counts.groupBy(query, doc).agg(
-        (F.sum("_before_dense") + 1).alias("dense_rank"), (F.sum("_before_sparse") + 1).alias("sparse_rank")
-    )
-    return candidates.join(ranks, [query, doc])
-
-
-def fused_top_k(
-    queries: DataFrame, index: DataFrame, query: str, doc: str, k: int, eligible: Column | None = None, digits: int | None = None,
-) -> DataFrame:
-    """Reciprocal-rank fusion, exact over the whole corpus, without ranking the whole corpus per query.
-
-    queries(query, vec, terms, weights), index(doc, vec, terms, weights).
-
-    A document outside the first n of both lists scores below 2 / (60 + n + 1),
-    while the first k of either list score above 1 / (60 + k). With
-    n = 60 + 2k the former is smaller, so the answer lies among the first n of
-    the two lists; their ranks in the full lists are then counted exactly.
-
-    `eligible` restricts what may be returned but not what is ranked. That
-    bound then says nothing, so n grows until the same comparison, made with
-    the counted ranks, holds for every query (one small job per round).
-    """
-    searched = index.withColumn("eligible", F.lit(True) if eligible is None else eligible)
-    cols = [query, "vec", "terms", "weights"]
-    corpus = searched.select(doc, "vec", "terms", "weights", "eligible")
-    n = RRF_K + 2 * k
-    while True:
-        # used twice below, and worth one small table: at most 2n rows per query
-        candidates = cut(_candidates(queries.select(*cols), corpus, query, doc, n, digits), "candidates")
-        fused = _exact_ranks(queries.select(*cols), corpus, candidates, query, doc, digits).withColumn(
-            "score", F.lit(1.0) / (F.lit(RRF_K) + F.col("dense_rank")) + F.lit(1.0) / (F.lit(RRF_K) + F.col("sparse_rank"))
-        )
-        top = best(fused, query, doc, k)
-        if eligible is None:
-            return top
-        fused = cut(fused, "fused")
-        if _settled(fused, query, doc, k, n):
-            return best(fused, query, doc, k)
-        n *= 4
-
-
-def _settled(fused: DataFrame, query: str, doc: str, k: int, n: int) -> bool:
-    """True when no unseen eligible document of any query can still reach its top k."""
-    w = Window.partitionBy(query)
-    placed = fused.select(
-        query, "score", "dense_rank", "sparse_rank", F.row_number().over(w.orderBy("dense_rank")).alias("_d"),
-        F.row_number().over(w.orderBy("sparse_rank")).alias("_s"), F.row_number().over(w.orderBy(F.desc("score"), doc)).alias("_p"),
-    )
-    per_query = placed.groupBy(query).agg(
-        F.max(F.when(F.col("_d") == n, F.col("dense_rank"))).alias("dn"),
-        F.max(F.when(F.col("_s") == n, F.col("sparse_rank"))).alias("sn"),
-        F.max(F.when(F.col("_p") == k, F.col("score"))).alias("kth"),
-    )
-    unseen = F.lit(1.0) / (RRF_K + 1 + F.col("dn")) + F.lit(1.0) / (RRF_K + 1 + F.col("sn"))
-    # fewer than n eligible documents: all of them are candidates, nothing is unseen
-    open_ = F.col("dn").isNotNull() & F.col("sn").isNotNull() & ~(F.coalesce(F.col("kth"), F.lit(0.0)) > unseen)
-    return per_query.filter(open_).limit(1).count() == 0
-
-
-# ---- exact identifiers -----------------------------------------------------------
 def mentioned(queries: DataFrame, identifiers: DataFrame, query: str, doc: str, text: str = "text", pattern: str = IDENTIFIER) -> DataFrame:
     """(query, doc, position): known identifiers in the query text, by first mention. `identifiers(name, doc)`.
 
@@ -379,88 +106,3 @@ def hit_rate(results: DataFrame, expected: DataFrame, query: str, title: str, k:
         F.count(F.lit(1)).alias("n_queries"), F.count_if("hit").alias("n_hits"),
         F.try_divide(F.count_if("hit").cast("double"), F.count(F.lit(1)).cast("double")).alias("hit_rate"),
     )
-
-
-# ---- LSA ---------------------------------------------------------------------------
-class LsaModel:
-    """TF-IDF vocabulary with positions, and the right singular vectors (terms x dimensions) of the corpus.
-
-    Vectors are unique only up to sign and rotation; compare cosines. The
-    matrix is a local one of the solver, so `max_features` bounds it.
-    """
-
-    def __init__(self, vocab: DataFrame, v, stop: Sequence[str]):
-        self.vocab, self.v, self.stop = vocab, v, list(stop)
-
-    @staticmethod
-    def _packed(postings: DataFrame, vocab: DataFrame, key: str) -> DataFrame:
-        """(key, positions, weights): each document's postings as vocabulary positions."""
-        return (
-            postings.join(vocab.select("term", "position"), "term")
-            .groupBy(key)
-            .agg(F.array_sort(F.collect_list(F.struct("position", "weight"))).alias("p"))
-            .select(key, F.col("p.position").alias("positions"), F.col("p.weight").alias("weights"))
-        )
-
-    @classmethod
-    def fit(cls, docs: DataFrame, key: str, text: str, dimensions: int = 256, stop: Sequence[str] = (),
-            max_features: int = 50_000) -> LsaModel:
-        """Starts jobs: the solver multiplies the distributed rows once per iteration."""
-        from pyspark.mllib.linalg import Vectors
-        from pyspark.mllib.linalg.distributed import RowMatrix
-
-        counts = cut(term_counts(docs, key, text, stop), "term-counts")
-        vocab = vocabulary(counts, docs.agg(F.count(F.lit(1))).scalar(), max_features)
-        # positions run over at most max_features rows
-        vocab = cut(vocab.withColumn("position", F.row_number().over(Window.orderBy("term")) - 1), "vocabulary")
-        size, n = vocab.count(), docs.count()
-        k = max(1, min(dimensions, n - 1, size - 1))
-        packed = cls._packed(tfidf(counts, vocab, key), vocab, key)
-        rows = packed.rdd.map(lambda r: Vectors.sparse(size, r.positions, r.weights)).persist()
-        try:
-            v = RowMatrix(rows, numCols=size).computeSVD(k, computeU=False).V
-        finally:
-            rows.unpersist()
-        return cls(vocab, v.toArray(), stop)
-
-    def save(self, path: str) -> None:
-        """Vocabulary, one row of the matrix per position, and the stop words."""
-        spark, base = self.vocab.sparkSession, path.rstrip("/")
-        self.vocab.write.mode("overwrite").parquet(f"{base}/vocabulary")
-        rows = [(i, [float(x) for x in row]) for i, row in enumerate(self.v)]
-        spark.createDataFrame(rows, "position int, components array<double>").write.mode("overwrite").parquet(f"{base}/components")
-        spark.createDataFrame([(w,) for w in self.stop], "word string").write.mode("overwrite").parquet(f"{base}/stop")
-
-    @classmethod
-    def load(cls, spark: SparkSession, path: str) -> LsaModel:
-        import numpy as np
-
-        base = path.rstrip("/")
-        rows = spark.read.parquet(f"{base}/components").orderBy("position").collect()
-        stop = [r.word for r in spark.read.parquet(f"{base}/stop").collect()]
-        return cls(spark.read.parquet(f"{base}/vocabulary"), np.array([r.components for r in rows]), stop)
-
-    def embed(self, docs: DataFrame, key: str, text: str) -> DataFrame:
-        """(key, vec): unit vectors of the documents in the model's space; zeros where no term is known."""
-        packed = self._packed(tfidf(term_counts(docs, key, text, self.stop, self.vocab), self.vocab, key), self.vocab, key)
-        every = docs.select(key).join(packed, key, "left")
-        components = docs.sparkSession.sparkContext.broadcast(self.v)
-
-        def project(batches):
-            import numpy as np
-            import pyarrow as pa
-
-            for batch in batches:
-                lists = batch.column("positions")
-                size = np.array([0 if v is None else v for v in lists.value_lengths().to_pylist()], dtype=np.int64)
-                at, weight = lists.flatten().to_numpy(), batch.column("weights").flatten().to_numpy()
-                v, out = components.value, np.zeros((len(size), components.value.shape[1]))
-                used = np.flatnonzero(size)
-                if len(used):
-                    out[used] = np.add.reduceat(weight[:, None] * v[at], np.concatenate(([0], np.cumsum(size[used])[:-1])))
-                length = np.linalg.norm(out, axis=1, keepdims=True)
-                unit = np.divide(out, length, out=np.zeros_like(out), where=length > 0).astype(np.float32)
-                offsets = pa.array(np.arange(len(size) + 1) * unit.shape[1], pa.int32())
-                yield pa.RecordBatch.from_arrays([batch.column(key), pa.ListArray.from_arrays(offsets, pa.array(unit.ravel()))], [key, "vec"])
-
-        return every.mapInArrow(project, f"{key} {dict(docs.dtypes)[key]}, vec array<float>")

@@ -12,28 +12,35 @@ from ..operators import retrieval as R
 
 def build_index(
     chunks: DataFrame, out: str, key: str = "doc_id", text: str = "text", vectors: DataFrame | None = None,
-    stop: Sequence[str] = (), max_features: int | None = 50_000, dimensions: int = 256, keep: Sequence[str] = (),
+    stop: Sequence[str] = (), max_features: int = 50_000, dimensions: int = 256, keep: Sequence[str] = (),
 ) -> dict[str, str]:
-    """Writes `vocabulary`, `index` (key, kept columns, vec, terms, weights) and, if it fits one, `model` under `out`. Starts jobs.
+    """Writes `vocabulary`, `index`, `blocks` and, if it fits one, `model` under `out`. Starts jobs.
 
-    `vectors(key, vec)` are the dense vectors; without them an LSA model of the
-    chunks supplies them. Term counts are written first, so the text is
-    tokenized once.
+    index(key, kept columns, vec, terms, weights, group): a row for each chunk;
+    terms are positions in the ordered vocabulary. blocks: `posting_blocks` of
+    it. `vectors(key, vec)` are the dense vectors; without them an LSA model of
+    the chunks supplies them. The text is tokenized once.
     """
-    spark = chunks.sparkSession
-    base = out.rstrip("/")
-    paths = {n: f"{base}/{n}" for n in ("vocabulary", "index")}
-    R.term_counts(chunks, key, text, stop).write.mode("overwrite").parquet(f"{base}/term_counts")
-    counts = spark.read.parquet(f"{base}/term_counts")
-    R.vocabulary(counts, chunks.agg(F.count(F.lit(1))).scalar(), max_features).write.mode("overwrite").parquet(paths["vocabulary"])
-    vocab = spark.read.parquet(paths["vocabulary"])
+    spark, base = chunks.sparkSession, out.rstrip("/")
+    paths = {n: f"{base}/{n}" for n in ("vocabulary", "index", "blocks")}
+
+    def stored(df: DataFrame, path: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+
+    rows = stored(R.counted(chunks, key, text, stop), f"{base}/term_counts")
+    per_term = stored(R.corpus_counts(rows), f"{base}/per_term")
+    vocab = stored(R.vocabulary(per_term, rows.agg(F.count(F.lit(1))).scalar(), max_features), paths["vocabulary"])
+    weights = R.weighted(rows, key, R.Terms.of(vocab))
     if vectors is None:
-        model = R.LsaModel.fit(chunks, key, text, dimensions, stop, max_features)
+        weights = stored(weights, f"{base}/weights")
+        model = R.LsaModel.of_rows(weights, vocab, dimensions, stop)
         paths["model"] = f"{base}/model"
         model.save(paths["model"])
-        vectors = model.embed(chunks, key, text)
+        vectors = model.embed_rows(weights, key)
     dense = chunks.select(key, *keep).join(vectors, key)
-    R.with_postings(dense, R.tfidf(counts, vocab, key), key).write.mode("overwrite").parquet(paths["index"])
+    index = stored(R.in_groups(dense.join(weights, key)), paths["index"])
+    stored(R.posting_blocks(index, key), paths["blocks"])
     return paths
 
 
@@ -44,7 +51,8 @@ def load_index(spark: SparkSession, paths: dict[str, str]) -> tuple[DataFrame, D
 def question_side(
     questions: DataFrame, vocab: DataFrame, key: str, text: str = "text", stop: Sequence[str] = (), model: R.LsaModel | None = None,
 ) -> DataFrame:
-    """Questions with their vectors (`vec`, made by the index's model unless present) and posting arrays in its vocabulary."""
+    """Questions with their vectors (`vec`, made by the index's model unless present) and postings in its vocabulary."""
+    weights = R.weighted(R.counted(questions, key, text, stop), key, R.Terms.of(vocab))
     if model is not None:
-        questions = questions.join(model.embed(questions, key, text), key)
-    return R.with_postings(questions, R.tfidf(R.term_counts(questions, key, text, stop, vocab), vocab, key), key)
+        questions = questions.join(model.embed_rows(weights, key), key)
+    return R.with_postings(questions, weights, key)

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import percent
@@ -44,6 +44,35 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows over all cores where the scan has fewer partitions, as of one file with one row group; else untouched."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def first_rows(df: DataFrame, column: str, n: int) -> DataFrame:
+    """The n first rows by a column of distinct values. Starts jobs.
+
+    The rows are dealt out in ranges and written once; ranges wholly among the
+    first are kept as they are, and only the range at the border is sorted.
+    """
+    ranged = cut(df.repartitionByRange(column).withColumn("_range", F.spark_partition_id()), "ranges")
+    sizes = {r["_range"]: r.n for r in ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("n")).collect()}
+    whole, left, border = [], n, None
+    for part in sorted(sizes):
+        if sizes[part] <= left:
+            whole.append(part)
+            left -= sizes[part]
+        else:
+            border = part
+            break
+    kept = ranged.filter(F.col("_range").isin(whole)) if whole else ranged.limit(0)
+    if border is not None and left > 0:
+        at = F.row_number().over(Window.partitionBy("_range").orderBy(column))
+        kept = kept.unionByName(ranged.filter(F.col("_range") == border).withColumn("_at", at).filter(F.col("_at") <= left).drop("_at"))
+    return kept.drop("_range")
+
+
 def write_report(df: DataFrame, path: str, digits: int | None = 2) -> str:
     """A small result table as one CSV with header; doubles are rounded here and nowhere earlier."""
     if digits is not None:
