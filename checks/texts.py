@@ -198,13 +198,18 @@ def r9v(spark, sf):
 _STORED: dict[tuple[str, str], dict[str, str]] = {}
 
 
+def new_index(spark, sf):
+    """The index of all documents. Vectors are the embeddings, zero where there is none."""
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text", "source"))
+    return build_index(docs, scratch_path(spark, "index"), vectors=with_vectors(spark, sf, docs, "doc_id").select("doc_id", "vec"),
+                       stop=STOP, max_features=FEATURES, keep=["source"])
+
+
 def stored_index(spark, sf):
-    """The index of all documents, built once in a session: the tables never change. Vectors are the embeddings, zero where there is none."""
+    """Built once in a session: the tables never change."""
     at = (spark.sparkContext.applicationId, sf)
     if at not in _STORED:
-        docs = spread(table(spark, sf, "documents").select("doc_id", "text", "source"))
-        _STORED[at] = build_index(docs, scratch_path(spark, "index"), vectors=with_vectors(spark, sf, docs, "doc_id").select("doc_id", "vec"),
-                                  stop=STOP, max_features=FEATURES, keep=["source"])
+        _STORED[at] = new_index(spark, sf)
     return _STORED[at]
 
 

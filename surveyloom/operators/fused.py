@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.tables import cut
@@ -169,7 +169,7 @@ def _rows_out(keys, query, doc, found, kind):
 
 
 def _first_pass(index, sent, borders, query, doc, types, n, digits):
-    """Histogram rows (_list, _q, _bin, _n, _able) and, with _list -1, each task's n best eligible rows of either list."""
+    """Histogram rows (_list, _q, _bin, _n, _able) and, with _list -2 and -1, each task's n best eligible rows of the dense and the sparse list."""
 
     def scan(batches):
         import numpy as np
@@ -196,10 +196,10 @@ def _first_pass(index, sent, borders, query, doc, types, n, digits):
         nothing = [pa.nulls(len(q), t) for t in (asked.keys.type, kind, pa.float64(), pa.float64(), pa.int32(), pa.int32())]
         yield pa.RecordBatch.from_arrays([
             pa.array(lists, pa.int32()), pa.array(q, pa.int32()), pa.array(b, pa.int32()), pa.array(held[lists, 0, q, b]), pa.array(held[lists, 1, q, b]), *nothing], names)
-        parts = [_best_of(p, i, n) for i in range(2) for p in keep[i] if p]
-        for out in _rows_out(asked.keys, query, doc, parts, kind):
-            m = out.num_rows
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(m, -1), pa.int32()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), *out.columns], names)
+        for i in range(2):
+            for out in _rows_out(asked.keys, query, doc, [_best_of(p, i, n) for p in keep[i] if p], kind):
+                m = out.num_rows
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(m, i - 2), pa.int32()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), *out.columns], names)
 
     return index.mapInArrow(scan, f"_list int, _q int, _bin int, _n long, _able long, {types}, {PLACES}")
 
@@ -298,14 +298,13 @@ def fused_top_k(
         first = cut(_first_pass(corpus, sent, borders, query, doc, types, n, digits), "histograms")
         merged = first.filter(F.col("_list") >= 0).groupBy("_list", "_q", "_bin").agg(F.sum("_n").alias("_n"), F.sum("_able").alias("_able"))
         facts = _Known(merged.toArrow(), len(asked), k, n)  # questions of a block x bins
-        known = spark.sparkContext.broadcast(facts)
-        names = [query, doc, "dense_score", "sparse_score", "dense_bin", "sparse_bin"]
-        listed = first.filter(F.col("_list") == -1).select(*names).dropDuplicates([query, doc])
-        near = best(listed, query, doc, n, "dense_score").drop("rank").unionByName(best(listed, query, doc, n, "sparse_score").drop("rank"))
+        by = F.when(F.col("_list") == -2, F.col("dense_score")).otherwise(F.col("sparse_score"))
+        w = Window.partitionBy(query, "_list").orderBy(F.desc("_by"), doc)
+        listed = first.filter(F.col("_list") < 0).withColumn("_by", by).withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n)
+        near = listed.select(query, doc, "dense_score", "sparse_score", "dense_bin", "sparse_bin")
         if eligible is not None and facts.open.any():
-            near = near.unionByName(_fetch(corpus, sent, known, borders, query, doc, types, digits))
-        found = cut(near.dropDuplicates([query, doc]), "candidates")
-        out.append(_ranked(corpus, found, asked, sent, facts, borders, query, doc, types, digits))
+            near = near.unionByName(_fetch(corpus, sent, spark.sparkContext.broadcast(facts), borders, query, doc, types, digits))
+        out.append(_ranked(corpus, near.dropDuplicates([query, doc]), asked, sent, facts, borders, query, doc, types, digits))
     empty = f"{types}, dense_score double, sparse_score double, dense_rank long, sparse_rank long"
     fused = out[0] if out else spark.createDataFrame([], empty)
     for more in out[1:]:
@@ -314,31 +313,26 @@ def fused_top_k(
     return best(fused, query, doc, k)
 
 
-def _ranked(corpus, found, asked, sent, facts, borders, query, doc, types, digits):
+def _ranked(corpus, near, asked, sent, facts, borders, query, doc, types, digits):
     """Candidates with exact ranks: higher bins from the histograms, the own bin from a pass for each CANDIDATES of them."""
-    spark = corpus.sparkSession
-    parts, counted = max(1, math.ceil(found.count() / CANDIDATES)), []
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    spark, rows = corpus.sparkSession, None
+    found, schema = cut(near, "candidates"), f"{types}, dense_score double, sparse_score double, _d long, _s long"
+    parts = max(1, math.ceil(found.count() / CANDIDATES))
     for i in range(parts):
-        table = found.filter(F.pmod(F.xxhash64(query, doc), F.lit(parts)) == i).toArrow()
+        table = (found if parts == 1 else found.filter(F.pmod(F.xxhash64(query, doc), F.lit(parts)) == i)).toArrow().combine_chunks()
         wanted = spark.sparkContext.broadcast(_by_question(table, asked.keys, query, doc))
-        counted.append(_second_pass(corpus, sent, wanted, borders, query, doc, types, digits))
-    ahead = counted[0]
-    for more in counted[1:]:
-        ahead = ahead.unionByName(more)
-    zero = F.lit(0).cast("long")
-    own = ahead.groupBy(query, doc).agg(F.sum(F.when(F.col("_list") == 0, F.col("_ahead")).otherwise(0)).alias("_d"), F.sum(F.when(F.col("_list") == 1, F.col("_ahead")).otherwise(0)).alias("_s"))
-
-    def add_above(batches):
-        import numpy as np
-        import pyarrow as pa
-        import pyarrow.compute as pc
-
-        for batch in batches:
-            q = pc.index_in(batch.column(query), value_set=keys.value[0]).to_numpy(zero_copy_only=False)
-            above = [keys.value[1][i][q, batch.column(c).to_numpy()] if len(q) else np.zeros(0, dtype=np.int64) for i, c in enumerate(("dense_bin", "sparse_bin"))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(above[0]), pa.array(above[1])], [query, doc, "dense_score", "sparse_score", "_da", "_sa"])
-
-    keys = spark.sparkContext.broadcast((asked.keys, facts.above))
-    placed = found.select(query, doc, "dense_score", "sparse_score", "dense_bin", "sparse_bin").mapInArrow(add_above, f"{types}, dense_score double, sparse_score double, _da long, _sa long")
-    return placed.join(own, [query, doc], "left").select(
-        query, doc, "dense_score", "sparse_score", (F.col("_da") + F.coalesce("_d", zero) + 1).alias("dense_rank"), (F.col("_sa") + F.coalesce("_s", zero) + 1).alias("sparse_rank"))
+        q = np.asarray(pc.index_in(table.column(query), value_set=asked.keys).combine_chunks() if table.num_rows else [], dtype=np.int64)
+        above = [pa.array(facts.above[j][q, table.column(c).to_numpy()] + 1) for j, c in enumerate(("dense_bin", "sparse_bin"))]
+        placed = pa.table([*table.columns[:4], *above], names=[query, doc, "dense_score", "sparse_score", "_d", "_s"])
+        none = F.lit(None).cast("double")
+        ahead = _second_pass(corpus, sent, wanted, borders, query, doc, types, digits).select(
+            query, doc, none.alias("dense_score"), none.alias("sparse_score"),
+            *[F.when(F.col("_list") == j, F.col("_ahead")).otherwise(0).alias(c) for j, c in enumerate(("_d", "_s"))])
+        both = spark.createDataFrame(placed, schema).unionByName(ahead)
+        rows = both if rows is None else rows.unionByName(both)
+    return rows.groupBy(query, doc).agg(
+        F.max("dense_score").alias("dense_score"), F.max("sparse_score").alias("sparse_score"), F.sum("_d").alias("dense_rank"), F.sum("_s").alias("sparse_rank"))
