@@ -160,9 +160,9 @@ class LsaModel:
     def fit(cls, docs: DataFrame, key: str, text: str, dimensions: int = 256, stop: Sequence[str] = (),
             max_features: int = 50_000) -> LsaModel:
         """Starts jobs: PASSES passes over the weighted rows, which are written once."""
-        rows = cut(counted(docs, key, text, stop), "term-counts")
+        rows = counted(docs, key, text, stop)
         per_term = cut(corpus_counts(rows), "per-term")
-        vocab = cut(vocabulary(per_term, rows.agg(F.count(F.lit(1))).scalar(), max_features), "vocabulary")
+        vocab = cut(vocabulary(per_term, docs.agg(F.count(F.lit(1))).scalar(), max_features), "vocabulary")
         return cls.of_rows(weighted(rows, key, Terms.of(vocab)), vocab, dimensions, stop)
 
     @classmethod

@@ -19,6 +19,21 @@ from ..functions.text import content_tokens
 from ..sources.tables import cut, first_rows
 
 COUNTED = "terms array<string>, n array<long>"
+TOKENS = 1 << 19  # tokens, or postings, that a task works on at once
+
+
+def _sliced(batches, column: str):
+    """Slices of batches with about TOKENS entries of a list column; a longer row stands alone."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        ends = np.cumsum(np.asarray(pc.fill_null(pc.list_value_length(batch.column(column)), 0), dtype=np.int64))
+        at = 0
+        while at < batch.num_rows:
+            end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + TOKENS, "right")))
+            yield batch.slice(at, end - at)
+            at = end
 
 
 def counted(docs: DataFrame, key: str, text: str, stop: Sequence[str] = ()) -> DataFrame:
@@ -30,7 +45,7 @@ def counted(docs: DataFrame, key: str, text: str, stop: Sequence[str] = ()) -> D
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        for batch in batches:
+        for batch in _sliced(batches, "tokens"):
             lists = batch.column("tokens")
             sizes = np.asarray(pc.fill_null(pc.list_value_length(lists), 0), dtype=np.int64)
             coded = lists.flatten().dictionary_encode()
@@ -168,7 +183,7 @@ def weighted(rows: DataFrame, key: str, vocab: Terms) -> DataFrame:
         import pyarrow.compute as pc
 
         known = sent.value
-        for batch in batches:
+        for batch in _sliced(batches, "terms"):
             lists = batch.column("terms")
             at = pc.index_in(lists.flatten(), value_set=known.strings)
             used = np.asarray(pc.is_valid(at))

@@ -19,7 +19,7 @@ def build_index(
     index(key, kept columns, vec, terms, weights, group): a row for each chunk;
     terms are positions in the ordered vocabulary. blocks: `posting_blocks` of
     it. `vectors(key, vec)` are the dense vectors; without them an LSA model of
-    the chunks supplies them. The text is tokenized once.
+    the chunks supplies them.
     """
     spark, base = chunks.sparkSession, out.rstrip("/")
     paths = {n: f"{base}/{n}" for n in ("vocabulary", "index", "blocks")}
@@ -28,9 +28,9 @@ def build_index(
         df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
 
-    rows = stored(R.counted(chunks, key, text, stop), f"{base}/term_counts")
+    rows = R.counted(chunks, key, text, stop)  # cut twice: stored, the terms would take several times the room of the texts
     per_term = stored(R.corpus_counts(rows), f"{base}/per_term")
-    vocab = stored(R.vocabulary(per_term, rows.agg(F.count(F.lit(1))).scalar(), max_features), paths["vocabulary"])
+    vocab = stored(R.vocabulary(per_term, chunks.agg(F.count(F.lit(1))).scalar(), max_features), paths["vocabulary"])
     weights = R.weighted(rows, key, R.Terms.of(vocab))
     if vectors is None:
         weights = stored(weights, f"{base}/weights")
