@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import cut
-from .terms import Terms, corpus_counts, counted, vocabulary, weighted
+from .terms import Terms, text_counts, text_weights, vocabulary
 
 OVERSAMPLE, PASSES = 32, 6
 MERGED = 16  # triangles that one task of the tree merges
@@ -160,10 +160,9 @@ class LsaModel:
     def fit(cls, docs: DataFrame, key: str, text: str, dimensions: int = 256, stop: Sequence[str] = (),
             max_features: int = 50_000) -> LsaModel:
         """Starts jobs: PASSES passes over the weighted rows, which are written once."""
-        rows = counted(docs, key, text, stop)
-        per_term = cut(corpus_counts(rows), "per-term")
+        per_term = cut(text_counts(docs, key, text, stop), "per-term")
         vocab = cut(vocabulary(per_term, docs.agg(F.count(F.lit(1))).scalar(), max_features), "vocabulary")
-        return cls.of_rows(weighted(rows, key, Terms.of(vocab)), vocab, dimensions, stop)
+        return cls.of_rows(text_weights(docs, key, text, stop, Terms.of(vocab)), vocab, dimensions, stop)
 
     @classmethod
     def of_rows(cls, rows: DataFrame, vocab: DataFrame, dimensions: int, stop: Sequence[str]) -> LsaModel:
@@ -210,7 +209,7 @@ class LsaModel:
 
     def embed(self, docs: DataFrame, key: str, text: str) -> DataFrame:
         """(key, vec): unit vectors of the documents in the model's space; zeros where no term is known."""
-        return self.embed_rows(weighted(counted(docs, key, text, self.stop), key, Terms.of(self.vocab)), key)
+        return self.embed_rows(text_weights(docs, key, text, self.stop, Terms.of(self.vocab)), key)
 
     def embed_rows(self, rows: DataFrame, key: str) -> DataFrame:
         """(key, vec) of weighted rows in the model's vocabulary."""

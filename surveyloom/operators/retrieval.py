@@ -16,11 +16,12 @@ from .dense import dense_search, dense_top_k
 from .fused import RRF_K, fused_top_k
 from .lsa import LsaModel
 from .sparse import best, in_groups, posting_blocks, score, sparse_top_k
-from .terms import Terms, corpus_counts, counted, fit_vocabulary, term_counts, tfidf, vocabulary, weighted
+from .terms import Terms, corpus_counts, counted, fit_vocabulary, term_counts, text_counts, text_weights, tfidf, vocabulary, weighted
 
 __all__ = [
     "IDENTIFIER", "RRF_K", "LsaModel", "Terms", "best", "corpus_counts", "counted", "dense_search", "dense_top_k", "fit_vocabulary", "fused_top_k", "hit_rate",
-    "in_groups", "mentioned", "pin_exact", "posting_arrays", "posting_blocks", "retrieve", "score", "search", "sparse_top_k", "term_counts", "tfidf", "vocabulary", "weighted", "with_postings",
+    "in_groups", "mentioned", "pin_exact", "posting_arrays", "posting_blocks", "retrieve", "score", "search", "sparse_top_k", "term_counts", "text_counts", "text_weights", "tfidf", "vocabulary",
+    "weighted", "with_postings",
 ]
 
 # Fixed value: what an identifier mentioned in a question looks like.
@@ -33,18 +34,16 @@ def search(
 ) -> DataFrame:
     """Fit on the documents and answer a batch of text queries, sparse only. Starts jobs.
 
-    Counts, vocabulary and posting blocks are written once. Without
+    Vocabulary and posting blocks are written once. Without
     `max_features` the vocabulary has no bound, so weights come from joins.
     """
-    rows = cut(counted(docs, doc, text, stop), "term-counts")
-    vocab = cut(vocabulary(cut(corpus_counts(rows), "per-term"), rows.agg(F.count(F.lit(1))).scalar(), max_features), "vocabulary")
+    vocab = cut(vocabulary(cut(text_counts(docs, doc, text, stop), "per-term"), docs.agg(F.count(F.lit(1))).scalar(), max_features), "vocabulary")
     if max_features is None:
-        each = rows.select(doc, F.inline(F.arrays_zip(F.col("terms").alias("term"), "n")))
-        index = posting_arrays(tfidf(each, vocab, doc), doc).withColumn("lead", F.element_at("terms", 1))
+        index = posting_arrays(tfidf(term_counts(docs, doc, text, stop), vocab, doc), doc).withColumn("lead", F.element_at("terms", 1))
         asked = posting_arrays(tfidf(term_counts(queries, query, query_text, stop, vocab), vocab, query), query)
     else:
         known = Terms.of(vocab)
-        index, asked = weighted(rows, doc, known), weighted(counted(queries, query, query_text, stop), query, known)
+        index, asked = text_weights(docs, doc, text, stop, known), text_weights(queries, query, query_text, stop, known)
     blocks = cut(posting_blocks(cut(in_groups(index), "index"), doc), "blocks")
     return sparse_top_k(cut(asked, "questions"), blocks, query, doc, k, digits)
 

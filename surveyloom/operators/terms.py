@@ -20,6 +20,7 @@ from ..sources.tables import cut, first_rows
 
 COUNTED = "terms array<string>, n array<long>"
 TOKENS = 1 << 19  # tokens, or postings, that a task works on at once
+HELD = 1 << 20  # distinct terms whose counts a task holds
 
 
 def _sliced(batches, column: str):
@@ -36,44 +37,50 @@ def _sliced(batches, column: str):
             at = end
 
 
-def counted(docs: DataFrame, key: str, text: str, stop: Sequence[str] = ()) -> DataFrame:
-    """(key, terms, n): one row for each row of `docs`, with its distinct terms and how often they occur; nulls have none."""
+def _counts(batches, key: str):
+    """Batches (key, terms, n) from batches (key, tokens)."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    for batch in _sliced(batches, "tokens"):
+        lists = batch.column("tokens")
+        sizes = np.asarray(pc.fill_null(pc.list_value_length(lists), 0), dtype=np.int64)
+        coded = lists.flatten().dictionary_encode()
+        names, code = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        row, size = np.repeat(np.arange(batch.num_rows), sizes), max(len(names), 1)
+        beside = np.flatnonzero(row[:-1] == row[1:])
+        every = np.concatenate([code, size + code[beside] * size + code[beside + 1]])
+        # one sort by (row, term); terms are renumbered first where the product would not fit
+        kinds, span = None, size + size * size
+        if span * (batch.num_rows + 1) >= 2**63:
+            kinds, every = np.unique(every, return_inverse=True)
+            span = max(len(kinds), 1)
+        found, n = np.unique(np.concatenate([row, row[beside]]) * span + every, return_counts=True)
+        at, term = found // span, found % span
+        if kinds is not None:
+            term = kinds[term]
+        single = term < size
+        pair = term[~single] - size
+        words = names.take(pa.array(term[single]))
+        pairs = pc.binary_join_element_wise(names.take(pa.array(pair // size)), names.take(pa.array(pair % size)), " ")
+        place = np.empty(len(term), dtype=np.int64)
+        place[single], place[~single] = np.arange(single.sum()), single.sum() + np.arange((~single).sum())
+        strings = pa.concat_arrays([words, pairs.cast(words.type)]).take(pa.array(place))
+        offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(at, minlength=batch.num_rows))]), pa.int32())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(key), pa.ListArray.from_arrays(offsets, strings), pa.ListArray.from_arrays(offsets, pa.array(n, pa.int64()))], [key, "terms", "n"])
+
+
+def _tokens(docs: DataFrame, key: str, text: str, stop: Sequence[str]) -> tuple[DataFrame, str]:
     rows = docs.select(F.col(key).alias(key), content_tokens(text, list(stop)).alias("tokens"))
+    return rows, f"`{key}` {dict(rows.dtypes)[key]}"
+
 
-    def count(batches):
-        import numpy as np
-        import pyarrow as pa
-        import pyarrow.compute as pc
-
-        for batch in _sliced(batches, "tokens"):
-            lists = batch.column("tokens")
-            sizes = np.asarray(pc.fill_null(pc.list_value_length(lists), 0), dtype=np.int64)
-            coded = lists.flatten().dictionary_encode()
-            names, code = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-            row, size = np.repeat(np.arange(batch.num_rows), sizes), max(len(names), 1)
-            beside = np.flatnonzero(row[:-1] == row[1:])
-            every = np.concatenate([code, size + code[beside] * size + code[beside + 1]])
-            # one sort by (row, term); terms are renumbered first where the product would not fit
-            kinds, span = None, size + size * size
-            if span * (batch.num_rows + 1) >= 2**63:
-                kinds, every = np.unique(every, return_inverse=True)
-                span = max(len(kinds), 1)
-            found, n = np.unique(np.concatenate([row, row[beside]]) * span + every, return_counts=True)
-            at, term = found // span, found % span
-            if kinds is not None:
-                term = kinds[term]
-            single = term < size
-            pair = term[~single] - size
-            words = names.take(pa.array(term[single]))
-            pairs = pc.binary_join_element_wise(names.take(pa.array(pair // size)), names.take(pa.array(pair % size)), " ")
-            place = np.empty(len(term), dtype=np.int64)
-            place[single], place[~single] = np.arange(single.sum()), single.sum() + np.arange((~single).sum())
-            strings = pa.concat_arrays([words, pairs.cast(words.type)]).take(pa.array(place))
-            offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(at, minlength=batch.num_rows))]), pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(key), pa.ListArray.from_arrays(offsets, strings), pa.ListArray.from_arrays(offsets, pa.array(n, pa.int64()))], [key, "terms", "n"])
-
-    return rows.mapInArrow(count, f"`{key}` {dict(rows.dtypes)[key]}, {COUNTED}")
+def counted(docs: DataFrame, key: str, text: str, stop: Sequence[str] = ()) -> DataFrame:
+    """(key, terms, n): one row for each row of `docs`, with its distinct terms and how often they occur; nulls have none."""
+    rows, kind = _tokens(docs, key, text, stop)
+    return rows.mapInArrow(lambda batches: _counts(batches, key), f"{kind}, {COUNTED}")
 
 
 def term_counts(docs: DataFrame, key: str, text: str, stop: Sequence[str] = (), vocab: DataFrame | None = None) -> DataFrame:
@@ -82,23 +89,52 @@ def term_counts(docs: DataFrame, key: str, text: str, stop: Sequence[str] = (),
     return each if vocab is None else each.join(vocab.select("term"), "term", "left_semi").select(key, "term", "n")
 
 
-def corpus_counts(rows: DataFrame) -> DataFrame:
-    """(term, corpus_count, df) of rows from `counted`; each batch is summed before the shuffle."""
+def _sums(batches):
+    """(term, n, df) summed over as many rows as HELD terms allow."""
+    import numpy as np
+    import pyarrow as pa
 
-    def combine(batches):
-        import numpy as np
-        import pyarrow as pa
+    held, size = [], 0
 
-        for batch in batches:
-            coded = batch.column("terms").flatten().dictionary_encode()
-            code, n = coded.indices.to_numpy(zero_copy_only=False), batch.column("n").flatten().to_numpy(zero_copy_only=False)
-            total = np.bincount(code, n, minlength=len(coded.dictionary)).astype(np.int64)  # exact below 2**53
-            yield pa.RecordBatch.from_arrays([coded.dictionary, pa.array(total), pa.array(np.bincount(code, minlength=len(total)))], ["term", "n", "df"])
+    def merged():
+        t = pa.concat_tables(held).group_by("term").aggregate([("n", "sum"), ("df", "sum")])
+        return t.select(["term", "n_sum", "df_sum"]).rename_columns(["term", "n", "df"])
 
-    parts = rows.select("terms", "n").mapInArrow(combine, "term string, n long, df long")
+    for batch in batches:
+        coded = batch.column("terms").flatten().dictionary_encode()
+        code, n = coded.indices.to_numpy(zero_copy_only=False), batch.column("n").flatten().to_numpy(zero_copy_only=False)
+        total = np.bincount(code, n, minlength=len(coded.dictionary)).astype(np.int64)  # exact below 2**53
+        held.append(pa.table({"term": coded.dictionary, "n": total, "df": np.bincount(code, minlength=len(total))}))
+        size += len(total)
+        if size > 2 * HELD:
+            held = [merged()]
+            size = held[0].num_rows
+            if size > HELD:
+                yield from held[0].to_batches(max_chunksize=100_000)
+                held, size = [], 0
+        pa.default_memory_pool().release_unused()
+    if held:
+        yield from merged().to_batches(max_chunksize=100_000)
+
+
+SUMS = "term string, n long, df long"
+
+
+def _per_term(parts: DataFrame) -> DataFrame:
     return parts.groupBy("term").agg(F.sum("n").alias("corpus_count"), F.sum("df").alias("df"))
 
 
+def corpus_counts(rows: DataFrame) -> DataFrame:
+    """(term, corpus_count, df) of rows from `counted`; a task sums its rows before the shuffle."""
+    return _per_term(rows.select("terms", "n").mapInArrow(_sums, SUMS))
+
+
+def text_counts(docs: DataFrame, key: str, text: str, stop: Sequence[str] = ()) -> DataFrame:
+    """`corpus_counts` of texts in one step."""
+    rows, _ = _tokens(docs, key, text, stop)
+    return _per_term(rows.mapInArrow(lambda batches: _sums(_counts(batches, key)), SUMS))
+
+
 def most_frequent(per_term: DataFrame, n: int) -> DataFrame:
     """The n terms of the largest corpus_count, ties by term; without sorting the others. Starts jobs.
 
@@ -141,7 +177,7 @@ def vocabulary(per_term: DataFrame, n_docs: Column, max_features: int | None = N
 
 
 def fit_vocabulary(docs: DataFrame, key: str, text: str, stop: Sequence[str] = (), max_features: int | None = None) -> DataFrame:
-    per_term = corpus_counts(counted(docs, key, text, stop))
+    per_term = text_counts(docs, key, text, stop)
     if max_features is not None:
         per_term = cut(per_term, "per-term")
     return vocabulary(per_term, docs.agg(F.count(F.lit(1))).scalar(), max_features)
@@ -173,36 +209,46 @@ class Terms:
         return cls(take("term"), take("idf").to_numpy(zero_copy_only=False), take("corpus_count").to_numpy(zero_copy_only=False))
 
 
+def _weights(batches, key: str, known: Terms):
+    """Batches (key, terms, weights, lead) from batches (key, terms, n)."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    for batch in _sliced(batches, "terms"):
+        lists = batch.column("terms")
+        at = pc.index_in(lists.flatten(), value_set=known.strings)
+        used = np.asarray(pc.is_valid(at))
+        sizes = np.asarray(pc.fill_null(pc.list_value_length(lists), 0), dtype=np.int64)
+        row = np.repeat(np.arange(batch.num_rows), sizes)[used]
+        at = at.drop_null().to_numpy(zero_copy_only=False)
+        n = batch.column("n").flatten().to_numpy(zero_copy_only=False)[used]
+        order = np.lexsort((at, row))
+        row, at, n = row[order], at[order], n[order]
+        w = (1.0 + np.log(n)) * known.idf[at]
+        w /= np.sqrt(np.bincount(row, w * w, minlength=batch.num_rows))[row]
+        counts = np.bincount(row, minlength=batch.num_rows)
+        offsets = np.concatenate([[0], np.cumsum(counts)])
+        lead = np.full(batch.num_rows, -1, dtype=np.int64)
+        by = np.lexsort((at, -known.count[at], row))
+        lead[counts > 0] = at[by][offsets[:-1][counts > 0]]
+        ends = pa.array(offsets, pa.int32())
+        yield pa.RecordBatch.from_arrays([
+            batch.column(key), pa.ListArray.from_arrays(ends, pa.array(at, pa.int32())), pa.ListArray.from_arrays(ends, pa.array(w)), pa.array(lead)],
+            [key, "terms", "weights", "lead"])
+
+
+WEIGHTS = "terms array<int>, weights array<double>, lead long"
+
+
 def weighted(rows: DataFrame, key: str, vocab: Terms) -> DataFrame:
     """(key, terms, weights, lead) of rows from `counted`: positions ascending, unit length, and the row's commonest term."""
     sent = rows.sparkSession.sparkContext.broadcast(vocab)
+    return rows.select(key, "terms", "n").mapInArrow(lambda batches: _weights(batches, key, sent.value), f"`{key}` {dict(rows.dtypes)[key]}, {WEIGHTS}")
 
-    def weigh(batches):
-        import numpy as np
-        import pyarrow as pa
-        import pyarrow.compute as pc
-
-        known = sent.value
-        for batch in _sliced(batches, "terms"):
-            lists = batch.column("terms")
-            at = pc.index_in(lists.flatten(), value_set=known.strings)
-            used = np.asarray(pc.is_valid(at))
-            sizes = np.asarray(pc.fill_null(pc.list_value_length(lists), 0), dtype=np.int64)
-            row = np.repeat(np.arange(batch.num_rows), sizes)[used]
-            at = at.drop_null().to_numpy(zero_copy_only=False)
-            n = batch.column("n").flatten().to_numpy(zero_copy_only=False)[used]
-            order = np.lexsort((at, row))
-            row, at, n = row[order], at[order], n[order]
-            w = (1.0 + np.log(n)) * known.idf[at]
-            w /= np.sqrt(np.bincount(row, w * w, minlength=batch.num_rows))[row]
-            counts = np.bincount(row, minlength=batch.num_rows)
-            offsets = np.concatenate([[0], np.cumsum(counts)])
-            lead = np.full(batch.num_rows, -1, dtype=np.int64)
-            by = np.lexsort((at, -known.count[at], row))
-            lead[counts > 0] = at[by][offsets[:-1][counts > 0]]
-            ends = pa.array(offsets, pa.int32())
-            yield pa.RecordBatch.from_arrays([
-                batch.column(key), pa.ListArray.from_arrays(ends, pa.array(at, pa.int32())), pa.ListArray.from_arrays(ends, pa.array(w)), pa.array(lead)],
-                [key, "terms", "weights", "lead"])
-
-    return rows.select(key, "terms", "n").mapInArrow(weigh, f"`{key}` {dict(rows.dtypes)[key]}, terms array<int>, weights array<double>, lead long")
+
+def text_weights(docs: DataFrame, key: str, text: str, stop: Sequence[str], vocab: Terms) -> DataFrame:
+    """`weighted` of texts in one step."""
+    rows, kind = _tokens(docs, key, text, stop)
+    sent = rows.sparkSession.sparkContext.broadcast(vocab)
+    return rows.mapInArrow(lambda batches: _weights(_counts(batches, key), key, sent.value), f"{kind}, {WEIGHTS}")

@@ -28,10 +28,10 @@ def build_index(
         df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
 
-    rows = R.counted(chunks, key, text, stop)  # cut twice: stored, the terms would take several times the room of the texts
-    per_term = stored(R.corpus_counts(rows), f"{base}/per_term")
+    # texts are cut twice: stored, their terms would take several times the room
+    per_term = stored(R.text_counts(chunks, key, text, stop), f"{base}/per_term")
     vocab = stored(R.vocabulary(per_term, chunks.agg(F.count(F.lit(1))).scalar(), max_features), paths["vocabulary"])
-    weights = R.weighted(rows, key, R.Terms.of(vocab))
+    weights = R.text_weights(chunks, key, text, stop, R.Terms.of(vocab))
     if vectors is None:
         weights = stored(weights, f"{base}/weights")
         model = R.LsaModel.of_rows(weights, vocab, dimensions, stop)
@@ -52,7 +52,7 @@ def question_side(
     questions: DataFrame, vocab: DataFrame, key: str, text: str = "text", stop: Sequence[str] = (), model: R.LsaModel | None = None,
 ) -> DataFrame:
     """Questions with their vectors (`vec`, made by the index's model unless present) and postings in its vocabulary."""
-    weights = R.weighted(R.counted(questions, key, text, stop), key, R.Terms.of(vocab))
+    weights = R.text_weights(questions, key, text, stop, R.Terms.of(vocab))
     if model is not None:
         questions = questions.join(model.embed_rows(weights, key), key)
     return R.with_postings(questions, weights, key)

@@ -98,7 +98,7 @@ def test_clusters_that_cannot_reach_are_skipped_and_none_else():
 
 
 def test_dense_search_of_few_and_of_hot_vectors(spark, monkeypatch):
-    monkeypatch.setattr(dense, "QUERY_ROWS", 2)  # several blocks of questions
+    monkeypatch.setattr(dense, "DENSE_ROWS", 2)  # several blocks of questions
     one, other = [0.6, 0.8], [1.0, 0.0]
     corpus = spark.createDataFrame([(f"d{i:02d}", one) for i in range(40)] + [("x", other)], "d string, vec array<double>").repartition(3)
     q = spark.createDataFrame([(i, v) for i, v in enumerate([one, other, [0.0, 0.0], [-1.0, 0.0], one])], "q int, vec array<double>")
