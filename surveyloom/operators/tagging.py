@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,26 +61,27 @@ def age_range(text: Columnish) -> Column:
     return F.when((low >= 15) & (low <= high) & (high <= 49), F.struct(low.alias("low"), high.alias("high")))
 
 
+LABEL_CHARACTERS = 4_000_000  # of the names that one automaton holds
+
+
 def places(texts: DataFrame, labels: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """(key, places): labels occurring as whole words, longest first, none inside a longer one.
+    """(key, places): labels occurring as whole words, longest first, none inside a longer one. Starts jobs that read the labels.
 
-    `labels(code, label)`. The first run of letters of a label must be a whole
-    run of letters in the text, its first character one of the text's if it has
-    no letters. An equality join on these finds the few candidates; only they
-    meet the texts, by key.
+    `labels(code, label)`. One automaton over the names is sent to the texts,
+    which are read once where they lie; only names found leave them. Names
+    beyond LABEL_CHARACTERS make further automata, each with a pass of its own.
     """
     name = F.lower(F.trim("label"))
-    letters = F.regexp_extract("name", "[a-z]+", 0)
-    known = labels.select("code", name.alias("name")).filter(F.length("name") >= 3).withColumn(
-        "word", F.when(letters != "", letters).otherwise(F.left("name", F.lit(1)))
-    )
-    lowered = F.lower(F.col(text))
-    parts = F.concat(F.regexp_extract_all(lowered, F.lit("([a-z]+)"), F.lit(1)), F.split(F.regexp_replace(lowered, "[a-z]", ""), ""))
-    words = texts.select(key, F.explode(F.array_distinct(parts)).alias("word"))
-    candidates = words.join(known, "word").select(key, "code", "name").distinct()
-    whole = F.concat(F.lit(r"(?<![a-z])\Q"), F.col("name"), F.lit(r"\E(?![a-z])"))
-    found = texts.select(key, lowered.alias("_text")).join(candidates, key).filter(F.contains(F.col("_text"), F.col("name")) & F.rlike(F.col("_text"), whole))
-    matched = found.groupBy(key).agg(F.array_sort(F.collect_set(F.struct((-F.length("name")).alias("order"), "code", "name"))).alias("m"))
+    known = labels.select("code", name.alias("name")).filter(F.length("name") >= 3)
+    lowered = texts.select(key, F.lower(F.col(text)).alias("_text"))
+    schema = f"`{key}` {dict(lowered.dtypes)[key]}, name string"
+    parts = math.ceil((known.agg(F.sum(F.length("name"))).first()[0] or 0) / LABEL_CHARACTERS)
+    found = texts.sparkSession.createDataFrame([], schema)
+    for i in range(parts):
+        own = known.filter(F.pmod(F.xxhash64("name"), F.lit(parts)) == i).select("name").distinct()
+        sent = texts.sparkSession.sparkContext.broadcast([r.name for r in own.collect()])
+        found = found.union(lowered.mapInArrow(lambda batches, sent=sent: _named(batches, key, sent.value), schema))
+    matched = found.join(known, "name").groupBy(key).agg(F.array_sort(F.collect_set(F.struct((-F.length("name")).alias("order"), "code", "name"))).alias("m"))
 
     def covered(m, i):
         return F.exists(
@@ -89,6 +92,30 @@ def places(texts: DataFrame, labels: DataFrame, key: str, text: str = "text") ->
     return matched.select(key, F.transform(kept, lambda m: F.struct(m["code"].alias("code"), m["name"].alias("name"))).alias("places"))
 
 
+def _named(batches, key: str, names: list[str]):
+    """(key, name) of the names that stand in a text with no letter a to z right before or after them."""
+    import ahocorasick
+    import pyarrow as pa
+
+    if not names:
+        return
+    automaton, letters = ahocorasick.Automaton(), frozenset("abcdefghijklmnopqrstuvwxyz")
+    for n in names:
+        automaton.add_word(n, n)
+    automaton.make_automaton()
+    for batch in batches:
+        at, out = [], []
+        for row, text in enumerate(batch.column("_text").to_pylist()):
+            hits = set()
+            for last, n in automaton.iter(text or ""):
+                first = last + 1 - len(n)
+                if (first == 0 or text[first - 1] not in letters) and (last + 1 == len(text) or text[last + 1] not in letters):
+                    hits.add(n)
+            at += [row] * len(hits)
+            out += sorted(hits)
+        yield pa.RecordBatch.from_arrays([batch.column(key).take(pa.array(at, pa.int64())), pa.array(out, pa.string())], [key, "name"])
+
+
 def _outcome(spec: dict | None) -> Column:
     spec = spec or {}
     codes = spec.get("codes")
