@@ -5,7 +5,7 @@ identifiers, long hexadecimal runs. Weak candidates mean little alone:
 
 * id        a short access identifier, `AKIA` and 8 to 15 capitals or digits
 * key       a mixed run of 20 or more base64 characters with a digit, a capital and a small letter
-* endpoint  a host with a scheme or a host:port of a known service port
+* endpoint  a host with a scheme or a host:port of a known service port, from the start of its run
 
 A weak `id` or `key` is reported when a part of the other sort (identifier
 against secret, base spans included) or an endpoint with both lies within
@@ -38,7 +38,13 @@ KINDS = (*BASE, "id", "key", "endpoint")
 IDENTIFIERS, SECRETS = ("access", "id"), ("assign", "hex", "key")
 
 KEY = r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{20,}={0,2}(?![A-Za-z0-9+/=])"
-ENDPOINT = r"(?:[a-z][a-z0-9+]*://[A-Za-z0-9.-]+(?::[0-9]+)?|[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+:(?:22|443|1433|3306|5432|5672|6379|8080|8443|9200|27017))"
+# Possessive, and only from the start of a run: no text makes them scan a run twice or recurse.
+ENDPOINT = (
+    r"(?:(?<![a-z0-9+])[a-z][a-z0-9+]*+://[A-Za-z0-9.-]++(?::[0-9]++)?"
+    r"|(?<![A-Za-z0-9.-])[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++:(?:22|443|1433|3306|5432|5672|6379|8080|8443|9200|27017))"
+)
+SPAN = "array<struct<kind:string,start:int,end:int,match:string>>"
+CHUNK = 256  # spans that are put together at once, so many matches in one text cost no copies of all before
 
 
 def found(text: Column, pattern: str, kind: str) -> Column:
@@ -49,7 +55,7 @@ def found(text: Column, pattern: str, kind: str) -> Column:
     """
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     between = F.split(text, pattern, -1)
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<kind:string,start:int,end:int,match:string>>").alias("out"))
+    none = F.array().cast(SPAN)
 
     def step(state: Column, pair: Column) -> Column:
         start = state["at"] + F.length(pair["before"])
@@ -57,10 +63,20 @@ def found(text: Column, pattern: str, kind: str) -> Column:
         span = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), pair["match"].alias("match"))
         return F.struct(end.alias("at"), F.concat(state["out"], F.array(span)).alias("out"))
 
+    def chunk(state: Column, some: Column) -> Column:
+        # each step copies its state, so what is done stays out of it
+        now = F.aggregate(some, F.struct(state["at"].alias("at"), none.alias("out")), step)
+        return F.get(F.transform(F.array(now), lambda n: F.struct(n["at"].alias("at"), F.concat(state["done"], F.array(n["out"])).alias("done"))), F.lit(0))
+
     pairs = F.zip_with(matches, F.slice(between, F.lit(1), F.size(matches)), lambda m, b: F.struct(b.alias("before"), m.alias("match")))
-    spans = F.aggregate(pairs, zero, step, lambda state: state["out"])
-    none = F.array().cast("array<struct<kind:string,start:int,end:int,match:string>>")
-    return F.when(F.size(matches) > 0, spans).otherwise(none)
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("done"))
+
+    def placed(own: Column) -> Column:
+        chunks = F.transform(F.sequence(F.lit(1), F.size(own), F.lit(CHUNK)), lambda i: F.slice(own, i, F.lit(CHUNK)))
+        return F.aggregate(chunks, zero, chunk, lambda state: F.flatten(state["done"]))
+
+    # as the element of an array the pairs are found once, not once for each chunk
+    return F.when(F.size(matches) > 0, F.get(F.transform(F.array(pairs), placed), F.lit(0))).otherwise(none)
 
 
 def parts(text: Column) -> Column:
@@ -87,7 +103,9 @@ def linked_spans(docs: DataFrame, text: str, scope: int = SCOPE) -> DataFrame:
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     # Most texts hold no part; one test decides before anything is cut out.
     anything = F.lower(body).rlike(r"password|passwd|secret|token|api_?key") | body.rlike(f"AKIA[A-Z0-9]{{8}}|[0-9a-f]{{24}}|[A-Za-z0-9+/]{{20}}|{ENDPOINT}")
-    some = docs.select(body.alias("text")).filter(anything).select(F.sha2("text", 256).alias("text_key"), F.explode(parts(F.col("text"))).alias("s"))
+    # the key is made below the generator, not once for each part
+    keyed = docs.select(body.alias("text")).filter(anything).select("text", F.sha2("text", 256).alias("text_key"))
+    some = keyed.select("text_key", F.explode(parts(F.col("text"))).alias("s"))
     rows = some.select("text_key", "s.kind", "s.start", "s.end").distinct()
     near = Window.partitionBy("text_key").orderBy("start").rangeBetween(-scope, scope)
     of = lambda kinds: F.max(F.col("kind").isin(*kinds).cast("int")).over(near)
