@@ -44,6 +44,14 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def delete_cut(df: DataFrame) -> None:
+    """Deletes the folder of a table that `cut` returned, once nothing reads it any more."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI.create(folder))
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """The rows over all cores where the scan has fewer partitions, as of one file with one row group; else untouched."""
     cores = df.sparkSession.sparkContext.defaultParallelism

@@ -93,3 +93,13 @@ def test_code_audit_lists_clean_variables(spark):
     assert got[("v012", "found in data", 14)] == ("(not in codebook)", 1)
     assert got[("v133", "special code defined in codebook", 97)] == ("inconsistent", 1)
     assert got[("v025", "found in data", None)][0] == "no invalid values found"
+
+
+def test_cut_tables_can_be_deleted(spark):
+    from pathlib import Path
+
+    kept, gone = S.cut(spark.range(5), "kept"), S.cut(spark.range(5), "gone")
+    folders = [Path(df.inputFiles()[0].removeprefix("file:")).parent for df in (kept, gone)]
+    S.delete_cut(gone)
+    assert [f.exists() for f in folders] == [True, False]
+    assert kept.count() == 5
