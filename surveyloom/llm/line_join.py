@@ -9,7 +9,8 @@ rows with the same id are at the same place and keep their lines.
 
 1. Words are counted in a table of fixed size over all lines; a token is its
    64-bit hash with the size class of its count on top, so sorting tokens
-   orders them by rarity.
+   orders them by rarity. The classes reach the tasks from a stored table of
+   one row, as the value of a scalar subquery.
 2. Lines with equal tokens are one set, named by its first place. Only the
    prefix of a set (what a partner must share with it) goes on, with 64 parity
    bits: sets that differ in k tokens differ in k of the bits at most.
@@ -17,23 +18,25 @@ rows with the same id are at the same place and keep their lines.
    Whether a set goes is a question of existence, so each set is first compared
    with the first member of its tokens' groups; in groups of near copies that
    settles almost all, and only sets still open meet all earlier members.
-4. Candidates are verified on whole token sets, cut again from their documents.
+4. Candidates are verified on whole lines, cut again from their documents.
+
+Tables written on the way are deleted when the result is stored.
 """
 
 from __future__ import annotations
 
-from math import floor, log2
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.tables import cut
+from ..sources.tables import cut, delete_cut
 
 THRESHOLD = 0.9
 MIN_WORDS = 1
-COUNT_BITS = 18  # counters of the word table
+COUNT_BITS = 20  # counters of the word table
+CHUNK_BITS = 10  # counters put in order together
 CLASS_BITS = 57  # below: hash; above: class of the count
-SENT_BYTES = 8 << 20  # a stored table of up to this size is sent to the tasks instead of moving texts to it
 SPACE = r"[\x09-\x0D\x20]"
 
 
@@ -42,22 +45,22 @@ def word_hashes(line: Column) -> Column:
     return F.array_remove(F.array_distinct(F.transform(F.split(F.lower(line), SPACE), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
 
 
-def count_classes(docs: DataFrame, text: str) -> list[int]:
-    """The class of each counter (1 to 60, twice the logarithm of the count); 2**COUNT_BITS rows reach the driver."""
+def word_classes(docs: DataFrame, text: str) -> DataFrame:
+    """One row, `classes`: the class of each counter (1 to 60, twice the logarithm of the count), 2**COUNT_BITS bytes."""
     words = docs.select(F.explode(F.split(F.lower(F.col(text).cast("string")), SPACE)).alias("w"))
-    counts = words.groupBy(F.shiftrightunsigned(F.xxhash64("w"), 64 - COUNT_BITS).alias("slot")).count().toArrow()
-    out = [1] * (1 << COUNT_BITS)
-    for slot, n in zip(counts.column("slot").to_pylist(), counts.column("count").to_pylist(), strict=True):
-        out[slot] = min(60, 1 + floor(2 * log2(n)))
-    return out
+    slots = words.select(F.shiftrightunsigned(F.xxhash64("w"), 64 - COUNT_BITS).alias("slot"), F.lit(1).alias("n"))
+    every = docs.sparkSession.range(1 << COUNT_BITS).select(F.col("id").alias("slot"), F.lit(0).alias("n"))
+    size = F.least(F.lit(60), 1 + F.floor(2 * F.log2(F.greatest("n", F.lit(1))))).cast("tinyint").alias("size")
+    counts = slots.union(every).groupBy("slot").agg(F.sum("n").alias("n")).select("slot", size)
+    chunks = counts.groupBy(F.shiftright("slot", CHUNK_BITS).alias("chunk")).agg(F.array_sort(F.collect_list(F.struct("slot", "size"))).getField("size").alias("sizes"))
+    return chunks.agg(F.flatten(F.array_sort(F.collect_list(F.struct("chunk", "sizes"))).getField("sizes")).alias("classes"))
 
 
-def token_set(line: Column, classes: list[int]) -> Column:
+def token_set(line: Column, classes: Column) -> Column:
     """The line's tokens, rarest first."""
-    table = F.split(F.lit(",".join(map(str, classes))), ",").cast("array<int>")  # folded to one literal
 
     def token(h: Column) -> Column:
-        size = F.get(table, F.shiftrightunsigned(h, 64 - COUNT_BITS).cast("int"))
+        size = F.get(classes, F.shiftrightunsigned(h, 64 - COUNT_BITS).cast("int"))
         return F.shiftleft(size.cast("long"), CLASS_BITS).bitwiseOR(h.bitwiseAND(F.lit((1 << CLASS_BITS) - 1)))
 
     return F.sort_array(F.transform(word_hashes(line), token))
@@ -72,12 +75,6 @@ def _bit(token: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), token.bitwiseAND(F.lit(63)).cast("int"))
 
 
-def sent_if_small(df: DataFrame) -> DataFrame:
-    """A stored table, marked for broadcast when Spark knows it to be small; otherwise joined by key."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return F.broadcast(df) if size <= SENT_BYTES else df
-
-
 def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(id, text_hash, no, line) of every line."""
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
@@ -85,71 +82,80 @@ def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def removed_lines(docs: DataFrame, key: str, text: str, threshold: float = THRESHOLD, min_words: int = MIN_WORDS) -> DataFrame:
-    """(id, text_hash, numbers): the numbers of the lines to remove, for the texts that lose any."""
-    classes = count_classes(docs, text)
-    tokens = _lines(docs, key, text).select("id", "text_hash", "no", token_set(F.col("line"), classes).alias("tokens"))
+    """(id, text_hash, numbers), stored: the numbers of the lines to remove, for the texts that lose any."""
+    kept: list[DataFrame] = []
+
+    def held(df: DataFrame, name: str) -> DataFrame:
+        kept.append(cut(df, name))
+        return kept[-1]
+
+    classes = held(word_classes(docs, text), "word-classes")
+    tokens = _lines(docs, key, text).select("*", classes.scalar().alias("classes")).select("id", "text_hash", "no", token_set(F.col("line"), F.col("classes")).alias("tokens"))
     n = F.size("tokens")
+    least = threshold / (1 - threshold) - 1e-9  # one token more or less takes a smaller set below the threshold: only equal sets match it
+    prefix = F.when(n >= least, F.slice("tokens", 1, n - F.ceil(n * threshold).cast("int") + 1))
     # Lines without a word go after the table is written: a filter before it would cut every line twice.
-    sized = cut(
-        tokens.select("id", "text_hash", "no", F.xxhash64("tokens").alias("set"), n.alias("n"), parity(F.col("tokens")).alias("bits"), F.slice("tokens", 1, n - F.ceil(n * threshold).cast("int") + 1).alias("prefix")),
-        "line-prefixes",
-    ).filter(F.col("n") >= min_words)
+    sized = held(tokens.select("id", "text_hash", "no", F.xxhash64("tokens").alias("set"), n.alias("n"), F.when(n >= least, parity(F.col("tokens"))).alias("bits"), prefix.alias("prefix")), "line-prefixes").filter(F.col("n") >= min_words)
     place = F.struct(F.col("id").isNull().alias("last"), F.col("id"), F.col("no"), F.col("text_hash"))
-    sets = cut(
+    sets = held(
         sized.groupBy("set").agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("lines"), F.first(F.struct("n", "bits", "prefix")).alias("of")).select("set", "place", "lines", "of.*"),
         "line-sets",
     )
 
-    head = F.struct(F.col("place.last").alias("last"), F.col("place.id").alias("id"), F.col("place.no").alias("no"), F.col("set").alias("set"))
-    # One token more or less already takes a smaller set below the threshold: only equal sets match it.
-    rows = sets.filter(F.col("n") >= threshold / (1 - threshold) - 1e-9).select(head.alias("head"), "n", "bits", F.posexplode("prefix").alias("at", "token"))
-    # A token of one set has no partner; what is left is stored once for both rounds.
-    group = Window.partitionBy("token")
-    grouped = rows.select("*", F.min(F.struct("head", "n", "at", "bits")).over(group).alias("first"), F.count(F.lit(1)).over(group).alias("members"))
-    many = cut(grouped.filter(F.col("first.head.set") != F.col("head.set")), "prefix-groups")
+    def rows(of: DataFrame, open_: Column) -> DataFrame:
+        """A row per prefix token; the lowest bit of `size` says whether the set is still open."""
+        size = F.col("n") * 2 + open_.cast("int")
+        return of.filter(F.col("n") >= least).select("set", F.col("place.id").alias("id"), F.col("place.no").alias("no"), size.alias("size"), "bits", F.posexplode("prefix").alias("at", "token"))
+
+    def at(of: str) -> Column:
+        return F.struct(F.col(f"{of}.id").isNull(), F.col(f"{of}.id"), F.col(f"{of}.no"))
 
     def near(a: str, b: str) -> Column:
-        """Length, positional and parity filter for a pair at its first shared token."""
-        an, bn, aat, bat = F.col(f"{a}n"), F.col(f"{b}n"), F.col(f"{a}at"), F.col(f"{b}at")
+        """Order, length, positional and parity filter for a pair at its first shared token; b must be open."""
+        an, bn, aat, bat = F.shiftright(f"{a}.size", 1), F.shiftright(f"{b}.size", 1), F.col(f"{a}.at"), F.col(f"{b}.at")
         common = F.ceil((an + bn) * (threshold / (1 + threshold)) - 1e-9)
-        return (F.least(an, bn) >= common) & (1 + F.least(an - aat - 1, bn - bat - 1) >= common) & (F.bit_count(F.col(f"{a}bits").bitwiseXOR(F.col(f"{b}bits"))) <= an + bn - 2 * common)
-
-    flat = many.select("head", "n", "at", "bits", "token", F.col("first.head.set").alias("a"), F.col("first.n").alias("fn"), F.col("first.at").alias("fat"), F.col("first.bits").alias("fbits"))
-    stars = flat.filter(near("f", "")).select("a", F.col("head.set").alias("b")).distinct()
-    settled = cut(verified(docs, key, text, stars, sets, classes, threshold), "settled-lines")
-    # Sets still open meet every earlier member of their groups, the first of them done.
-    more = many.filter("members > 2")  # in a group of two nothing is left to compare
-    open_rows = more.select("head", "n", "at", "bits", "token").join(settled, F.col("head.set") == F.col("b"), "left_anti")
-    earlier = more.select(F.col("token").alias("etoken"), F.col("head").alias("ehead"), F.col("n").alias("en"), F.col("at").alias("eat"), F.col("bits").alias("ebits"))
-    pairs = open_rows.join(earlier, (F.col("token") == F.col("etoken")) & (F.col("ehead") < F.col("head")) & near("e", ""))
-    rest = verified(docs, key, text, pairs.select(F.col("ehead.set").alias("a"), F.col("head.set").alias("b")).distinct(), sets, classes, threshold)
+        still = bn * F.col(f"{b}.size").bitwiseAND(F.lit(1))  # 0 for sets that are settled
+        return (F.least(an, still) >= common) & (at(a) < at(b)) & (1 + F.least(an - aat - 1, bn - bat - 1) >= common) & (F.bit_count(F.col(f"{a}.bits").bitwiseXOR(F.col(f"{b}.bits"))) <= an + bn - 2 * common)
+
+    # Narrow rows are dealt out first, so what the window compares is put together behind the shuffle.
+    dealt = rows(sets, F.lit(True)).repartition("token")
+    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "no", "set", "size", "at", "bits")).over(Window.partitionBy("token"))
+    stars = dealt.select(F.struct(*dealt.columns).alias("own"), first.alias("first")).filter(near("first", "own"))
+    settled = held(verified(docs, key, text, stars.select(F.col("first.set").alias("a"), F.col("own.set").alias("b")).distinct(), sets, threshold, held), "settled-lines")
+    # Sets still open meet every earlier member of their groups. Both sides are the same rows, so one exchange serves them.
+    both = rows(sets.join(settled.select(F.col("b").alias("set"), F.lit(True).alias("done")), "set", "left"), F.col("done").isNull())
+    pairs = both.alias("e").join(both.alias("o"), (F.col("e.token") == F.col("o.token")) & near("e", "o"))
+    rest = held(verified(docs, key, text, pairs.select(F.col("e.set").alias("a"), F.col("o.set").alias("b")).distinct(), sets, threshold, held), "settled-lines")
     gone = settled.union(rest).select(F.col("b").alias("set")).distinct().withColumn("all", F.lit(True))
 
     # Of a set that goes all lines go; of others all but those at the first place.
-    matter = cut(sets.join(gone, "set", "left").filter((F.col("lines") > 1) | F.col("all")).select("set", "place", F.coalesce("all", F.lit(False)).alias("all")), "repeated-sets")
+    matter = held(sets.join(gone, "set", "left").filter((F.col("lines") > 1) | F.col("all")).select("set", "place", F.coalesce("all", F.lit(False)).alias("all")), "repeated-sets")
     same = F.col("id").eqNullSafe(F.col("place.id")) & (F.col("no") == F.col("place.no"))
     out = sized.select("id", "text_hash", "no", "set").join(matter, "set").filter(F.col("all") | ~same)
-    return out.groupBy("id", "text_hash").agg(F.collect_set("no").alias("numbers"))
+    result = cut(out.groupBy("id", "text_hash").agg(F.sort_array(F.collect_set("no")).alias("numbers")), "removed-lines")
+    for table in kept:
+        delete_cut(table)
+    return result
 
 
-def verified(docs: DataFrame, key: str, text: str, pairs: DataFrame, sets: DataFrame, classes: list[int], threshold: float) -> DataFrame:
+def verified(docs: DataFrame, key: str, text: str, pairs: DataFrame, sets: DataFrame, threshold: float, held: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
     """(b) of the pairs (a, b) of sets whose Jaccard similarity is at least `threshold`."""
-    pairs = cut(pairs, "line-pairs")
+    pairs = held(pairs, "line-pairs")
     need = pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct().join(sets.select("set", "place"), "set")
-    wanted = cut(need.groupBy(F.col("place.id").alias("_id"), F.col("place.text_hash").alias("_hash")).agg(F.collect_set("place.no").alias("_numbers")), "wanted-lines")
+    wanted = held(need.groupBy(F.col("place.id").alias("_id"), F.col("place.text_hash").alias("_hash")).agg(F.collect_list(F.struct("place.no", "set")).alias("_lines")), "wanted-lines")
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.select(F.col(key).alias("id"), F.xxhash64(body).alias("text_hash"), body.alias("text"))
-    held = rows.join(sent_if_small(wanted), F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
-    lines = held.select(F.split("text", "\n", -1).alias("lines"), F.explode("_numbers").alias("no")).select(F.get("lines", F.col("no")).alias("line"))
-    tokens = cut(lines.select(token_set(F.col("line"), classes).alias("tokens")).select(F.xxhash64("tokens").alias("set"), "tokens").dropDuplicates(["set"]), "wanted-sets")
-    both = pairs.join(tokens.select(F.col("set").alias("a"), F.col("tokens").alias("ta")), "a").join(tokens.select(F.col("set").alias("b"), F.col("tokens").alias("tb")), "b")
-    common = F.size(F.array_intersect("ta", "tb"))
-    return both.select("b", common.alias("c"), (F.size("ta") + F.size("tb")).alias("sum")).filter(F.col("c") >= threshold * (F.col("sum") - F.col("c")) - 1e-9).select("b").distinct()
+    texts = rows.join(wanted, F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
+    lines = texts.select(F.split("text", "\n", -1).alias("lines"), F.inline("_lines")).select("set", F.get("lines", F.col("no")).alias("line"))
+    words = held(lines.select("set", word_hashes(F.col("line")).alias("words")).dropDuplicates(["set"]), "wanted-sets")
+    both = pairs.join(words.select(F.col("set").alias("a"), F.col("words").alias("wa")), "a").join(words.select(F.col("set").alias("b"), F.col("words").alias("wb")), "b")
+    common = F.size(F.array_intersect("wa", "wb"))
+    return both.select("b", common.alias("c"), (F.size("wa") + F.size("wb")).alias("sum")).filter(F.col("c") >= threshold * (F.col("sum") - F.col("c")) - 1e-9).select("b").distinct()
 
 
 def removals(docs: DataFrame, key: str, text: str, threshold: float = THRESHOLD, min_words: int = MIN_WORDS) -> DataFrame:
     """(key, n_lines, n_removed, removed) of every row: the numbers of the removed lines from 0 on, ascending."""
-    gone = cut(removed_lines(docs, key, text, threshold, min_words).select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), F.sort_array("numbers").alias("removed")), "removed-lines")
+    gone = removed_lines(docs, key, text, threshold, min_words).select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("numbers").alias("removed"))
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.select(F.col(key).alias("id"), F.xxhash64(body).alias("text_hash"), (F.octet_length(body) - F.octet_length(F.replace(body, F.lit("\n"), F.lit(""))) + 1).cast("long").alias("n_lines"))
     joined = rows.join(gone, F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left")
@@ -161,7 +167,7 @@ def without_lines(docs: DataFrame, key: str, text: str, threshold: float = THRES
 
     Null texts stay null; a text may end up empty.
     """
-    gone = cut(removed_lines(docs, key, text, threshold, min_words).select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("numbers").alias("_numbers")), "removed-lines")
+    gone = removed_lines(docs, key, text, threshold, min_words).select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("numbers").alias("_numbers"))
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     # Whole rows travel as one struct, so no column can clash with another.
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(key).alias("id"), F.col(text).alias("text"), F.xxhash64(body).alias("text_hash"))
