@@ -3,12 +3,15 @@
 A word is a maximal run of bytes that the separator table does not mark. UTF-8
 keeps ASCII separators out of longer characters, so bytes are enough. Hashes
 are 64-bit polynomials over the bytes, finished by a mixing step; they do not
-depend on the machine, the batch or the position.
+depend on the machine, the batch or the position. A polynomial modulo 2**64
+says little of long structured words (two Thue-Morse words of 1,024 letters are
+equal to it for every base), so words over LONG bytes are named by BLAKE2b.
 """
 
 from __future__ import annotations
 
 import ctypes
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,6 +29,7 @@ PUNCTUATED = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
+LONG = 64  # bytes of a word
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _POWERS: dict[int, np.ndarray] = {}
 _TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
@@ -72,7 +76,11 @@ class Words:
     bounds: np.ndarray  # byte offsets of the rows in data
 
     def hashes(self, lower: bool = False) -> np.ndarray:
-        return range_hash((LOWER[self.data] if lower else self.data).astype(U), self.starts, self.ends)
+        data = LOWER[self.data] if lower else self.data
+        out = range_hash(data.astype(U), self.starts, self.ends)
+        for i in np.flatnonzero(self.ends - self.starts > LONG):
+            out[i] = int.from_bytes(hashlib.blake2b(data[self.starts[i] : self.ends[i]], digest_size=8).digest(), "little")
+        return out
 
     def counts(self) -> np.ndarray:
         return np.diff(self.of)

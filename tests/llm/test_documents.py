@@ -382,3 +382,20 @@ def test_walk_continues_clockwise():
     assert sharding.walk(nodes, [5, 1, 0], [2, 2, 2]) == [(0, 0, 2, 0, 0), (1, 0, 1, 1, 0), (0, 2, 3, 1, 1), (0, 3, 5, 2, 0)]
 
 
+
+
+# long words
+
+
+def test_structured_long_words_differ(spark):
+    """Thue-Morse words of 1,024 letters and their complements are equal to any polynomial modulo 2**64."""
+    a = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    b = a.translate(str.maketrans("ab", "ba"))
+    common = [f"w{i}" for i in range(34)]
+    texts = [" ".join([*common, a]), " ".join([*common, b]), f"solo {a}", f"solo {b}", f"solo {a}"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    words = next(pieces(pa.array([a + " " + b + " " + a.upper()])))
+    assert len(set(words.hashes().tolist())) == 3 and len(set(words.hashes(lower=True).tolist())) == 2
+    assert [r["n_removed"] for r in automaton.digests(rows, "doc_id", "text").orderBy("doc_id").collect()] == [0] * 5
+    classes = {r["id"]: r["component_id"] for r in jaccard.classes(rows, "doc_id", "text").collect()}
+    assert (classes[2], classes[3], classes[4]) == (2, 3, 2)
