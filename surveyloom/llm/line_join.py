@@ -35,7 +35,8 @@ from ..sources.tables import cut, delete_cut
 THRESHOLD = 0.9
 MIN_WORDS = 1
 COUNT_BITS = 20  # counters of the word table
-CHUNK_BITS = 10  # counters put in order together
+CHUNK_BITS = 10  # array entries put in order together
+FILTER_BITS = 24  # of the filter of lines to verify
 CLASS_BITS = 57  # below: hash; above: class of the count
 SPACE = r"[\x09-\x0D\x20]"
 
@@ -45,15 +46,31 @@ def word_hashes(line: Column) -> Column:
     return F.array_remove(F.array_distinct(F.transform(F.split(F.lower(line), SPACE), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
 
 
+def in_one_row(table: DataFrame, bits: int, name: str) -> DataFrame:
+    """One row with the values of a table (slot, value) as an array; the table has every slot below 2**bits once."""
+    chunks = table.groupBy(F.shiftright("slot", CHUNK_BITS).alias("chunk")).agg(F.array_sort(F.collect_list(F.struct("slot", "value"))).getField("value").alias("values"))
+    return chunks.agg(F.flatten(F.array_sort(F.collect_list(F.struct("chunk", "values"))).getField("values")).alias(name))
+
+
 def word_classes(docs: DataFrame, text: str) -> DataFrame:
     """One row, `classes`: the class of each counter (1 to 60, twice the logarithm of the count), 2**COUNT_BITS bytes."""
     words = docs.select(F.explode(F.split(F.lower(F.col(text).cast("string")), SPACE)).alias("w"))
-    slots = words.select(F.shiftrightunsigned(F.xxhash64("w"), 64 - COUNT_BITS).alias("slot"), F.lit(1).alias("n"))
-    every = docs.sparkSession.range(1 << COUNT_BITS).select(F.col("id").alias("slot"), F.lit(0).alias("n"))
-    size = F.least(F.lit(60), 1 + F.floor(2 * F.log2(F.greatest("n", F.lit(1))))).cast("tinyint").alias("size")
-    counts = slots.union(every).groupBy("slot").agg(F.sum("n").alias("n")).select("slot", size)
-    chunks = counts.groupBy(F.shiftright("slot", CHUNK_BITS).alias("chunk")).agg(F.array_sort(F.collect_list(F.struct("slot", "size"))).getField("size").alias("sizes"))
-    return chunks.agg(F.flatten(F.array_sort(F.collect_list(F.struct("chunk", "sizes"))).getField("sizes")).alias("classes"))
+    counts = words.groupBy(F.shiftrightunsigned(F.xxhash64("w"), 64 - COUNT_BITS).alias("slot")).agg(F.count(F.lit(1)).alias("n"))
+    every = docs.sparkSession.range(1 << COUNT_BITS).select(F.col("id").alias("slot"), F.lit(1).cast("long").alias("n"))
+    size = F.least(F.lit(60), 1 + F.floor(2 * F.log2("n"))).cast("tinyint")
+    return in_one_row(counts.union(every).groupBy("slot").agg(F.max("n").alias("n")).select("slot", size.alias("value")), COUNT_BITS, "classes")
+
+
+def line_filter(lines: DataFrame) -> DataFrame:
+    """One row, `bits`: 2**FILTER_BITS bits, those of the (id, text_hash, no) of `lines` set; a full filter lets more lines through."""
+    at = _filter_slot(F.col("id"), F.col("text_hash"), F.col("no"))
+    words = lines.select(F.shiftright(at, 6).alias("slot"), _bit(at).alias("bit")).groupBy("slot").agg(F.bit_or("bit").alias("value"))
+    every = lines.sparkSession.range(1 << (FILTER_BITS - 6)).select(F.col("id").alias("slot"), F.lit(0).cast("long").alias("value"))
+    return in_one_row(words.union(every).groupBy("slot").agg(F.bit_or("value").alias("value")), FILTER_BITS - 6, "bits")
+
+
+def _filter_slot(id_: Column, text_hash: Column, no: Column) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(id_, text_hash, no), 64 - FILTER_BITS)
 
 
 def token_set(line: Column, classes: Column) -> Column:
@@ -142,12 +159,14 @@ def verified(docs: DataFrame, key: str, text: str, pairs: DataFrame, sets: DataF
     """(b) of the pairs (a, b) of sets whose Jaccard similarity is at least `threshold`."""
     pairs = held(pairs, "line-pairs")
     need = pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct().join(sets.select("set", "place"), "set")
-    wanted = held(need.groupBy(F.col("place.id").alias("_id"), F.col("place.text_hash").alias("_hash")).agg(F.collect_list(F.struct("place.no", "set")).alias("_lines")), "wanted-lines")
-    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    rows = docs.select(F.col(key).alias("id"), F.xxhash64(body).alias("text_hash"), body.alias("text"))
-    texts = rows.join(wanted, F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
-    lines = texts.select(F.split("text", "\n", -1).alias("lines"), F.inline("_lines")).select("set", F.get("lines", F.col("no")).alias("line"))
-    words = held(lines.select("set", word_hashes(F.col("line")).alias("words")).dropDuplicates(["set"]), "wanted-sets")
+    wanted = held(need.select("set", "place.id", "place.text_hash", "place.no"), "wanted-lines")
+    bits = held(line_filter(wanted), "line-filter")
+    # Only lines that pass the filter move to meet their keys, not whole texts.
+    at = _filter_slot(F.col("id"), F.col("text_hash"), F.col("no"))
+    lines = _lines(docs, key, text).filter(F.get(bits.scalar(), F.shiftright(at, 6).cast("int")).bitwiseAND(_bit(at)) != 0)
+    asked = wanted.select("set", F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("no").alias("_no"))
+    found = lines.join(asked, F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")) & (F.col("no") == F.col("_no")))
+    words = held(found.select("set", word_hashes(F.col("line")).alias("words")).dropDuplicates(["set"]), "wanted-sets")
     both = pairs.join(words.select(F.col("set").alias("a"), F.col("words").alias("wa")), "a").join(words.select(F.col("set").alias("b"), F.col("words").alias("wb")), "b")
     common = F.size(F.array_intersect("wa", "wb"))
     return both.select("b", common.alias("c"), (F.size("wa") + F.size("wb")).alias("sum")).filter(F.col("c") >= threshold * (F.col("sum") - F.col("c")) - 1e-9).select("b").distinct()
