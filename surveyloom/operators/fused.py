@@ -228,6 +228,43 @@ def _fetch(index, sent, known, borders, query, doc, types, digits):
     return index.mapInArrow(scan, f"{types}, {PLACES}")
 
 
+class Ahead:
+    """Counts, for the candidates of one question in one list, the documents before each in its own bin.
+
+    A candidate's key says where it stands by (score falling, id); a document is
+    before all candidates from the first key that is not below its own. Bins
+    follow the same order, so those of earlier bins are taken off at the end.
+    """
+
+    def __init__(self, names, values, at):
+        import numpy as np
+
+        self.ids, self.values, self.at = np.unique(names), np.unique(-values), at
+        keys = np.searchsorted(self.values, -values) * (len(self.ids) + 1) + np.searchsorted(self.ids, names)
+        order = np.argsort(keys)
+        self.keys, self.place = keys[order], np.argsort(order)
+        self.before, self.inside = np.zeros(len(keys) + 1, dtype=np.int64), np.zeros(BINS, dtype=np.int64)
+        self.hot = np.zeros(BINS, dtype=bool)
+        self.hot[at] = True
+
+    def see(self, scores, ids, places) -> None:
+        import numpy as np
+
+        d = np.flatnonzero(self.hot[places])
+        if not len(d):
+            return
+        p = np.searchsorted(self.values, -scores[d])
+        ties = self.values[np.minimum(p, len(self.values) - 1)] == -scores[d]
+        own = p * (len(self.ids) + 1) + np.where(ties, np.searchsorted(self.ids, ids[d], "right"), 0)
+        self.before += np.bincount(np.searchsorted(self.keys, own), minlength=len(self.before))
+        self.inside += np.bincount(places[d], minlength=BINS)
+
+    def counts(self):
+        import numpy as np
+
+        return np.cumsum(self.before)[self.place] - (np.cumsum(self.inside) - self.inside)[self.at]
+
+
 def _second_pass(index, sent, wanted, borders, query, doc, types, digits):
     """(query, doc, _list, _ahead): documents before a candidate in its own bin, counted in each task."""
 
@@ -235,25 +272,18 @@ def _second_pass(index, sent, wanted, borders, query, doc, types, digits):
         import numpy as np
         import pyarrow as pa
 
-        asked, by_question = sent.value, wanted.value
-        hot = np.zeros((2, len(asked), BINS), dtype=bool)
-        ahead = [[np.zeros(len(c[0]), dtype=np.int64) for c in by_question] for _ in range(2)]
-        for q, (_, _, at) in enumerate(by_question):
-            for i in range(2):
-                hot[i, q, at[i]] = True
-        kind = None
+        asked, by_question, kind = sent.value, wanted.value, None
+        ahead = [[Ahead(names, values[i], at[i]) for names, values, at in by_question] for i in range(2)]
         for rows, ids, _, both, places in _scanned(batches, asked, doc, borders, digits):
             kind = rows.column(doc).type
-            for q, (names, values, at) in enumerate(by_question):
-                for i in range(2):
-                    d = np.flatnonzero(hot[i, q, places[i][q]])
-                    for a in range(0, len(d), 1024):
-                        e = d[a : a + 1024]
-                        own, score, who = places[i][q, e][:, None] == at[i], both[i][q, e][:, None], ids[e][:, None]
-                        before = (score > values[i]) | ((score == values[i]) & (who < names))
-                        ahead[i][q] += (own & before & (who != names)).sum(axis=0)
+            for i in range(2):
+                for q, counted in enumerate(ahead[i]):
+                    counted.see(both[i][q], ids, places[i][q])
+        if kind is None:
+            return
         for i in range(2):
-            for q, n in enumerate(ahead[i]):
+            for q, counted in enumerate(ahead[i]):
+                n = counted.counts()
                 some = np.flatnonzero(n)
                 if len(some):
                     yield pa.RecordBatch.from_arrays([
