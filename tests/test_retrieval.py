@@ -25,6 +25,57 @@ def test_terms_are_counted_as_by_hand(spark):
     assert got == want
 
 
+def test_words_cut_in_a_task_are_those_of_the_column(spark):
+    from surveyloom.functions import text as T
+
+    rng = np.random.default_rng(4)
+    parts = ["ages", "station", "stations", "ations", "abcations", "ab12ings", "12tables", "tables_2", "__ed", "___ed", "éèêed", "日本語s", "٣٤es", "Ⅷed", "THE", "İgoa", "x" * 300 + "ied", "ábc", "𝒳𝒴𝒵ing", "\n", "", "the's", "-", "image's"]
+    texts = [(i, " -"[i % 2].join(rng.choice(parts, 25))) for i in range(60)] + [(60, None), (61, ""), (62, "The the")]
+    docs = spark.createDataFrame(texts, "k int, text string").repartition(2)
+    stop = T.stop_list(["the", "s"])
+    want = {r.k: Counter(r.t or []) for r in docs.select("k", T.terms(T.content_tokens("text", stop)).alias("t")).collect()}
+    assert {r.k: Counter(dict(zip(r.terms, r.n))) for r in terms.counted(docs, "k", "text", stop).collect()} == want
+    vocab = terms.fit_vocabulary(docs, "k", "text", stop, 90)
+    names = [r.term for r in vocab.orderBy("term").collect()]
+    known = terms.Terms.of(vocab)
+    one = {r.k: (r.terms, r.weights, r.lead) for r in terms.text_weights(docs, "k", "text", stop, known).collect()}
+    assert one == {r.k: (r.terms, r.weights, r.lead) for r in terms.weighted(terms.counted(docs, "k", "text", stop), "k", known).collect()}
+    assert all({names[t] for t in one[k][0]} == set(want[k]) & set(names) for k in want)
+
+
+@pytest.mark.parametrize("times", [1, 3, 50])
+def test_only_terms_that_can_be_frequent_are_counted_by_name(spark, monkeypatch, times):
+    rng = np.random.default_rng(9)
+    texts = [(i, " ".join(f"w{x}" for x in rng.zipf(1.3, 60) % 100_000)) for i in range(400)]
+    docs = spark.createDataFrame(texts, "k int, text string").repartition(3)
+    count = terms._bucket_counts
+    monkeypatch.setattr(terms, "_bucket_counts", lambda rows, stop: times * count(rows, stop))  # bounds that are too high are found out
+    per_term = terms.frequent_counts(docs, "k", "text", (), 80)
+    every = {r.term: (r.corpus_count, r.df) for r in terms.text_counts(docs, "k", "text").collect()}
+    got = {r.term: (r.corpus_count, r.df) for r in per_term.collect()}
+    assert all(every[t] == n for t, n in got.items()) and len(every) > 10_000
+    assert times == 50 or len(got) < 1_000
+    first = sorted(every, key=lambda t: (-every[t][0], t))[:80]
+    assert {r.term for r in terms.most_frequent(per_term, 80).collect()} == set(first)
+    assert terms.most_frequent(terms.frequent_counts(docs, "k", "text", (), 0), 0).count() == 0
+
+
+def test_sums_and_blocks_hold_a_bounded_part(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(terms, "HELD", 4000)
+    monkeypatch.setattr(terms, "TEXT_BYTES", 1000)
+    monkeypatch.setattr(sparse, "POSTINGS", 500)
+    texts = pa.RecordBatch.from_pydict({"_text": [" ".join(f"t{(i * 37 + j) % 900}" for j in range(40)) for i in range(300)]})
+    out = list(terms._text_sums([texts], []))
+    assert len(out) > 5 and max(b.nbytes for b in out) < 20_000 and sum(sum(b.column("n").to_pylist()) for b in out) == 300 * 79
+    rows = pa.RecordBatch.from_pydict({"group": [i // 16 for i in range(300)], "terms": [[1] * (i % 30) for i in range(300)]})
+    parts = list(sparse._whole_groups([rows]))
+    assert max(len(p.column("terms").flatten()) for p in parts) <= 500 and sum(p.num_rows for p in parts) == 300
+    groups = [set(p.column("group").to_pylist()) for p in parts]
+    assert sum(len(g) for g in groups) == len(set().union(*groups))
+
+
 @pytest.mark.parametrize("n", [0, 1, 7, 60, 61, 500, 2999, 3000, 4000])
 def test_most_frequent_is_an_exact_selection(spark, n):
     rng = np.random.default_rng(1)
@@ -117,6 +168,26 @@ def test_bins_follow_the_order_of_ranks():
     assert (np.diff(at[order]) >= 0).all() and 0 <= at.min() and at.max() < fused.BINS
 
 
+def test_many_candidates_of_one_bin_are_counted_without_a_square():
+    import tracemalloc
+
+    rng = np.random.default_rng(6)
+    scores, ids = np.round(rng.normal(size=20_000) * (rng.random(20_000) < 0.5) * 0.002, 5), rng.permutation(20_000)
+    borders = np.array([4000, 9000])
+    at = fused.bins(scores[None, :], ids, borders)[0]
+    some = rng.choice(20_000, 9_000, replace=False)
+    tracemalloc.start()
+    ahead = fused.Ahead(ids[some], scores[some], at[some])
+    for a in range(0, 20_000, 3_000):
+        ahead.see(scores[a : a + 3_000], ids[a : a + 3_000], at[a : a + 3_000])
+    got = ahead.counts()
+    assert tracemalloc.get_traced_memory()[1] < 4_000_000  # pairs of a thousand documents and these candidates took 9 MB each
+    tracemalloc.stop()
+    rank = np.argsort(np.lexsort((ids, -scores)))
+    above = np.cumsum(np.bincount(at, minlength=fused.BINS))
+    assert (got == rank[some] - np.where(at[some] > 0, above[at[some] - 1], 0)).all()
+
+
 @pytest.mark.parametrize("digits", [12, None])
 def test_few_eligible_documents_far_down(spark, monkeypatch, digits):
     """Eligible documents stand one behind the other far from the top, so the lists of the first pass settle nothing."""
