@@ -260,3 +260,27 @@ def test_unbounded_vocabulary_searches_by_strings(spark):
         for r in R.search(docs, asked, "d", "q", k=5, max_features=features, digits=12).orderBy("q", "rank").collect():
             got.setdefault(r.q, []).append(r.d)
         assert got == want
+
+
+def test_lsa_counts_documents_without_a_term(spark):
+    docs = spark.createDataFrame([(i, f"red{i} wagon{i % 3} blue{i % 2} sky") for i in range(6)] + [(6, ""), (7, None)], "k int, text string")
+    got = {r.k: r.vec for r in R.LsaModel.fit(docs, "k", "text").embed(docs, "k", "text").collect()}
+    assert {len(v) for v in got.values()} == {7}  # one less than documents, as the SQL of R11_lsa_embedding says
+    assert np.allclose([np.linalg.norm(got[k]) for k in range(8)], [1] * 6 + [0] * 2, atol=1e-6)
+
+
+def test_lsa_products_keep_to_a_small_part_of_memory():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    basis = rng.standard_normal((500, 288))
+    lists = [rng.integers(0, 500, n) for n in (0, 3000, 40, 0, 900, 1)]
+    weights = [rng.random(len(x)) for x in lists]
+    batch = pa.RecordBatch.from_pydict({"terms": [x.tolist() for x in lists], "weights": [w.tolist() for w in weights]})
+    tracemalloc.start()
+    got = lsa._projected(batch, basis)
+    assert tracemalloc.get_traced_memory()[1] < 4_000_000  # one product of all postings takes 9 MB
+    tracemalloc.stop()
+    assert np.allclose(got, [w @ basis[x] if len(x) else np.zeros(288) for x, w in zip(lists, weights)])
