@@ -160,6 +160,36 @@ def test_dense_search_of_few_and_of_hot_vectors(spark, monkeypatch):
     assert R.dense_top_k(q, corpus.limit(0), "q", "d", 3).count() == 0 and R.dense_top_k(q.limit(0), corpus, "q", "d", 3).count() == 0
 
 
+def test_many_questions_give_k_results_a_block_not_a_task(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    points = np.round(rng.standard_normal((400, 8)), 3)
+    corpus = spark.createDataFrame([(i, [float(c) for c in x]) for i, x in enumerate(points)] + [(None, [9.0] * 8)], "d long, vec array<double>").repartition(6)
+    asked = spark.createDataFrame([(i % 90, [float(c) for c in x]) for i, x in enumerate(points[:100])], "q long, vec array<double>")  # ten keys twice
+    monkeypatch.setattr(dense, "DENSE_ROWS", 40)
+    monkeypatch.setattr(dense, "SAMPLE", 100)
+    clusters, given = dense.cluster(corpus, "d"), []
+    clusters.rows = clusters.rows.repartitionByRange(6, "cluster").sortWithinPartitions("cluster")
+    monkeypatch.setattr(dense, "best", lambda scored, *more: given.append(scored) or sparse.best(scored, *more))
+    got = {}
+    for r in dense.dense_search(asked, clusters, "q", "d", 3, 12).orderBy("q", "rank").collect():
+        got.setdefault(r.q, []).append((r.d, r.score))
+    ids, every = [*range(400), None], np.vstack([points, [[9.0] * 8]])
+    for q in range(90):
+        found = [(-s, -1 if d is None else d) for x in [points[q]] + [points[90 + q]] * (q < 10) for d, s in zip(ids, np.round(every @ x, 12))]
+        assert [(-1 if d is None else d, -s) for d, s in got[q]] == [(d, s) for s, d in sorted(found)[:3]]
+    assert given[0].count() == 3 * 100
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e25])
+def test_scores_that_single_precision_cannot_tell_apart(scale):
+    x = np.ones((3000, 4)) * scale
+    x[:, 0] += scale * 1e-10 * np.random.default_rng(6).permutation(3000)
+    search = dense.Search(np.ones((2, 4)), np.zeros((1, 4)), np.array([3.0 * scale]), x[:50], 5, None)
+    search.scan(np.zeros(3000, dtype=int), np.arange(3000), x)
+    want = np.lexsort((np.arange(3000), -np.einsum("ij->i", x)))[:5].tolist()
+    assert [names.tolist() for _, names in search.found] == [want, want]
+
+
 def test_bins_follow_the_order_of_ranks():
     rng = np.random.default_rng(3)
     scores, ids = np.round(rng.normal(size=400) * (rng.random(400) < 0.6), 2), rng.permutation(400)
