@@ -127,6 +127,38 @@ def test_posting_blocks_give_what_scoring_everything_gives(spark, postings, monk
     assert possible > 70 and opened < 0.5 * possible  # the rest of the groups is never opened
 
 
+@pytest.mark.parametrize("repeated", [False, True])
+def test_postings_are_scored_where_they_lie(spark, postings, monkeypatch, tmp_path, repeated):
+    monkeypatch.setattr(sparse, "GROUP_BITS", 4)
+    monkeypatch.setattr(sparse, "PAIRS", 50)
+    monkeypatch.setattr(sparse, "QUESTIONS", 3)
+    rows, asked = postings
+    if repeated:
+        rows = rows + [(i % 300, ts, ws, lead) for i, ts, ws, lead in rows[500:900]]
+    index = sparse.in_groups(spark.createDataFrame(rows, "d long, terms array<int>, weights array<double>, lead long"))
+    R.posting_blocks(index, "d").write.option("parquet.block.size", 2000).parquet(str(tmp_path / "blocks"))
+    blocks = spark.read.parquet(str(tmp_path / "blocks"))
+    q = spark.createDataFrame(asked, "q long, terms array<int>, weights array<double>")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 4000)  # pieces that end within a group
+    try:
+        found = R.sparse_top_k(q, blocks, "q", "d", 5, 12)
+        got = {}
+        for r in found.orderBy("q", "rank").collect():
+            got.setdefault(r.q, []).append((r.d, r.score))
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    for k, own, w in asked:
+        weight, total = dict(zip(own, w)), Counter()
+        for d, ts, ws, _ in rows:
+            if set(ts) & set(own):
+                total[d] += sum(weight.get(t, 0) * x for t, x in zip(ts, ws))
+        want = sorted((-round(x, 12), d) for d, x in total.items())[:5]
+        assert [(d, -x) for x, d in want] == got.get(k, [])
+    assert "Join" not in plan  # no block moves
+    assert repeated == (not sparse.in_one_group(blocks, "d"))
+
+
 def test_clusters_that_cannot_reach_are_skipped_and_none_else():
     rng = np.random.default_rng(2)
     centres = rng.standard_normal((30, 16))
