@@ -9,7 +9,8 @@ rows with the same id are at the same place and keep their lines.
 
 1. Words are counted in a table of fixed size over all lines; a token is its
    64-bit hash with the size class of its count on top, so sorting tokens
-   orders them by rarity. The classes reach the tasks from a stored table of
+   orders them by rarity. White space is made plain in the text before, so no
+   pattern is needed to cut words. The classes reach the tasks from a stored table of
    one row, as the value of a scalar subquery.
 2. Lines with equal tokens are one set, named by its first place. Only the
    prefix of a set (what a partner must share with it) goes on, with 64 parity
@@ -18,14 +19,17 @@ rows with the same id are at the same place and keep their lines.
    Whether a set goes is a question of existence, so each set is first compared
    with the first member of its tokens' groups; in groups of near copies that
    settles almost all, and only sets still open meet all earlier members.
-4. Candidates are verified on whole lines, cut again from their documents.
+4. Candidates are verified on whole lines, cut again from their documents;
+   a filter of fixed size names the documents first, then the lines.
 
 Tables written on the way are deleted when the result is stored.
 """
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,12 +42,18 @@ COUNT_BITS = 20  # counters of the word table
 CHUNK_BITS = 10  # array entries put in order together
 FILTER_BITS = 24  # of the filter of lines to verify
 CLASS_BITS = 57  # below: hash; above: class of the count
-SPACE = r"[\x09-\x0D\x20]"
+OTHER_SPACE = "\t\x0b\x0c\r"  # besides blanks and line ends
+
+
+def plain(text: Column) -> Column:
+    """Lower-cased, with blanks for other white space than line ends: splitting at one character needs no pattern."""
+    odd = reduce(operator.or_, [F.contains(text, F.lit(c)) for c in OTHER_SPACE])
+    return F.lower(F.when(odd, F.regexp_replace(text, f"[{OTHER_SPACE}]", " ")).otherwise(text))
 
 
 def word_hashes(line: Column) -> Column:
-    """64-bit hashes of the distinct lower-cased words."""
-    return F.array_remove(F.array_distinct(F.transform(F.split(F.lower(line), SPACE), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
+    """64-bit hashes of the distinct words of a plain line."""
+    return F.array_remove(F.array_distinct(F.transform(F.split(line, " "), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
 
 
 def in_one_row(table: DataFrame, bits: int, name: str) -> DataFrame:
@@ -53,18 +63,21 @@ def in_one_row(table: DataFrame, bits: int, name: str) -> DataFrame:
 
 
 def word_classes(docs: DataFrame, text: str) -> DataFrame:
-    """One row, `classes`: the class of each counter (1 to 60, twice the logarithm of the count), 2**COUNT_BITS bytes."""
-    words = docs.select(F.explode(F.split(F.lower(F.col(text).cast("string")), SPACE)).alias("w"))
+    """One row, `classes`: for each counter its class (1 to 60, twice the logarithm of the count), as what turns a hash into a token."""
+    words = docs.select(F.explode(F.split(F.concat_ws(" ", F.split(plain(F.col(text).cast("string")), "\n")), " ")).alias("w"))
     counts = words.groupBy(F.shiftrightunsigned(F.xxhash64("w"), 64 - COUNT_BITS).alias("slot")).agg(F.count(F.lit(1)).alias("n"))
     every = docs.sparkSession.range(1 << COUNT_BITS).select(F.col("id").alias("slot"), F.lit(1).cast("long").alias("n"))
-    size = F.least(F.lit(60), 1 + F.floor(2 * F.log2("n"))).cast("tinyint")
-    return in_one_row(counts.union(every).groupBy("slot").agg(F.max("n").alias("n")).select("slot", size.alias("value")), COUNT_BITS, "classes")
+    size = F.least(F.lit(60), 1 + F.floor(2 * F.log2("n")))
+    # The bits of the hash above the class are those of the slot, so one XOR puts the class in their place.
+    change = F.shiftleft(size.cast("long").bitwiseXOR(F.shiftright("slot", COUNT_BITS + CLASS_BITS - 64)), CLASS_BITS)
+    return in_one_row(counts.union(every).groupBy("slot").agg(F.max("n").alias("n")).select("slot", change.alias("value")), COUNT_BITS, "classes")
 
 
 def line_filter(lines: DataFrame) -> DataFrame:
-    """One row, `bits`: 2**FILTER_BITS bits, those of the (id, text_hash, no) of `lines` set; a full filter lets more lines through."""
+    """One row, `bits`: 2**FILTER_BITS bits, those of the (id, text_hash, no) of `lines` set, and with -1 for `no` those of their texts; a full filter lets more through."""
     at = _filter_slot(F.col("id"), F.col("text_hash"), F.col("no"))
-    words = lines.select(F.shiftright(at, 6).alias("slot"), _bit(at).alias("bit")).groupBy("slot").agg(F.bit_or("bit").alias("value"))
+    both = lines.select("id", "text_hash", F.explode(F.array(F.col("no"), F.lit(-1))).alias("no"))
+    words = both.select(F.shiftright(at, 6).alias("slot"), _bit(at).alias("bit")).groupBy("slot").agg(F.bit_or("bit").alias("value"))
     every = lines.sparkSession.range(1 << (FILTER_BITS - 6)).select(F.col("id").alias("slot"), F.lit(0).cast("long").alias("value"))
     return in_one_row(words.union(every).groupBy("slot").agg(F.bit_or("value").alias("value")), FILTER_BITS - 6, "bits")
 
@@ -73,12 +86,17 @@ def _filter_slot(id_: Column, text_hash: Column, no: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(id_, text_hash, no), 64 - FILTER_BITS)
 
 
+def _in_filter(bits: Column, no: Column) -> Column:
+    at = _filter_slot(F.col("id"), F.col("text_hash"), no)
+    return F.get(bits, F.shiftright(at, 6).cast("int")).bitwiseAND(_bit(at)) != 0
+
+
 def token_set(line: Column, classes: Column) -> Column:
-    """The line's tokens, rarest first."""
+    """The tokens of a plain line, rarest first."""
 
     def token(h: Column) -> Column:
-        size = F.get(classes, F.shiftrightunsigned(h, 64 - COUNT_BITS).cast("int"))
-        return F.shiftleft(size.cast("long"), CLASS_BITS).bitwiseOR(h.bitwiseAND(F.lit((1 << CLASS_BITS) - 1)))
+        # No slot is null; saying so lets the tokens be sorted as plain numbers.
+        return h.bitwiseXOR(F.coalesce(classes[F.shiftrightunsigned(h, 64 - COUNT_BITS)], F.lit(0).cast("long")))
 
     return F.sort_array(F.transform(word_hashes(line), token))
 
@@ -92,10 +110,13 @@ def _bit(token: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), token.bitwiseAND(F.lit(63)).cast("int"))
 
 
-def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(id, text_hash, no, line) of every line."""
+def _lines(docs: DataFrame, key: str, text: str, bits: Column | None = None) -> DataFrame:
+    """(id, text_hash, no, line) of every line, which is plain; with a filter, of the texts that pass it."""
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    return docs.select(F.col(key).alias("id"), F.xxhash64(body).alias("text_hash"), F.posexplode(F.split(body, "\n", -1)).alias("no", "line"))
+    texts = docs.select(F.col(key).alias("id"), F.xxhash64(body).alias("text_hash"), body.alias("body"))
+    if bits is not None:
+        texts = texts.filter(_in_filter(bits, F.lit(-1)))
+    return texts.select("id", "text_hash", F.posexplode(F.split(plain(F.col("body")), "\n", -1)).alias("no", "line"))
 
 
 def removed_lines(docs: DataFrame, key: str, text: str, threshold: float = THRESHOLD, min_words: int = MIN_WORDS) -> DataFrame:
@@ -161,9 +182,8 @@ def verified(docs: DataFrame, key: str, text: str, pairs: DataFrame, sets: DataF
     need = pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct().join(sets.select("set", "place"), "set")
     wanted = held(need.select("set", "place.id", "place.text_hash", "place.no"), "wanted-lines")
     bits = held(line_filter(wanted), "line-filter")
-    # Only lines that pass the filter move to meet their keys, not whole texts.
-    at = _filter_slot(F.col("id"), F.col("text_hash"), F.col("no"))
-    lines = _lines(docs, key, text).filter(F.get(bits.scalar(), F.shiftright(at, 6).cast("int")).bitwiseAND(_bit(at)) != 0)
+    # Only texts that pass the filter are cut again, and only lines that pass it move to meet their keys.
+    lines = _lines(docs, key, text, bits.scalar()).filter(_in_filter(bits.scalar(), F.col("no")))
     asked = wanted.select("set", F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("no").alias("_no"))
     found = lines.join(asked, F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")) & (F.col("no") == F.col("_no")))
     words = held(found.select("set", word_hashes(F.col("line")).alias("words")).dropDuplicates(["set"]), "wanted-sets")

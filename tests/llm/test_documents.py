@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from surveyloom.llm import automaton, hashlr, jaccard, line_join, quality_rules, secret_scan, sharding, site_quality, tiling
 from surveyloom.llm.words import pieces, text_array, windows
+from surveyloom.sources.tables import cut
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 ASCII_LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -135,6 +136,28 @@ def test_short_line_copies_go(spark):
     assert got == {0: [], 1: [0, 1, 3, 4]}
 
 
+def test_white_space_of_lines(spark):
+    """Every ASCII white space cuts words, and only line ends cut lines; lower-casing comes first."""
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda".split()
+    texts = [" ".join(words), "\t".join(words).upper() + "\r\n\x0b\x0c\t", "\x0b".join(words) + "\r" + words[0], "\x0c \r".join([*words[:-1], "Other"]), "\x0b".join([*words, "other"]), "alpha\xa0beta\n\t\nalpha beta", "Alpha\xa0Beta\r"]
+    rows = spark.createDataFrame(list(enumerate([*texts, None, ""])), "doc_id long, text string")
+    got = {r["doc_id"]: r["removed"] for r in line_join.removals(rows, "doc_id", "text").collect()}
+    assert got == {0: [], 1: [0], 2: [0], 3: [], 4: [0], 5: [], 6: [0], 7: [], 8: []}
+
+
+def test_words_are_cut_and_sorted_cheaply(docs):
+    """No pattern of white space is matched at each letter, tokens sort as plain numbers, and texts nobody asks for are not cut again."""
+    lines = line_join._lines(docs, "doc_id", "text")
+    tokens = lines.select("line", F.array(F.lit(None).cast("long")).alias("classes")).select(line_join.token_set(F.col("line"), F.col("classes")).alias("tokens"))
+    assert not tokens.schema["tokens"].dataType.containsNull
+    cuts = re.findall(r"split\([^\n]*?, ([^,]*), -1\)", tokens._jdf.queryExecution().optimizedPlan().toString())
+    assert cuts and not [c for c in cuts if "[" in c or "x0" in c]
+    asked = lines.filter("id = 3 and no = 0").select("id", "text_hash", "no")
+    bits = cut(line_join.line_filter(asked), "line-filter")
+    some = line_join._lines(docs, "doc_id", "text", bits.scalar()).select("id").distinct().collect()
+    assert [r["id"] for r in some] == [3]
+
+
 def test_line_join_is_native(docs):
     plan = line_join.removals(docs, "doc_id", "text")._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|ArrowEval|MapIn", plan)
